@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from layerwright.functions import trunc_ntz
 
 
+PART = "grain_date"
+
+
 @dataclass(frozen=True)
 class GrainSpec:
     """One row per (truncated date, dimensions).
 
     dims and measures map output columns to SQL expressions over the input.
-    `prune_col`, if the input has it, is a DATE partition column holding the
-    calendar date of `date_col`: window filters are repeated on it so that
+    Stored inputs and stored aggregates are both partitioned by `grain_date`,
+    the truncated date as a DATE: window filters are repeated on it so that
     whole partitions are skipped.
     """
 
@@ -26,7 +29,6 @@ class GrainSpec:
     grain: str
     dims: Mapping[str, str]
     measures: Mapping[str, str] = field(default_factory=lambda: {"n": "count(*)"})
-    prune_col: str = "event_date"
 
     @property
     def keys(self) -> list[str]:
@@ -35,6 +37,10 @@ class GrainSpec:
     def grain_of(self, column: str | Column) -> Column:
         return trunc_ntz(self.grain, column)
 
+    def grain_date(self, column: str | Column) -> Column:
+        """The partition value: the truncated date as a DATE."""
+        return self.grain_of(column).cast("date")
+
 
 def aggregate(df: DataFrame, spec: GrainSpec) -> DataFrame:
     """Group at the grain.  Counts and averages combine before the shuffle; a

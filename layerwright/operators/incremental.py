@@ -18,12 +18,11 @@ from pyspark.sql import types as T
 
 from layerwright.functions import days_before, ntz_literal, null_safe
 from layerwright.operators.diff import recompute_diff
-from layerwright.operators.grain import GrainSpec, aggregate
+from layerwright.operators.grain import PART, GrainSpec, aggregate
 from layerwright.sources import files
 
 LOOKBACK_DAYS = 3  # fixed value: how late a record may be and still be picked up
 FLOOR = "1900-01-01 00:00:00"  # fixed value: watermark of an empty table
-PART = "grain_date"
 
 
 # ---- watermark and window ---------------------------------------------------
@@ -59,8 +58,8 @@ def since(silver: DataFrame, spec: GrainSpec, start: dt.datetime | None) -> Data
     if start is None:
         return silver
     window = F.col(spec.date_col) >= _literal_like(silver, spec.date_col, start)
-    if spec.prune_col in silver.columns:
-        window &= F.col(spec.prune_col) >= F.lit(start.date())
+    if PART in silver.columns:
+        window &= F.col(PART) >= F.lit(start.date())
     return silver.where(window)
 
 
@@ -68,15 +67,12 @@ def before(df: DataFrame, column: str, end: dt.datetime) -> DataFrame:
     return df.where(F.col(column) < _literal_like(df, column, end))
 
 
-def in_grains(silver: DataFrame, spec: GrainSpec, grains: Iterable[dt.date], column: str | None = None) -> DataFrame:
-    """Rows that belong to the given grain dates; prunes partitions where it can."""
+def in_grains(silver: DataFrame, spec: GrainSpec, grains: Iterable[dt.date]) -> DataFrame:
+    """Rows that belong to the given grain dates; prunes partitions where there are any."""
     dates = sorted(grains)
     if not dates:
         return silver.limit(0)
-    wanted = spec.grain_of(column or spec.date_col).cast("date").isin(dates)
-    if spec.prune_col in silver.columns:
-        wanted &= spec.grain_of(spec.prune_col).cast("date").isin(dates)
-    return silver.where(wanted)
+    return silver.where(_grain_date(silver, spec).isin(dates))
 
 
 # ---- storage ----------------------------------------------------------------
@@ -176,14 +172,18 @@ def _read_or_empty(spark: SparkSession, path: str, spec: GrainSpec, batch: DataF
     return spark.createDataFrame([], batch.schema)
 
 
-def grain_dates(rows: DataFrame, spec: GrainSpec, column: str | None = None) -> DataFrame:
+def _grain_date(rows: DataFrame, spec: GrainSpec) -> Column:
+    return F.col(PART) if PART in rows.columns else spec.grain_date(spec.date_col)
+
+
+def grain_dates(rows: DataFrame, spec: GrainSpec) -> DataFrame:
     """The distinct grain dates these rows fall on."""
-    return rows.select(spec.grain_of(column or spec.date_col).cast("date").alias(PART)).distinct()
+    return rows.select(_grain_date(rows, spec).alias(PART)).distinct()
 
 
-def collect_grains(rows: DataFrame, spec: GrainSpec, column: str | None = None) -> list[dt.date]:
+def collect_grains(rows: DataFrame, spec: GrainSpec) -> list[dt.date]:
     """Those dates as values: never more than the calendar has, i.e. than the table has partitions."""
-    return [row[0] for row in grain_dates(rows, spec, column).collect()]
+    return [row[0] for row in grain_dates(rows, spec).collect()]
 
 
 def late_grains(batch: DataFrame, spec: GrainSpec, start: dt.datetime) -> DataFrame:

@@ -25,12 +25,10 @@ from layerwright.functions import (
 )
 from layerwright.operators.checks import TableChecks
 from layerwright.operators.dedup import keep_best, latest, lowest
-from layerwright.operators.grain import GrainSpec
-from layerwright.operators.quality import accepted, classify, rejected, required
+from layerwright.operators.grain import PART, GrainSpec, aggregate
+from layerwright.operators.quality import classify, rejected, required, valid
 from layerwright.operators.staging import stage
 
-EVENT_DATE = "event_date"
-
 
 @dataclass(frozen=True)
 class Domain:
@@ -45,6 +43,9 @@ class Domain:
     event_col: str
     key: str
     best: Callable[[], Sequence[Column]]
+    # Ties in `best` are settled by the staged columns gold depends on, then by the rest.
+    gold_ties: Sequence[str]
+    other_ties: Sequence[str]
     conform: Callable[[], Mapping[str, Column]]
     spec: GrainSpec
     checks: Sequence[TableChecks]
@@ -63,21 +64,33 @@ class Domain:
     def classify(self, staged: DataFrame) -> DataFrame:
         return classify(staged, required(*self.not_null))
 
-    def best_rows(self, good: DataFrame) -> DataFrame:
-        return keep_best(good, [self.key], self.best())
+    def valid(self, staged: DataFrame) -> DataFrame:
+        return valid(staged, required(*self.not_null))
+
+    def to_silver(self, good: DataFrame, for_gold: bool = False) -> DataFrame:
+        """One conformed row per key.
 
-    def to_silver(self, good: DataFrame) -> DataFrame:
-        return stage(self.best_rows(good), self.conform())
+        for_gold=True stops the tie-break at the columns gold depends on: rows
+        still tied there add the same to gold whichever is kept, and columns
+        gold does not read (a message text, say) are pruned from the scan and
+        the shuffle instead of being carried along to break ties.
+        """
+        ties = list(self.gold_ties) if for_gold else [*self.gold_ties, *self.other_ties]
+        return stage(keep_best(good, [self.key], self.best(), ties), self.conform())
 
     def silver_of(self, staged: DataFrame) -> DataFrame:
-        return self.to_silver(accepted(self.classify(staged)))
+        return self.to_silver(self.valid(staged))
+
+    def gold_of(self, staged: DataFrame) -> DataFrame:
+        """Gold straight from staged rows, without storing silver in between."""
+        return aggregate(self.to_silver(self.valid(staged), for_gold=True), self.spec)
 
     def rejected_of(self, staged: DataFrame) -> DataFrame:
         return rejected(self.classify(staged), self.quarantine_columns)
 
-    def with_event_date(self, silver: DataFrame) -> DataFrame:
-        """Silver as it is stored: partitioned by the calendar date of its event."""
-        return silver.withColumn(EVENT_DATE, F.col(self.event_col).cast("date"))
+    def dated(self, rows: DataFrame) -> DataFrame:
+        """Rows as they are stored: with the grain date they are partitioned by."""
+        return rows.withColumn(PART, self.spec.grain_date(self.event_col))
 
 
 def _columns(*names: str) -> dict[str, Column]:
@@ -103,6 +116,8 @@ REQUESTS = Domain(
     event_col="created_at",
     key="request_id",
     best=lambda: [latest("created_at")],
+    gold_ties=("closed_at", "agency", "agency_name", "complaint_type", "status"),
+    other_ties=("descriptor", "borough", "incident_zip", "latitude", "longitude"),
     conform=lambda: {
         **_columns("request_id", "created_at", "closed_at"),
         "resolution_hours": hours_between("created_at", "closed_at"),
@@ -160,6 +175,8 @@ COMMITS = Domain(
     event_col="authored_at",
     key="commit_sha",
     best=lambda: [latest("authored_at")],
+    gold_ties=("author_name", "author_email"),
+    other_ties=("github_login", "message"),
     conform=lambda: {
         **_columns("commit_sha", "message"),
         "message_headline": headline("message"),
@@ -212,6 +229,8 @@ FILINGS = Domain(
     event_col="file_date",
     key="accession_number",
     best=lambda: [lowest("sequence")],
+    gold_ties=("file_date", "biz_state", "form_type", "cik"),
+    other_ties=("filing_id", "period_ending", "display_name", "sic_code", "file_type"),
     conform=lambda: _columns(
         "accession_number", "form_type", "file_date", "period_ending", "display_name", "cik", "biz_state", "sic_code"
     ),

@@ -7,6 +7,7 @@ a run whose checks failed.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from layerwright.operators.checks import run_checks, unexpected_failures
 from layerwright.operators.diff import recompute_diff
-from layerwright.operators.grain import aggregate
+from layerwright.operators.grain import PART, aggregate
 from layerwright.operators.incremental import LOOKBACK_DAYS, incremental_run
 from layerwright.operators.quality import REASON, THRESHOLD, accepted, rejected, rejection_gate
 from layerwright.plans.domains import DOMAINS, Domain
@@ -66,17 +67,22 @@ class Built:
 
 
 def build(spark: SparkSession, domain: Domain, cfg: RunConfig) -> Built:
-    """Bronze to gold for one domain.
+    """Bronze to gold for one domain."""
+    staged = domain.stage(read_bronze(spark, cfg.bronze_root, domain.source))
+    return build_from(staged, domain, cfg)
+
+
+def build_from(staged: DataFrame, domain: Domain, cfg: RunConfig) -> Built:
+    """Staged rows to stored layers.
 
     JSON is parsed once: the classified rows are stored as Parquet and both
     sides of the split, the counts and silver read only the columns they need.
     """
     root = cfg.warehouse_root
-    staged = domain.stage(read_bronze(spark, cfg.bronze_root, domain.source))
     classified = write_layer(domain.classify(staged), f"{root}/staging/{domain.staging}")
     bad = write_layer(rejected(classified, domain.quarantine_columns), f"{root}/silver/{domain.quarantine}")
-    silver = domain.with_event_date(domain.to_silver(accepted(classified)))
-    silver = write_layer(silver, f"{root}/silver/{domain.silver}", partition_by=domain.spec.prune_col)
+    silver = domain.dated(domain.to_silver(accepted(classified)))
+    silver = write_layer(silver, f"{root}/silver/{domain.silver}", partition_by=PART)
     gold = incremental_run(silver, f"{root}/gold/{domain.gold}", domain.spec, cfg.lookback_days, cfg.full_refresh)
     return Built(domain, classified, bad, silver, gold)
 
@@ -120,7 +126,9 @@ def gated_run(spark: SparkSession, cfg: RunConfig) -> DataFrame:
 
     gate("preflight", check_bronze(spark, cfg.bronze_root, [d.source for d in cfg.chosen()]))
 
-    built = [build(spark, d, cfg) for d in cfg.chosen()]
+    # Domains share nothing, so their jobs are submitted side by side and fill each other's gaps.
+    with ThreadPoolExecutor(len(cfg.chosen())) as pool:
+        built = list(pool.map(lambda d: build(spark, d, cfg), cfg.chosen()))
     gold = {b.domain.gold: b.gold for b in built}
     done.append(("build", "success", sum(df.count() for df in gold.values())))
 

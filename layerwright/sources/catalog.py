@@ -27,8 +27,10 @@ def write_layer(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     """Full rebuild of a layer table into a fresh build folder; answers the stored frame.
 
     The previous build stays intact until a reader is pointed at the new one,
-    so a lost job leaves the old table whole.  Partitioned writes are
-    rebalanced first: a hot date is split over tasks, small ones share one.
+    so a lost job leaves the old table whole.  A partitioned write is
+    rebalanced first: a hot date is split over tasks, small ones share one, and
+    the table does not end up with a file per task and date.  An unpartitioned
+    write stays where its rows are; it needs no shuffle.
     """
     return df.sparkSession.read.schema(df.schema).parquet(_build(df, path, partition_by))
 
@@ -38,7 +40,7 @@ def _build(df: DataFrame, path: str, partition_by: str | None = None) -> str:
     if partition_by:
         df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(target)
     else:
-        df.hint("rebalance").write.parquet(target)
+        df.write.parquet(target)
     return target
 
 

@@ -15,9 +15,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerwright.operators.grain import PART
 from layerwright.operators.incremental import collect_grains, in_grains, read_gold, repair_grains
 from layerwright.operators.quality import accepted, rejected
-from layerwright.plans.domains import EVENT_DATE, Domain
+from layerwright.plans.domains import Domain
 from layerwright.sources.bronze import stream_bronze
 
 BATCH = "batch_id"
@@ -69,23 +70,19 @@ def apply_batch(batch: DataFrame, number: int, domain: Domain, tables: StreamTab
     classified = domain.classify(domain.stage(batch)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bad = rejected(classified, domain.quarantine_columns)
-        _overwrite(bad.withColumn(BATCH, F.lit(number)), tables.quarantine, [BATCH])
+        _overwrite(bad.withColumn(BATCH, F.lit(number)), tables.quarantine, BATCH)
         good = accepted(classified)
-        dated = good.withColumn(EVENT_DATE, F.col(domain.event_col).cast("date"))
-        _overwrite(dated.withColumn(BATCH, F.lit(number)), tables.log, [EVENT_DATE, BATCH])
-        _refresh(good, dated.schema, domain, tables)
+        dated = domain.dated(good)
+        # Even file sizes per grain date, also when one date holds most of the batch.
+        dated = dated.withColumn(BATCH, F.lit(number)).hint("rebalance", PART)
+        _overwrite(dated, tables.log, PART, BATCH)
+        _refresh(good, dated.drop(BATCH).schema, domain, tables)
     finally:
         classified.unpersist()
 
 
-def _overwrite(df: DataFrame, path: str, parts: list[str]) -> None:
-    (
-        df.hint("rebalance", *parts)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts)
-        .parquet(path)
-    )
+def _overwrite(df: DataFrame, path: str, *parts: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
 def _refresh(good: DataFrame, log_schema, domain: Domain, tables: StreamTables) -> None:
@@ -97,17 +94,17 @@ def _refresh(good: DataFrame, log_schema, domain: Domain, tables: StreamTables)
     # A correction can move a record to another date, so the dates of the
     # earlier copies of every touched key are affected as well.  Only the key
     # and the partition column are read for this.
-    copies = log.select(domain.key, EVENT_DATE).join(touched, domain.key, "left_semi")
-    grains = collect_grains(copies, domain.spec, EVENT_DATE)
-    silver = domain.to_silver(_competitors(log, grains, domain))
+    copies = log.select(domain.key, PART).join(touched, domain.key, "left_semi")
+    grains = collect_grains(copies, domain.spec)
+    silver = domain.to_silver(_competitors(log, grains, domain), for_gold=True)
     repair_grains(silver, tables.gold, domain.spec, grains)
 
 
 def _competitors(log: DataFrame, grains, domain: Domain) -> DataFrame:
     """Every logged row that could be, or could displace, a best row of these grains."""
-    columns = [c for c in log.columns if c != EVENT_DATE]
+    columns = [c for c in log.columns if c != PART]
     if domain.newest_wins:
         # Only a later date can displace a row: skip all partitions before the first grain.
-        return log.where(F.col(EVENT_DATE) >= F.lit(min(grains))).select(*columns)
-    keys = in_grains(log, domain.spec, grains, EVENT_DATE).select(domain.key).distinct()
+        return log.where(F.col(PART) >= F.lit(min(grains))).select(*columns)
+    keys = in_grains(log, domain.spec, grains).select(domain.key).distinct()
     return log.select(*columns).join(keys, domain.key, "left_semi")

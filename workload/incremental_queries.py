@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from layerwright.functions import ntz_literal
-from layerwright.operators.grain import aggregate
+from layerwright.operators.grain import PART, aggregate
 from layerwright.operators.incremental import (
     collect_grains,
     incremental_run,
@@ -43,13 +43,13 @@ class Scenario:
 
     def __init__(self, spark, sf_dir, label, held_day_offset):
         self.root = run_dir(spark, label)
-        dated = REQUESTS.with_event_date(silver(spark, sf_dir, REQUESTS))
-        self.silver = write_layer(dated, f"{self.root}/silver", partition_by="event_date")
-        newest = self.silver.agg(F.max("event_date")).first()[0]
+        dated = REQUESTS.dated(silver(spark, sf_dir, REQUESTS))
+        self.silver = write_layer(dated, f"{self.root}/silver", partition_by=PART)
+        newest = self.silver.agg(F.max(PART)).first()[0]
         self.close = newest - dt.timedelta(days=2)
         self.held_day = newest - dt.timedelta(days=held_day_offset)
-        held = (F.col("request_id") % 10 == 3) & (F.col("event_date") == F.lit(self.held_day))
-        self.base = self.silver.where(F.col("event_date") < F.lit(self.close)).where(~held)
+        held = (F.col("request_id") % 10 == 3) & (F.col(PART) == F.lit(self.held_day))
+        self.base = self.silver.where(F.col(PART) < F.lit(self.close)).where(~held)
         self.gold_path = f"{self.root}/gold"
 
     def run(self, rows, **kwargs):
@@ -176,8 +176,7 @@ def late(spark, sf_dir):
 def month_aligned(spark, sf_dir):
     """R-1: a three-day lookback over a month boundary still rebuilds whole months."""
     root = run_dir(spark, "months")
-    stored = FILINGS.with_event_date(silver(spark, sf_dir, FILINGS)).withColumn("event_month", F.trunc("event_date", "MM"))
-    filed = write_layer(stored.drop("event_date").withColumnRenamed("event_month", "event_date"), f"{root}/silver", partition_by="event_date")
+    filed = write_layer(FILINGS.dated(silver(spark, sf_dir, FILINGS)), f"{root}/silver", partition_by=PART)
     incremental_run(filed, f"{root}/gold", FILINGS.spec)
     return incremental_run(filed, f"{root}/gold", FILINGS.spec)
 
@@ -191,7 +190,7 @@ def vanished(spark, sf_dir):
     """R-6: requests move to another agency; the grains they leave disappear from gold."""
     case = Scenario(spark, sf_dir, "vanished", held_day_offset=4)
     case.run(case.silver)
-    moving = (F.col("agency") == "error") & (F.col("event_date") >= F.lit(case.close))
+    moving = (F.col("agency") == "error") & (F.col(PART) >= F.lit(case.close))
     return case.run(case.silver.withColumn("agency", F.when(moving, "moved").otherwise(F.col("agency"))))
 
 
@@ -203,7 +202,7 @@ def emptied_day(spark, sf_dir):
     """R-6: a whole day inside the window loses its rows; its partition goes."""
     case = Scenario(spark, sf_dir, "emptied", held_day_offset=4)
     case.run(case.silver)
-    return case.run(case.silver.where(F.col("event_date") != F.lit(case.close)))
+    return case.run(case.silver.where(F.col(PART) != F.lit(case.close)))
 
 
 @query("incremental_null_keys", ctes("m") + "SELECT * FROM gld_m")

@@ -28,7 +28,7 @@ _SILVER = {
     "f": """
       SELECT accession_number, form_type, file_date, period_ending, display_name, cik, biz_state, sic_code
       FROM cls_f WHERE rejection_reason IS NULL
-      QUALIFY row_number() OVER (PARTITION BY accession_number ORDER BY sequence, filing_id) = 1
+      QUALIFY row_number() OVER (PARTITION BY accession_number ORDER BY sequence, file_date, biz_state, form_type, cik, filing_id) = 1
     """,
 }
 

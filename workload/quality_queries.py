@@ -2,10 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from layerwright.operators.checks import not_null, run_checks, unexpected_failures, unique
+from layerwright.operators.checks import not_null, unexpected_failures, unique
 from layerwright.operators.dedup import keep_best, latest, lowest
 from layerwright.operators.diff import recompute_diff
-from layerwright.operators.grain import aggregate
 from layerwright.operators.quality import (
     accepted,
     over_threshold,
@@ -16,6 +15,8 @@ from layerwright.operators.quality import (
     rejection_summary,
 )
 from layerwright.plans.domains import COMMITS, DOMAINS, FILINGS, REQUESTS
+from layerwright.plans.gated import RunConfig, build_from, check
+from layerwright.session import run_dir
 from layerwright.sources.bronze import union_by_name
 from workload.oracle import ctes
 from workload.registry import query
@@ -181,7 +182,7 @@ def silver(spark, sf_dir, domain):
 
 
 def gold(spark, sf_dir, domain):
-    return aggregate(silver(spark, sf_dir, domain), domain.spec)
+    return domain.gold_of(STANDINS[domain.source](spark, sf_dir))
 
 
 @query("silver_requests", ctes("r") + "SELECT * FROM slv_r")
@@ -313,18 +314,9 @@ def check_unique(spark, sf_dir):
 
 
 def all_verdicts(spark, sf_dir):
-    """All 27 declared checks over the three stand-ins."""
-    tables, columns, relations = {}, [], []
-    for domain in DOMAINS.values():
-        staged = STANDINS[domain.source](spark, sf_dir)
-        good = domain.silver_of(staged)
-        mart = aggregate(good, domain.spec)
-        tables |= {domain.silver: good, domain.quarantine: domain.rejected_of(staged), domain.gold: mart}
-        columns += domain.checks
-        relations.append((domain.rate_check, domain.staging, rejection_gate(domain.classify(staged))))
-        drift = recompute_diff(aggregate(good, domain.spec), mart, domain.spec.keys, list(domain.spec.measures))
-        relations.append((domain.recompute_check, domain.gold, drift))
-    return run_checks(tables, columns, relations)
+    """All 27 declared checks over the stored layers of the three stand-ins."""
+    cfg = RunConfig(bronze_root="", warehouse_root=run_dir(spark, "checks"))
+    return check([build_from(STANDINS[d.source](spark, sf_dir), d, cfg) for d in DOMAINS.values()])
 
 
 def _verdict_sql():

@@ -1,5 +1,7 @@
 """Bronze and staging: scans, merges, renames, nested access, safe casts."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from layerwright.functions import trunc_ntz
@@ -110,8 +112,8 @@ def bronze_union_by_name(spark, sf_dir):
 def land(spark, sf_dir, sources, label):
     """Write the stand-ins as JSON landings; answers the bronze root."""
     root = f"{run_dir(spark, label)}/bronze"
-    for source in sources:
-        write_bronze(RAW[source](STANDINS[source](spark, sf_dir)), root, source)
+    with ThreadPoolExecutor(len(sources)) as pool:
+        list(pool.map(lambda s: write_bronze(RAW[s](STANDINS[s](spark, sf_dir)), root, s), sources))
     return root
 
 
