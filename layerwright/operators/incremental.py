@@ -11,7 +11,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,30 +99,30 @@ def replace_partitions(
 
     Scope is everything from `start` on, or just the dates in `only`, or the
     whole table.  A dynamic overwrite replaces each partition the batch has
-    rows for; partitions in scope it has none for have become empty and are
-    dropped afterwards.  Repeating a run gives the same table.
-
-    The batch is an aggregate; it is held while its dates (at most one per
-    partition folder) are listed and its rows are written.
+    rows for.  A partition in scope that still shows a file from before has
+    become empty and is dropped; that takes two listings and no second pass
+    over the batch.  Repeating a run, also a broken-off one, gives the same table.
     """
     spark = batch.sparkSession
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        filled = {str(row[0]) for row in batch.select(part).distinct().collect()}
-        (
-            batch.hint("rebalance", part)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(part)
-            .parquet(path)
-        )
-    finally:
-        batch.unpersist()
     wanted = None if only is None else {str(d) for d in only}
-    for value in files.partition_values(spark, path, part):
-        in_scope = value in wanted if wanted is not None else (start is None or value >= str(start))
-        if in_scope and value not in filled:
-            files.delete(spark, f"{path}/{part}={value}")
+
+    def in_scope(value: str) -> bool:
+        return value in wanted if wanted is not None else start is None or value >= str(start)
+
+    def listing() -> set[tuple[str, str]]:
+        values = filter(in_scope, files.partition_values(spark, path, part))
+        return {(v, name) for v in values for name in files.names(spark, f"{path}/{part}={v}")}
+
+    old = listing()
+    (
+        batch.hint("rebalance", part)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(part)
+        .parquet(path)
+    )
+    for value in {v for v, _ in old & listing()}:
+        files.delete(spark, f"{path}/{part}={value}")
 
 
 def _store(batch: DataFrame, path: str, spec: GrainSpec, **scope) -> None:

@@ -6,7 +6,8 @@ a run whose checks failed.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import datetime as dt
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -16,11 +17,11 @@ from pyspark.sql import functions as F
 from layerwright.operators.checks import run_checks, unexpected_failures
 from layerwright.operators.diff import recompute_diff
 from layerwright.operators.grain import PART, aggregate
-from layerwright.operators.incremental import LOOKBACK_DAYS, incremental_run
+from layerwright.operators.incremental import LOOKBACK_DAYS, incremental_run, read_gold
 from layerwright.operators.quality import REASON, THRESHOLD, accepted, rejected, rejection_gate
 from layerwright.plans.domains import DOMAINS, Domain
 from layerwright.sources.bronze import check_bronze, read_bronze
-from layerwright.sources.catalog import publish_all, write_layer
+from layerwright.sources.catalog import create_layers, publish_all, read_layer, write_layer
 from layerwright.sources.snapshots import snapshot_all
 
 STAGES = ("preflight", "build", "check", "export", "publish")
@@ -46,6 +47,10 @@ class RunConfig:
     full_refresh: bool = False
     threshold: float = THRESHOLD
     known_failures: Iterable[str] = ()
+    cap: dt.date | None = None  # no watermark may lie beyond this date
+
+    def path(self, layer: str, table: str) -> str:
+        return f"{self.warehouse_root}/{layer}/{table}"
 
     def chosen(self) -> list[Domain]:
         return list((self.domains or DOMAINS).values())
@@ -66,6 +71,12 @@ class Built:
         return {d.staging: self.classified.drop(REASON), d.silver: self.silver, d.quarantine: self.rejected, d.gold: self.gold}
 
 
+def side_by_side(fn: Callable, items: Sequence) -> list:
+    """Submit independent jobs from a few threads, so that they fill each other's gaps on the cluster."""
+    with ThreadPoolExecutor(max(len(items), 1)) as pool:
+        return list(pool.map(fn, items))
+
+
 def build(spark: SparkSession, domain: Domain, cfg: RunConfig) -> Built:
     """Bronze to gold for one domain."""
     staged = domain.stage(read_bronze(spark, cfg.bronze_root, domain.source))
@@ -78,15 +89,25 @@ def build_from(staged: DataFrame, domain: Domain, cfg: RunConfig) -> Built:
     JSON is parsed once: the classified rows are stored as Parquet and both
     sides of the split, the counts and silver read only the columns they need.
     """
-    root = cfg.warehouse_root
-    classified = write_layer(domain.classify(staged), f"{root}/staging/{domain.staging}")
-    bad = write_layer(rejected(classified, domain.quarantine_columns), f"{root}/silver/{domain.quarantine}")
+    classified = write_layer(domain.classify(staged), cfg.path("staging", domain.staging))
+    bad = write_layer(rejected(classified, domain.quarantine_columns), cfg.path("silver", domain.quarantine))
     silver = domain.dated(domain.to_silver(accepted(classified)))
-    silver = write_layer(silver, f"{root}/silver/{domain.silver}", partition_by=PART)
-    gold = incremental_run(silver, f"{root}/gold/{domain.gold}", domain.spec, cfg.lookback_days, cfg.full_refresh)
+    silver = write_layer(silver, cfg.path("silver", domain.silver), partition_by=PART)
+    gold = incremental_run(silver, cfg.path("gold", domain.gold), domain.spec, cfg.lookback_days, cfg.full_refresh, cfg.cap)
     return Built(domain, classified, bad, silver, gold)
 
 
+def load(spark: SparkSession, domain: Domain, cfg: RunConfig) -> Built:
+    """The stored layers of an earlier build."""
+    return Built(
+        domain,
+        read_layer(spark, cfg.path("staging", domain.staging)),
+        read_layer(spark, cfg.path("silver", domain.quarantine)),
+        read_layer(spark, cfg.path("silver", domain.silver)),
+        read_gold(spark, cfg.path("gold", domain.gold), domain.spec),
+    )
+
+
 def check(built: Iterable[Built], threshold: float = THRESHOLD) -> DataFrame:
     """Verdicts of all declared checks: columns, rejection rate, recomputation."""
     tables, columns, relations = {}, [], []
@@ -126,9 +147,7 @@ def gated_run(spark: SparkSession, cfg: RunConfig) -> DataFrame:
 
     gate("preflight", check_bronze(spark, cfg.bronze_root, [d.source for d in cfg.chosen()]))
 
-    # Domains share nothing, so their jobs are submitted side by side and fill each other's gaps.
-    with ThreadPoolExecutor(len(cfg.chosen())) as pool:
-        built = list(pool.map(lambda d: build(spark, d, cfg), cfg.chosen()))
+    built = side_by_side(lambda d: build(spark, d, cfg), cfg.chosen())
     gold = {b.domain.gold: b.gold for b in built}
     done.append(("build", "success", sum(df.count() for df in gold.values())))
 
@@ -138,7 +157,7 @@ def gated_run(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     exported = snapshot_all(spark, gold, f"{cfg.warehouse_root}/export")
     done.append(("export", "success", _sum_rows(exported)))
 
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {cfg.database} LOCATION '{cfg.warehouse_root}/{cfg.database}.db'")
+    create_layers(spark, cfg.warehouse_root, [cfg.database])
     docs = {b.domain.gold: (b.domain.comments[b.domain.gold], b.domain.gold_columns) for b in built}
     published = publish_all(spark, gold, cfg.database, f"{cfg.warehouse_root}/published", docs)
     done.append(("publish", "success", _sum_rows(published)))

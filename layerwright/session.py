@@ -9,7 +9,9 @@ from pyspark.sql import SparkSession
 
 # Settings the operators are designed for.  Anything the caller passes wins.
 # - UTC: timestamps here carry no zone, so no conversion may creep in.
-# - rebalance + skew join: AQE splits hot partitions and merges tiny ones.
+# - rebalance + skew join: AQE splits hot partitions and merges tiny ones.  The
+#   skew threshold is well below Spark's 256m: compressed shuffle bytes grow
+#   several-fold in a sort, and one key may hold a third of all rows.
 # - parallelismFirst off: on a large cluster, target the advisory size rather
 #   than one sliver per core.
 ENGINE_CONF = {
@@ -18,7 +20,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.ui.enabled": "false",
 }
@@ -34,6 +37,15 @@ def build_session(app: str = "layerwright", master: str | None = None, conf: dic
     return builder.getOrCreate()
 
 
+def use_engine_settings(spark: SparkSession) -> SparkSession:
+    """Give a session made elsewhere the engine's adaptive settings, where it names none itself."""
+    own = spark.sparkContext.getConf()
+    for key, value in ENGINE_CONF.items():
+        if key.startswith("spark.sql.adaptive.skewJoin") and not own.contains(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from layerwright.sources.bronze import union_by_name
+from layerwright.sources.snapshots import expire, next_version, snapshot_read
 
 LAYERS = ("staging", "silver", "gold")  # fixed values: a layer's database is its bare name
 
@@ -23,25 +23,29 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def write_layer(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Full rebuild of a layer table into a fresh build folder; answers the stored frame.
+def write_layer(df: DataFrame, path: str, partition_by: str | None = None, keep: int = 2) -> DataFrame:
+    """Full rebuild of a layer table as its next version; answers the stored frame.
 
-    The previous build stays intact until a reader is pointed at the new one,
-    so a lost job leaves the old table whole.  A partitioned write is
-    rebalanced first: a hot date is split over tasks, small ones share one, and
-    the table does not end up with a file per task and date.  An unpartitioned
-    write stays where its rows are; it needs no shuffle.
+    The table switches over when the new version is complete, so a lost job
+    leaves the old one whole; the newest `keep` versions stay for readers that
+    have just begun.  A partitioned write is rebalanced first: a hot date is
+    split over tasks, small ones share one, and the table does not end up with
+    a file per task and date.  An unpartitioned write stays where its rows
+    are; it needs no shuffle.
     """
-    return df.sparkSession.read.schema(df.schema).parquet(_build(df, path, partition_by))
-
-
-def _build(df: DataFrame, path: str, partition_by: str | None = None) -> str:
-    target = f"{path}/build={uuid.uuid4().hex[:12]}"
+    spark = df.sparkSession
+    target = next_version(spark, path)
     if partition_by:
         df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(target)
     else:
         df.write.parquet(target)
-    return target
+    expire(spark, path, keep)
+    return spark.read.schema(df.schema).parquet(target)
+
+
+def read_layer(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a layer table."""
+    return snapshot_read(spark, path)
 
 
 def _quote(text: str) -> str:
@@ -62,7 +66,10 @@ def publish(
     location alone.  Answers (table_name, rows).
     """
     spark = df.sparkSession
-    _switch(spark, name, df, _build(df, path))
+    target = next_version(spark, path)
+    df.write.parquet(target)
+    _switch(spark, name, df, target)
+    expire(spark, path, keep=2)
     document(spark, name, comment, column_comments or {})
     return spark.sql(f"SELECT {_quote(name)} AS table_name, count(*) AS rows FROM {name}")
 

@@ -18,9 +18,9 @@ def list_files(spark: SparkSession, pattern: str) -> Iterator:
     return iter(fs.globStatus(path) or [])
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the data files directly in a folder."""
+    return [s.getPath().getName() for s in list_files(spark, f"{folder}/[!_.]*")]
 
 
 def delete(spark: SparkSession, path: str) -> bool:

@@ -25,9 +25,16 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(v) for v in files.partition_values(spark, path, "version", _DONE))
 
 
-def _next_version(spark: SparkSession, path: str) -> int:
+def next_version(spark: SparkSession, path: str) -> str:
+    """Folder of the next version; numbers of broken-off writes are not used again."""
     started = [int(v) for v in files.partition_values(spark, path, "version")]
-    return max(started, default=-1) + 1
+    return f"{path}/version={max(started, default=-1) + 1}"
+
+
+def expire(spark: SparkSession, path: str, keep: int) -> None:
+    """Drop all but the newest `keep` committed versions."""
+    for version in versions(spark, path)[:-keep]:
+        files.delete(spark, f"{path}/version={version}")
 
 
 def snapshot_write(df: DataFrame, path: str, table_name: str) -> DataFrame:
@@ -37,8 +44,8 @@ def snapshot_write(df: DataFrame, path: str, table_name: str) -> DataFrame:
     of the files that landed.
     """
     spark = df.sparkSession
-    version = _next_version(spark, path)
-    target = f"{path}/version={version}"
+    target = next_version(spark, path)
+    version = int(target.rsplit("=", 1)[1])
     counted = Observation()
     (
         df.observe(counted, F.count(F.lit(1)).alias("rows"))

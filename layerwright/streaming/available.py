@@ -19,9 +19,11 @@ from layerwright.operators.grain import PART
 from layerwright.operators.incremental import collect_grains, in_grains, read_gold, repair_grains
 from layerwright.operators.quality import accepted, rejected
 from layerwright.plans.domains import Domain
+from layerwright.sources import files
 from layerwright.sources.bronze import stream_bronze
 
 BATCH = "batch_id"
+MAX_FILES = 10_000  # a backlog is worked off in micro-batches of at most this many files
 
 
 @dataclass(frozen=True)
@@ -48,12 +50,9 @@ class StreamTables:
 
 
 def ingest_available(
-    spark: SparkSession, bronze_root: str, domain: Domain, tables: StreamTables, max_files: int | None = None
+    spark: SparkSession, bronze_root: str, domain: Domain, tables: StreamTables, max_files: int = MAX_FILES
 ) -> DataFrame:
-    """Process all landed files not seen yet, then stop; answers stored gold.
-
-    `max_files` bounds a micro-batch when a backlog is large.
-    """
+    """Process all landed files not seen yet, then stop; answers stored gold."""
     query = (
         stream_bronze(spark, bronze_root, domain.source, max_files)
         .writeStream.foreachBatch(lambda batch, number: apply_batch(batch, number, domain, tables))
@@ -67,42 +66,42 @@ def ingest_available(
 
 def apply_batch(batch: DataFrame, number: int, domain: Domain, tables: StreamTables) -> None:
     """One micro-batch.  Replaying it rewrites the same partitions with the same rows."""
+    spark = batch.sparkSession
     classified = domain.classify(domain.stage(batch)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bad = rejected(classified, domain.quarantine_columns)
         _overwrite(bad.withColumn(BATCH, F.lit(number)), tables.quarantine, BATCH)
         good = accepted(classified)
-        dated = domain.dated(good)
+        dated = domain.dated(good).withColumn(BATCH, F.lit(number))
         # Even file sizes per grain date, also when one date holds most of the batch.
-        dated = dated.withColumn(BATCH, F.lit(number)).hint("rebalance", PART)
-        _overwrite(dated, tables.log, PART, BATCH)
-        _refresh(good, dated.drop(BATCH).schema, domain, tables)
+        _overwrite(dated.hint("rebalance", PART), tables.log, PART, BATCH)
     finally:
         classified.unpersist()
+    if files.partition_values(spark, tables.log, PART):
+        _refresh(spark.read.schema(dated.schema).parquet(tables.log), number, domain, tables)
 
 
 def _overwrite(df: DataFrame, path: str, *parts: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
-def _refresh(good: DataFrame, log_schema, domain: Domain, tables: StreamTables) -> None:
-    spark = good.sparkSession
-    if good.isEmpty():
-        return
-    log = spark.read.schema(log_schema).parquet(tables.log)
-    touched = good.select(domain.key).distinct()
+def _refresh(log: DataFrame, number: int, domain: Domain, tables: StreamTables) -> None:
+    """Re-aggregate the grains batch `number` touched, from the log alone."""
+    touched = log.where(F.col(BATCH) == number).select(domain.key).distinct()
     # A correction can move a record to another date, so the dates of the
     # earlier copies of every touched key are affected as well.  Only the key
     # and the partition column are read for this.
     copies = log.select(domain.key, PART).join(touched, domain.key, "left_semi")
     grains = collect_grains(copies, domain.spec)
+    if not grains:
+        return
     silver = domain.to_silver(_competitors(log, grains, domain), for_gold=True)
     repair_grains(silver, tables.gold, domain.spec, grains)
 
 
 def _competitors(log: DataFrame, grains, domain: Domain) -> DataFrame:
     """Every logged row that could be, or could displace, a best row of these grains."""
-    columns = [c for c in log.columns if c != PART]
+    columns = [c for c in log.columns if c not in (PART, BATCH)]
     if domain.newest_wins:
         # Only a later date can displace a row: skip all partitions before the first grain.
         return log.where(F.col(PART) >= F.lit(min(grains))).select(*columns)

@@ -15,7 +15,7 @@ from layerwright.operators.quality import (
     rejection_summary,
 )
 from layerwright.plans.domains import COMMITS, DOMAINS, FILINGS, REQUESTS
-from layerwright.plans.gated import RunConfig, build_from, check
+from layerwright.plans.gated import RunConfig, build_from, check, side_by_side
 from layerwright.session import run_dir
 from layerwright.sources.bronze import union_by_name
 from workload.oracle import ctes
@@ -316,7 +316,7 @@ def check_unique(spark, sf_dir):
 def all_verdicts(spark, sf_dir):
     """All 27 declared checks over the stored layers of the three stand-ins."""
     cfg = RunConfig(bronze_root="", warehouse_root=run_dir(spark, "checks"))
-    return check([build_from(STANDINS[d.source](spark, sf_dir), d, cfg) for d in DOMAINS.values()])
+    return check(side_by_side(lambda d: build_from(STANDINS[d.source](spark, sf_dir), d, cfg), list(DOMAINS.values())))
 
 
 def _verdict_sql():

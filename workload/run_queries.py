@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from layerwright.operators.quality import rejection_summary
-from layerwright.operators.synthesis import Nulled, Renamed, in_blocks, in_turn, inject_defects, late_record, sample_rows
+from layerwright.plans.demo import SEED, late_request, messy_commits, messy_requests
 from layerwright.plans.domains import COMMITS, FILINGS, KNOWN_INTENTIONAL_FAILURES, REQUESTS
 from layerwright.plans.gated import RunConfig, run_report
 from layerwright.session import run_dir
@@ -17,20 +17,19 @@ from workload.standins import filings, messages, raw_commits, raw_filings, raw_r
 
 # ---- synthesis ---------------------------------------------------------------
 
-SEED = 7  # fixed value
-
-_PICKED_R = f"""picked AS (SELECT *, row_number() OVER (ORDER BY md5('{SEED}|' || request_id), request_id) - 1 AS position
+_PICKED_R = f"""picked AS (SELECT *, row_number() OVER (
+    ORDER BY md5(concat_ws('|', '{SEED}', request_id, strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f'))), request_id) - 1 AS position
   FROM slv_r QUALIFY position < 60)"""
 
 
-def messy_requests(spark, sf_dir):
-    """15 rows without agency, 15 without a date, 15 with the key renamed, 15 clean."""
-    rows = raw_requests(silver(spark, sf_dir, REQUESTS)).withColumn("request_id", F.col("unique_key").cast("bigint"))
-    numbered = sample_rows(rows, 60, ["request_id"], SEED).withColumn(
-        "unique_key", F.concat(F.lit("9"), (F.col("position") + 900000).cast("string"))
-    )
-    defects = [Nulled("agency"), Nulled("created_date"), Renamed("unique_key", "unique_id")]
-    return inject_defects(numbered, defects, in_blocks(15, len(defects)))
+def _messy(spark, sf_dir):
+    return messy_requests(raw_requests(silver(spark, sf_dir, REQUESTS)))
+
+
+def _stage_some(messy, domain, kept, wanted):
+    """Classified, with the bookkeeping columns kept beside the staged ones."""
+    mapping = domain.mapping()
+    return domain.classify(messy.select(*kept, *[mapping[c].alias(c) for c in wanted]))
 
 
 @query(
@@ -46,11 +45,8 @@ def messy_requests(spark, sf_dir):
          FROM picked""",
 )
 def inject_requests(spark, sf_dir):
-    """T-4, W-5, W-6: a messy batch, staged and classified."""
-    messy = messy_requests(spark, sf_dir).drop("request_id")
-    kept = {c: F.col(c) for c in ("position", "defect", "unique_id")}
-    wanted = {c: REQUESTS.mapping()[c] for c in ("request_id", "agency", "created_at")}
-    return REQUESTS.classify(messy.select(*[c.alias(n) for n, c in {**kept, **wanted}.items()]))
+    """T-4, W-5, W-6: 15 rows without agency, 15 without a date, 15 with the key renamed, 15 clean."""
+    return _stage_some(_messy(spark, sf_dir), REQUESTS, ("position", "defect", "unique_id"), ("request_id", "agency", "created_at"))
 
 
 _PICKED_M = f"""picked AS (SELECT *, row_number() OVER (ORDER BY md5('{SEED}|' || commit_sha), commit_sha) - 1 AS position
@@ -67,33 +63,15 @@ _PICKED_M = f"""picked AS (SELECT *, row_number() OVER (ORDER BY md5('{SEED}|' |
 )
 def inject_commits(spark, sf_dir):
     """T-5: nested date null, nested date dropped, clean, by turns, under fresh hashes."""
-    rows = raw_commits(silver(spark, sf_dir, COMMITS))
-    numbered = sample_rows(rows, 6, ["sha"], SEED).withColumn(
-        "sha", F.concat(F.lit("deadbeef"), F.lpad(F.lower(F.hex("position")), 32, "0"))
-    )
-    messy = inject_defects(numbered, [Nulled("commit.author.date"), Nulled("commit.author.date")], in_turn(2))
-    wanted = {c: COMMITS.mapping()[c] for c in ("commit_sha", "authored_at")}
-    return COMMITS.classify(messy.select("position", "defect", *[c.alias(n) for n, c in wanted.items()]))
+    messy = messy_commits(raw_commits(silver(spark, sf_dir, COMMITS)))
+    return _stage_some(messy, COMMITS, ("position", "defect"), ("commit_sha", "authored_at"))
 
 
 def _with_late_record(spark, sf_dir):
-    """Raw requests, and one late copy of the first of them (fixed values: its overrides)."""
-    rows = raw_requests(silver(spark, sf_dir, REQUESTS)).withColumn("request_id", F.col("unique_key").cast("bigint"))
-    late = late_record(
-        rows,
-        ["request_id"],
-        {
-            "unique_key": F.lit("99999001"),
-            "created_date": F.lit("2024-01-05T23:50:00.000"),
-            "agency": F.lit("NYPD"),
-            "agency_name": F.lit("New York City Police Department"),
-            "complaint_type": F.lit("Noise - Street/Sidewalk"),
-            "status": F.lit("Closed"),
-            "closed_date": F.lit("2024-01-11T09:00:00.000"),
-        },
-        ingest_date=F.lit("2024-01-11").cast("date"),
-    )
-    return rows.drop("request_id"), late.drop("request_id")
+    """Raw requests, and one late copy of the first of them, dated into the tables' range."""
+    rows = raw_requests(silver(spark, sf_dir, REQUESTS))
+    dates = {"created_date": "2024-01-05T23:50:00.000", "closed_date": "2024-01-11T09:00:00.000"}
+    return rows, late_request(rows, dates, ingest_date="2024-01-11")
 
 
 @query(
@@ -129,7 +107,7 @@ def late_row_in_gold(spark, sf_dir):
 )
 def messy_summary(spark, sf_dir):
     """T-4, O-13, V-2: the messy batch lands as JSON, is read back, and quarantine explains it."""
-    messy = messy_requests(spark, sf_dir).drop("request_id", "position")
+    messy = _messy(spark, sf_dir).drop("position")
     root = f"{run_dir(spark, 'messy')}/bronze"
     # A nulled field is written as an explicit null; elsewhere an absent field is left out.
     explicit = F.col("defect") == 1

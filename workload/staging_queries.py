@@ -1,15 +1,15 @@
 """Bronze and staging: scans, merges, renames, nested access, safe casts."""
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import functions as F
 
 from layerwright.functions import trunc_ntz
 from layerwright.operators.staging import stage
 from layerwright.plans.domains import COMMITS, FILINGS, REQUESTS
+from layerwright.plans.gated import side_by_side
 from layerwright.session import run_dir
 from layerwright.sources import files
 from layerwright.sources.bronze import check_bronze, read_bronze, union_by_name, write_bronze
+from layerwright.sources.catalog import as_view
 from workload.oracle import ctes
 from workload.registry import query
 from workload.standins import RAW, STANDINS, filings, messages, raw_commits, raw_filings, raw_requests, requests, table
@@ -112,8 +112,7 @@ def bronze_union_by_name(spark, sf_dir):
 def land(spark, sf_dir, sources, label):
     """Write the stand-ins as JSON landings; answers the bronze root."""
     root = f"{run_dir(spark, label)}/bronze"
-    with ThreadPoolExecutor(len(sources)) as pool:
-        list(pool.map(lambda s: write_bronze(RAW[s](STANDINS[s](spark, sf_dir)), root, s), sources))
+    side_by_side(lambda s: write_bronze(RAW[s](STANDINS[s](spark, sf_dir)), root, s), sources)
     return root
 
 
@@ -161,6 +160,16 @@ def bronze_preflight(spark, sf_dir):
     return found.select("source", date.alias("ingest_date"), "length", "problem")
 
 
+@query(
+    "staging_view",
+    ctes("r") + "SELECT agency, count(*) AS n, count(closed_at) AS closed FROM stg_r WHERE status IS NOT NULL GROUP BY agency",
+)
+def staging_view(spark, sf_dir):
+    """O-1, S-6: staging as a view, computed when SQL reads it."""
+    as_view(REQUESTS.stage(raw_requests(requests(spark, sf_dir))), REQUESTS.staging)
+    return spark.sql(f"SELECT agency, count(*) AS n, count(closed_at) AS closed FROM {REQUESTS.staging} WHERE status IS NOT NULL GROUP BY agency")
+
+
 @query("staging_requests", ctes("r") + "SELECT * FROM stg_r")
 def staging_requests(spark, sf_dir):
     """P-1, P-4: flat request records, all text, to typed columns."""
