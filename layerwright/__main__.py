@@ -34,6 +34,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--lookback-days", type=int, default=3)
     parser.add_argument("--full-refresh", action="store_true")
     parser.add_argument("--threshold", type=float, default=0.02)
+    parser.add_argument("--gate-per-batch", action="store_true", help="judge every landing date by itself")
     parser.add_argument("--allow", action="append", default=[], help="name of a check known to fail (repeatable)")
     parser.add_argument("--ingest-date", default=LATE_INGEST_DATE, help="landing date of messy and late batches")
     return parser.parse_args(argv)
@@ -42,7 +43,15 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def config(args: argparse.Namespace) -> RunConfig:
     domains = {name: d for name, d in DOMAINS.items() if not args.source or name in args.source}
     return RunConfig(
-        args.bronze, args.warehouse, args.database, domains, args.lookback_days, args.full_refresh, args.threshold, tuple(args.allow)
+        bronze_root=args.bronze,
+        warehouse_root=args.warehouse,
+        database=args.database,
+        domains=domains,
+        lookback_days=args.lookback_days,
+        full_refresh=args.full_refresh,
+        threshold=args.threshold,
+        known_failures=tuple(args.allow),
+        gate_per_batch=args.gate_per_batch,
     )
 
 
@@ -64,7 +73,7 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> int:
         side_by_side(lambda d: build(spark, d, cfg), cfg.chosen())
         return 0
     if args.command == "check":
-        verdicts = check([load(spark, d, cfg) for d in cfg.chosen()], cfg.threshold)
+        verdicts = check([load(spark, d, cfg) for d in cfg.chosen()], cfg.threshold, cfg.gate_per_batch)
         verdicts.orderBy("check_name").show(100, truncate=False)
         return _show(unexpected_failures(verdicts, cfg.known_failures))
     if args.command == "run":

@@ -58,8 +58,9 @@ class Domain:
 
     # -- the layers, each a DataFrame of the one before --
 
-    def stage(self, bronze: DataFrame) -> DataFrame:
-        return stage(bronze, self.mapping())
+    def stage(self, bronze: DataFrame, lineage: Sequence[str] = ()) -> DataFrame:
+        """The staging relation; `lineage` columns (the landing date) may ride along."""
+        return stage(bronze, {**self.mapping(), **_columns(*lineage)})
 
     def classify(self, staged: DataFrame) -> DataFrame:
         return classify(staged, required(*self.not_null))

@@ -158,3 +158,28 @@ def test_missing_source_fails_preflight(spark):
 def test_there_are_27_declared_checks():
     columns = sum(len(c.not_null) + len(c.unique) for d in DOMAINS.values() for c in d.checks)
     assert columns + 2 * len(DOMAINS) == 27
+
+
+def test_gate_per_batch_sees_what_history_dilutes(spark):
+    root = run_dir(spark, "gated")
+    good = [(str(i), f"2024-01-{i % 28 + 1:02d}T10:00:00", "A", "Open", dt.date(2024, 2, 1)) for i in range(200)]
+    bad = [(str(900 + i), None if i == 0 else "2024-01-09T10:00:00", "A", "Open", dt.date(2024, 2, 2)) for i in range(3)]
+    write_bronze(spark.createDataFrame(good + bad, RAW_REQUEST), f"{root}/bronze", "nyc_311")
+    only = {"nyc_311": REQUESTS}
+    cfg = RunConfig(f"{root}/bronze", f"{root}/warehouse", database="batch_test", domains=only, gate_per_batch=True)
+    with pytest.raises(GateFailed) as failure:
+        gated_run(spark, cfg)
+    assert [(r["check_name"], r["failures"]) for r in failure.value.violations.collect()] == [(REQUESTS.rate_check, 1)]
+    whole = RunConfig(f"{root}/bronze", f"{root}/warehouse", database="batch_test", domains=only)
+    assert ordered(gated_run(spark, whole).where("stage = 'build'"))[0][1] == "success"
+
+
+def test_run_with_a_cap(spark):
+    root = run_dir(spark, "gated")
+    rows = [request("1", "2024-01-01T10:00:00"), request("2", "2990-01-01T10:00:00")]
+    write_bronze(spark.createDataFrame(rows, RAW_REQUEST), f"{root}/bronze", "nyc_311")
+    cfg = RunConfig(f"{root}/bronze", f"{root}/warehouse", database="cap_test", domains={"nyc_311": REQUESTS}, cap=dt.date(2024, 1, 2))
+    gated_run(spark, cfg)
+    write_bronze(spark.createDataFrame([request("3", "2024-01-02T10:00:00")], RAW_REQUEST), f"{root}/bronze", "nyc_311")
+    gated_run(spark, cfg)
+    assert spark.table(f"cap_test.{REQUESTS.gold}").count() == 3
