@@ -1,8 +1,9 @@
-"""Command line: `spark-submit -m layerwright <command> --bronze DIR --warehouse DIR`.
+"""Command line: `python -m layerwright <command> --bronze DIR --warehouse DIR`.
 
 preflight  list missing and empty landings
 build      bronze to gold for every domain
 check      verdicts of all checks over the stored layers; fails on unexpected ones
+sql        run a query over the stored layers (staging.*, silver.*, gold.*)
 run        preflight, build, check, export and publish, each behind the one before
 messy      land demonstration batches that trip the gate
 late       land a late-arriving record
@@ -19,15 +20,16 @@ from pyspark.sql import functions as F
 from layerwright.operators.checks import unexpected_failures
 from layerwright.plans.demo import LATE_INGEST_DATE, late_request, messy_commits, messy_requests
 from layerwright.plans.domains import DOMAINS
-from layerwright.plans.gated import GateFailed, RunConfig, build, check, gated_run, load, side_by_side
+from layerwright.plans.gated import GateFailed, RunConfig, build, check, gated_run, load, register_layers, side_by_side
 from layerwright.session import build_session
 from layerwright.sources.bronze import CORRUPT, INGEST_DATE, check_bronze, read_bronze, with_ingest_date, write_bronze
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="layerwright", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("command", choices=["preflight", "build", "check", "run", "messy", "late"])
-    parser.add_argument("--bronze", required=True)
+    parser.add_argument("command", choices=["preflight", "build", "check", "sql", "run", "messy", "late"])
+    parser.add_argument("--query", default="SHOW VIEWS IN gold", help="for sql")
+    parser.add_argument("--bronze", default="")
     parser.add_argument("--warehouse", default="")
     parser.add_argument("--source", action="append", choices=list(DOMAINS), help="only these sources (repeatable)")
     parser.add_argument("--database", default="layerwright_published")
@@ -76,6 +78,10 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> int:
         verdicts = check([load(spark, d, cfg) for d in cfg.chosen()], cfg.threshold, cfg.gate_per_batch)
         verdicts.orderBy("check_name").show(100, truncate=False)
         return _show(unexpected_failures(verdicts, cfg.known_failures))
+    if args.command == "sql":
+        register_layers(spark, cfg)
+        spark.sql(args.query).show(100, truncate=False)
+        return 0
     if args.command == "run":
         try:
             gated_run(spark, cfg).show(truncate=False)

@@ -14,7 +14,6 @@ from layerwright.operators.incremental import (
     repair_grains,
     replace_partitions,
     since,
-    upsert_by_key,
     watermark_frame,
 )
 from layerwright.operators.quality import (
@@ -31,6 +30,7 @@ from layerwright.operators.quality import (
 )
 from layerwright.operators.staging import stage
 from layerwright.operators.synthesis import inject_defects, late_record, sample_rows
+from layerwright.operators.upsert import survivors, upsert_by_key
 
 __all__ = [
     "GrainSpec",
@@ -64,6 +64,7 @@ __all__ = [
     "since",
     "split",
     "stage",
+    "survivors",
     "unexpected_failures",
     "unique",
     "upsert_by_key",

@@ -9,13 +9,13 @@ partition is ever rebuilt from part of its rows.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerwright.functions import days_before, ntz_literal, null_safe
+from layerwright.functions import days_before, ntz_literal
 from layerwright.operators.diff import recompute_diff
 from layerwright.operators.grain import PART, GrainSpec, aggregate
 from layerwright.sources import files
@@ -196,21 +196,3 @@ def missed_grains(silver: DataFrame, gold: DataFrame, spec: GrainSpec, lookback_
     expected = aggregate(before(silver, spec.date_col, start), spec)
     actual = before(gold, spec.date_name, start)
     return recompute_diff(expected, actual, spec.keys, list(spec.measures))
-
-
-# ---- delete + insert by key -------------------------------------------------
-
-
-def survivors(gold: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key the batch does not bring (NULL keys match NULL keys)."""
-    brought = batch.select(*keys).distinct().alias("b")
-    return gold.alias("g").join(brought, null_safe(keys, "g", "b"), "left_anti")
-
-
-def upsert_by_key(gold: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Delete + insert as a set operation: survivors plus the batch.
-
-    Store it as a new snapshot version; a Parquet path cannot be read and
-    overwritten in one plan.
-    """
-    return survivors(gold, batch, keys).unionByName(batch)

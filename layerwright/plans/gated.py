@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from layerwright.operators.checks import run_checks, unexpected_failures
 from layerwright.operators.diff import recompute_diff
 from layerwright.operators.grain import PART, aggregate
-from layerwright.operators.incremental import LOOKBACK_DAYS, incremental_run, read_gold
+from layerwright.operators.incremental import LOOKBACK_DAYS, has_gold, incremental_run, read_gold
 from layerwright.operators.quality import REASON, THRESHOLD, accepted, rejected, rejection_gate
 from layerwright.plans.domains import DOMAINS, Domain
 from layerwright.sources.bronze import INGEST_DATE, check_bronze, read_bronze
-from layerwright.sources.catalog import create_layers, publish_all, read_layer, write_layer
-from layerwright.sources.snapshots import snapshot_all
+from layerwright.sources.catalog import create_layers, publish_all, read_layer, register_view, write_layer
+from layerwright.sources.snapshots import snapshot_all, version_path
 
 STAGES = ("preflight", "build", "check", "export", "publish")
 
@@ -109,6 +109,24 @@ def load(spark: SparkSession, domain: Domain, cfg: RunConfig) -> Built:
     )
 
 
+def register_layers(spark: SparkSession, cfg: RunConfig) -> None:
+    """Make the stored layers queryable by name: staging.*, silver.* and gold.*."""
+    create_layers(spark, cfg.warehouse_root)
+    for d in cfg.chosen():
+        relations = {
+            ("staging", d.staging): list(d.mapping()),
+            ("silver", d.silver): list(d.conform()),
+            ("silver", d.quarantine): [*d.quarantine_columns, REASON],
+        }
+        for (layer, table), columns in relations.items():
+            folder = version_path(spark, cfg.path(layer, table))
+            register_view(spark, f"{layer}.{table}", folder, columns, d.comments.get(table, ""))
+        if has_gold(spark, cfg.path("gold", d.gold)):
+            date = f"CAST({PART} AS TIMESTAMP_NTZ) AS {d.spec.date_name}"
+            columns = [date, *d.spec.dims, *d.spec.measures]
+            register_view(spark, f"gold.{d.gold}", cfg.path("gold", d.gold), columns, d.comments[d.gold])
+
+
 def check(built: Iterable[Built], threshold: float = THRESHOLD, per_batch: bool = False) -> DataFrame:
     """Verdicts of all declared checks: columns, rejection rate, recomputation.
 

@@ -92,7 +92,7 @@ def check_bronze(spark: SparkSession, root: str, sources: Iterable[str] = tuple(
     problems = []
     for source in sources:
         found = 0
-        for status in files.list_files(spark, f"{root}/{source}/{INGEST_DATE}={ingest_date}/*.json*"):
+        for status in files.list_files(spark, f"{root}/{source}/{INGEST_DATE}={ingest_date}/[!_.]*.json*"):
             found += 1
             if status.getLen() == 0:
                 problems.append((source, status.getPath().toString(), 0, "empty_file"))

@@ -48,6 +48,13 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
     return snapshot_read(spark, path)
 
 
+def register_view(spark: SparkSession, name: str, path: str, columns: Sequence[str], comment: str = "") -> None:
+    """A catalog view over the Parquet files of one folder; files are listed anew by each query."""
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} COMMENT {_quote(comment)} AS SELECT {', '.join(columns)} FROM parquet.`{path}`"
+    )
+
+
 def _quote(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

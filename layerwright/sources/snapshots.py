@@ -7,11 +7,12 @@ manifest that is written after all of them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from layerwright.operators.upsert import upsert_by_key
 from layerwright.sources import files
 from layerwright.sources.bronze import union_by_name
 
@@ -59,13 +60,25 @@ def snapshot_write(df: DataFrame, path: str, table_name: str) -> DataFrame:
     return spark.createDataFrame([(table_name, version, landed)], _AUDIT)
 
 
-def snapshot_read(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """The latest committed version, or the one asked for."""
+def version_path(spark: SparkSession, path: str, version: int | None = None) -> str:
+    """Folder of the latest committed version, or of the one asked for."""
     known = versions(spark, path)
     chosen = version if version is not None else (known[-1] if known else None)
     if chosen not in known:
         raise FileNotFoundError(f"{path} has no version {chosen} (committed: {known})")
-    return spark.read.parquet(f"{path}/version={chosen}")
+    return f"{path}/version={chosen}"
+
+
+def snapshot_read(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    return spark.read.parquet(version_path(spark, path, version))
+
+
+def snapshot_upsert(batch: DataFrame, path: str, keys: Sequence[str], table_name: str) -> DataFrame:
+    """Delete + insert by key against the latest version, stored as the next one."""
+    spark = batch.sparkSession
+    if not versions(spark, path):
+        return snapshot_write(batch, path, table_name)
+    return snapshot_write(upsert_by_key(snapshot_read(spark, path), batch, keys), path, table_name)
 
 
 def snapshot_all(spark: SparkSession, frames: Mapping[str, DataFrame], root: str) -> DataFrame:

@@ -31,6 +31,9 @@ def test_build_check_and_run(spark, run):
     allow = [word for name in KNOWN_INTENTIONAL_FAILURES for word in ("--allow", name)]
     assert run("preflight") == 0
     assert run("build") == 0
+    assert run("sql", "--query", "SELECT rejection_reason, count(*) FROM silver.rejected_311_requests GROUP BY 1") == 0
+    assert spark.table("gold.gold_311_daily_agency_summary").dtypes[0] == ("request_date", "timestamp_ntz")
+    assert spark.table("staging.stg_nyc_311").columns == list(REQUESTS.mapping())
     assert run("check", "--threshold", "0.03") == 1
     assert run("check", "--threshold", "0.03", *allow) == 0
     assert run("run", "--threshold", "0.03") == 1

@@ -18,10 +18,9 @@ from layerwright.operators.incremental import (
     read_gold,
     repair_grains,
     since,
-    survivors,
-    upsert_by_key,
     watermark_frame,
 )
+from layerwright.operators.upsert import survivors, upsert_by_key
 from layerwright.plans.domains import FILINGS, REQUESTS
 from layerwright.session import run_dir
 from layerwright.sources.catalog import write_layer

@@ -14,14 +14,15 @@ from layerwright.operators.incremental import (
     read_gold,
     repair_grains,
     since,
-    upsert_by_key,
     watermark_frame,
     cutoff,
 )
+from layerwright.operators.upsert import upsert_by_key
 from layerwright.plans.domains import COMMITS, DOMAINS, FILINGS, REQUESTS
 from layerwright.session import run_dir
 from layerwright.sources.bronze import union_by_name
 from layerwright.sources.catalog import write_layer
+from layerwright.sources.snapshots import snapshot_read, snapshot_upsert
 from workload.oracle import ctes, gold_of
 from workload.quality_queries import gold, silver
 from workload.registry import query
@@ -78,7 +79,7 @@ def watermark_cutoff(spark, sf_dir):
         watermark_frame(gold(spark, sf_dir, d), d.spec).select(F.lit(d.source).alias("domain"), "watermark", "cutoff")
         for d in DOMAINS.values()
     ]
-    none = gold(spark, sf_dir, FILINGS).where("filing_count < 0")
+    none = gold(spark, sf_dir, FILINGS).where("false")
     frames.append(watermark_frame(none, FILINGS.spec).select(F.lit("empty").alias("domain"), "watermark", "cutoff"))
     return union_by_name(frames)
 
@@ -247,6 +248,18 @@ def upsert_lineitem(spark, sf_dir):
     return upsert_by_key(mart(items.where("l_returnflag <> 'N'")), mart(items.where("l_linestatus = 'F'")), keys)
 
 
+@query("upsert_into_snapshot", ctes("r") + "SELECT * FROM gld_r")
+def upsert_snapshot(spark, sf_dir):
+    """O-5, O-6: the base export lacks the newest days; the batch brings them as the next version."""
+    path = f"{run_dir(spark, 'upserted')}/{REQUESTS.gold}"
+    mart = gold(spark, sf_dir, REQUESTS)
+    start = cutoff(mart, REQUESTS.spec)
+    stale = mart.withColumn("request_count", F.when(F.col("request_date") < ntz_literal(start), F.col("request_count")).otherwise(0))
+    snapshot_upsert(stale.where("agency <> 'view' OR complaint_type <> 'T1' OR request_count > 0"), path, REQUESTS.spec.keys, REQUESTS.gold)
+    snapshot_upsert(mart.where(F.col("request_date") >= ntz_literal(start)), path, REQUESTS.spec.keys, REQUESTS.gold)
+    return snapshot_read(spark, path)
+
+
 @query("gold_read_back", ctes("r") + "SELECT * FROM gld_r WHERE request_date >= timestamp '2024-01-10'")
 def gold_read_back(spark, sf_dir):
     """O-5: stored gold shows its DATE partitions as timestamps, and a date filter prunes them."""

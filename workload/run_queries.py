@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from layerwright.operators.quality import rejection_summary
 from layerwright.plans.demo import SEED, late_request, messy_commits, messy_requests
 from layerwright.plans.domains import COMMITS, FILINGS, KNOWN_INTENTIONAL_FAILURES, REQUESTS
-from layerwright.plans.gated import RunConfig, run_report
+from layerwright.plans.gated import RunConfig, build_from, register_layers, run_report
 from layerwright.session import run_dir
 from layerwright.sources.bronze import read_bronze, union_by_name, write_bronze
 from layerwright.streaming.available import StreamTables, ingest_available
@@ -13,7 +13,7 @@ from workload.oracle import ctes
 from workload.quality_queries import silver
 from workload.registry import query
 from workload.staging_queries import land
-from workload.standins import filings, messages, raw_commits, raw_filings, raw_requests, requests
+from workload.standins import STANDINS, filings, messages, raw_commits, raw_filings, raw_requests, requests
 
 # ---- synthesis ---------------------------------------------------------------
 
@@ -157,6 +157,31 @@ def stream_quarantine(spark, sf_dir):
     return spark.read.parquet(tables.quarantine).drop("batch_id")
 
 
+# ---- layers by name ------------------------------------------------------------
+
+
+def _named_layers(spark, sf_dir, domain, label):
+    cfg = RunConfig("", run_dir(spark, label), domains={domain.source: domain})
+    build_from(STANDINS[domain.source](spark, sf_dir), domain, cfg)
+    register_layers(spark, cfg)
+
+
+@query("sql_over_gold", ctes("f") + "SELECT biz_state, sum(filing_count)::bigint AS filings, max(unique_filers) AS most FROM gld_f GROUP BY biz_state")
+def sql_over_gold(spark, sf_dir):
+    """O-12, S-6: stored gold is queried by its layer name."""
+    _named_layers(spark, sf_dir, FILINGS, "named-gold")
+    return spark.sql(
+        f"SELECT biz_state, sum(filing_count) AS filings, max(unique_filers) AS most FROM gold.{FILINGS.gold} GROUP BY biz_state"
+    )
+
+
+@query("sql_over_quarantine", ctes("m") + "SELECT rejection_reason, count(*) AS n FROM cls_m WHERE rejection_reason IS NOT NULL GROUP BY 1")
+def sql_over_quarantine(spark, sf_dir):
+    """V-2, O-2, O-12: why rows were rejected, straight from the quarantine table."""
+    _named_layers(spark, sf_dir, COMMITS, "named-quarantine")
+    return spark.sql(f"SELECT rejection_reason, count(*) AS n FROM silver.{COMMITS.quarantine} GROUP BY rejection_reason")
+
+
 # ---- gated runs --------------------------------------------------------------
 
 _GOLD_ROWS = "(SELECT count(*) FROM gld_r) + (SELECT count(*) FROM gld_m) + (SELECT count(*) FROM gld_f)"
