@@ -93,7 +93,8 @@ def replace_partitions(
     path: str,
     part: str,
     start: dt.date | None = None,
-    only: Iterable[dt.date] | None = None,
+    only: Iterable[dt.date | str] | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Make the partitions in scope equal to `batch`, leave all others alone.
 
@@ -102,6 +103,7 @@ def replace_partitions(
     rows for.  A partition in scope that still shows a file from before has
     become empty and is dropped; that takes two listings and no second pass
     over the batch.  Repeating a run, also a broken-off one, gives the same table.
+    rebalance=False saves the shuffle where each task's rows lie on few dates anyway.
     """
     spark = batch.sparkSession
     wanted = None if only is None else {str(d) for d in only}
@@ -114,13 +116,8 @@ def replace_partitions(
         return {(v, name) for v in values for name in files.names(spark, f"{path}/{part}={v}")}
 
     old = listing()
-    (
-        batch.hint("rebalance", part)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part)
-        .parquet(path)
-    )
+    rows = batch.hint("rebalance", part) if rebalance else batch
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
     for value in {v for v, _ in old & listing()}:
         files.delete(spark, f"{path}/{part}={value}")
 

@@ -62,6 +62,10 @@ class Domain:
         """The staging relation; `lineage` columns (the landing date) may ride along."""
         return stage(bronze, {**self.mapping(), **_columns(*lineage)})
 
+    def staging_rules(self) -> str:
+        """What staged rows depend on besides their source: a change calls for staging them again."""
+        return f"{self.mapping()} {list(self.not_null)}"
+
     def classify(self, staged: DataFrame) -> DataFrame:
         return classify(staged, required(*self.not_null))
 

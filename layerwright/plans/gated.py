@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from layerwright.operators.checks import run_checks, unexpected_failures
 from layerwright.operators.diff import recompute_diff
 from layerwright.operators.grain import PART, aggregate
-from layerwright.operators.incremental import LOOKBACK_DAYS, has_gold, incremental_run, read_gold
+from layerwright.operators.incremental import LOOKBACK_DAYS, has_gold, incremental_run, read_gold, replace_partitions
 from layerwright.operators.quality import REASON, THRESHOLD, accepted, rejected, rejection_gate
 from layerwright.plans.domains import DOMAINS, Domain
-from layerwright.sources.bronze import INGEST_DATE, check_bronze, read_bronze
+from layerwright.sources.bronze import INGEST_DATE, check_bronze, read_bronze, with_ingest_date
 from layerwright.sources.catalog import create_layers, publish_all, read_layer, register_view, write_layer
+from layerwright.sources.landings import changed, landed, remember, remembered
 from layerwright.sources.snapshots import snapshot_all, version_path
 
 STAGES = ("preflight", "build", "check", "export", "publish")
@@ -79,18 +80,43 @@ def side_by_side(fn: Callable, items: Sequence) -> list:
 
 
 def build(spark: SparkSession, domain: Domain, cfg: RunConfig) -> Built:
-    """Bronze to gold for one domain."""
-    staged = domain.stage(read_bronze(spark, cfg.bronze_root, domain.source), lineage=[INGEST_DATE])
-    return build_from(staged, domain, cfg)
+    """Bronze to gold for one domain.
+
+    JSON is parsed once per landing, not once per run: classified rows are
+    stored as Parquet by landing date, and only dates that changed are staged
+    again.  Both sides of the split, the counts and silver read from there, and
+    only the columns they need.
+    """
+    notes = f"{cfg.warehouse_root}/staging/_landings/{domain.staging}"
+    now = landed(spark, cfg.bronze_root, domain.source, domain.staging_rules())
+    dates = changed(now, {} if cfg.full_refresh else remembered(spark, notes))
+    bronze = read_bronze(spark, cfg.bronze_root, domain.source)
+    if len(dates) < len(now):
+        bronze = bronze.where(F.col(INGEST_DATE).isin([dt.date.fromisoformat(d) for d in dates]))
+    classified = _store_classified(domain.stage(bronze, lineage=[INGEST_DATE]), domain, cfg, dates)
+    if dates:
+        remember(spark, notes, now)
+    return _build_on(classified, domain, cfg)
 
 
 def build_from(staged: DataFrame, domain: Domain, cfg: RunConfig) -> Built:
-    """Staged rows to stored layers.
+    """The same from rows already staged; without a landing date they count as one landing."""
+    if INGEST_DATE not in staged.columns:
+        staged = with_ingest_date(staged, "1970-01-01")
+    return _build_on(_store_classified(staged, domain, cfg), domain, cfg)
 
-    JSON is parsed once: the classified rows are stored as Parquet and both
-    sides of the split, the counts and silver read only the columns they need.
-    """
-    classified = write_layer(domain.classify(staged), cfg.path("staging", domain.staging))
+
+def _store_classified(staged: DataFrame, domain: Domain, cfg: RunConfig, only: Sequence[str] | None = None) -> DataFrame:
+    """Classify and store by landing date (all dates, or `only` some)."""
+    path = cfg.path("staging", domain.staging)
+    rows = domain.classify(staged)
+    if only is None or only:
+        # A landing file belongs to one date, so no task writes to many.
+        replace_partitions(rows, path, INGEST_DATE, only=only, rebalance=False)
+    return staged.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _build_on(classified: DataFrame, domain: Domain, cfg: RunConfig) -> Built:
     bad = write_layer(rejected(classified, domain.quarantine_columns), cfg.path("silver", domain.quarantine))
     silver = domain.dated(domain.to_silver(accepted(classified)))
     silver = write_layer(silver, cfg.path("silver", domain.silver), partition_by=PART)
@@ -102,7 +128,7 @@ def load(spark: SparkSession, domain: Domain, cfg: RunConfig) -> Built:
     """The stored layers of an earlier build."""
     return Built(
         domain,
-        read_layer(spark, cfg.path("staging", domain.staging)),
+        spark.read.parquet(cfg.path("staging", domain.staging)),
         read_layer(spark, cfg.path("silver", domain.quarantine)),
         read_layer(spark, cfg.path("silver", domain.silver)),
         read_gold(spark, cfg.path("gold", domain.gold), domain.spec),
@@ -113,8 +139,8 @@ def register_layers(spark: SparkSession, cfg: RunConfig) -> None:
     """Make the stored layers queryable by name: staging.*, silver.* and gold.*."""
     create_layers(spark, cfg.warehouse_root)
     for d in cfg.chosen():
+        register_view(spark, f"staging.{d.staging}", cfg.path("staging", d.staging), list(d.mapping()))
         relations = {
-            ("staging", d.staging): list(d.mapping()),
             ("silver", d.silver): list(d.conform()),
             ("silver", d.quarantine): [*d.quarantine_columns, REASON],
         }

@@ -23,6 +23,13 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in list_files(spark, f"{folder}/[!_.]*")]
 
 
+def summary(spark: SparkSession, folder: str) -> tuple[int, int]:
+    """Number of files below a folder and their bytes."""
+    fs, p = _fs(spark, folder)
+    content = fs.getContentSummary(p)
+    return content.getFileCount(), content.getLength()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.delete(p, True)

@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,8 +8,9 @@ from layerwright.operators.grain import aggregate
 from layerwright.operators.incremental import read_gold
 from layerwright.operators.synthesis import Nulled, Renamed, in_blocks, in_turn, inject_defects, late_record, sample_rows, template_row
 from layerwright.plans.domains import COMMITS, DOMAINS, FILINGS, KNOWN_INTENTIONAL_FAILURES, REQUESTS
-from layerwright.plans.gated import GateFailed, RunConfig, gated_run
+from layerwright.plans.gated import GateFailed, RunConfig, build, gated_run
 from layerwright.session import run_dir
+from layerwright.sources import files
 from layerwright.sources.bronze import read_bronze, write_bronze
 from layerwright.sources.snapshots import versions
 from layerwright.streaming.available import StreamTables, apply_batch, ingest_available
@@ -183,3 +185,37 @@ def test_run_with_a_cap(spark):
     write_bronze(spark.createDataFrame([request("3", "2024-01-02T10:00:00")], RAW_REQUEST), f"{root}/bronze", "nyc_311")
     gated_run(spark, cfg)
     assert spark.table(f"cap_test.{REQUESTS.gold}").count() == 3
+
+
+def test_only_changed_landings_are_parsed_again(spark):
+    root = run_dir(spark, "landings")
+    cfg = RunConfig(f"{root}/bronze", f"{root}/warehouse", domains={"nyc_311": REQUESTS})
+    staging = cfg.path("staging", REQUESTS.staging)
+
+    def land(*data):
+        write_bronze(spark.createDataFrame(list(data), RAW_REQUEST), cfg.bronze_root, "nyc_311")
+
+    def built(**changes):
+        result = build(spark, REQUESTS, replace(cfg, **changes))
+        folders = files.partition_values(spark, staging, "ingest_date")
+        return {d: files.names(spark, f"{staging}/ingest_date={d}") for d in folders}, result
+
+    land(request("1", "2024-01-01T10:00:00"), request("2", "2024-01-02T10:00:00", landed="2024-01-02"))
+    first, _ = built()
+    again, _ = built()
+    assert again == first and sorted(first) == ["2024-01-01", "2024-01-02"]
+    # A new date is added; a file is added to an old one.
+    land(request("3", "2024-01-03T10:00:00", landed="2024-01-03"), request(None, "2024-01-02T10:00:00", landed="2024-01-02"))
+    grown, result = built()
+    assert grown["2024-01-01"] == first["2024-01-01"] and grown["2024-01-02"] != first["2024-01-02"]
+    assert (result.classified.count(), result.rejected.count(), result.silver.count()) == (4, 1, 3)
+    # A withdrawn landing goes; a full refresh stages everything anew.
+    files.delete(spark, f"{cfg.bronze_root}/nyc_311/ingest_date=2024-01-03")
+    shrunk, result = built()
+    assert "2024-01-03" not in shrunk and shrunk["2024-01-02"] == grown["2024-01-02"] and result.silver.count() == 2
+    anew, _ = built(full_refresh=True)
+    assert not set(anew["2024-01-01"]) & set(first["2024-01-01"])
+    # Other rules, other rows.
+    stricter = replace(REQUESTS, not_null=("request_id", "agency", "created_at", "status"))
+    result = build(spark, stricter, cfg)
+    assert not set(files.names(spark, f"{staging}/ingest_date=2024-01-01")) & set(anew["2024-01-01"])
