@@ -22,7 +22,7 @@ from layerwright.plans.demo import LATE_INGEST_DATE, late_request, messy_commits
 from layerwright.plans.domains import DOMAINS
 from layerwright.plans.gated import GateFailed, RunConfig, build, check, gated_run, load, register_layers, side_by_side
 from layerwright.session import build_session
-from layerwright.sources.bronze import CORRUPT, INGEST_DATE, check_bronze, read_bronze, with_ingest_date, write_bronze
+from layerwright.sources.bronze import CORRUPT, check_bronze, read_bronze, with_ingest_date, write_bronze
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:

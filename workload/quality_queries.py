@@ -8,7 +8,6 @@ from layerwright.operators.diff import recompute_diff
 from layerwright.operators.quality import (
     accepted,
     over_threshold,
-    rejected,
     rejection_gate,
     rejection_rate,
     rejection_rate_of,
