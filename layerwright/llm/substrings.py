@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerwright.llm.frames import prepare, stored, text_key
-from layerwright.llm.text import SPACE, Words, sliding_minimum, text_blocks, words
+from layerwright.llm.text import SPACE, Words, sliding, text_blocks, words
 
 SIZE = 20
 GRAM = 8
@@ -41,35 +41,35 @@ _LAST = (1 << 63) - 1  # stands for a NULL doc_id: after all others
 
 
 def anchored_windows(found: Words, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, anchor and word hashes' window hash of every window of a block."""
+    """First word, anchor and hash of every window of a block."""
     hashes = found.hashes()
     at, window = found.windows(hashes, size)
     grams_at, grams = found.windows(hashes, gram)
     every = np.full(max(len(hashes), 1), np.iinfo(np.uint64).max, np.uint64)
     every[grams_at] = grams
-    return at, sliding_minimum(every, size - gram + 1)[at] if len(at) else window, window
+    return at, sliding(np.minimum, every, size - gram + 1)[at] if len(at) else window, window
 
 
-def _distinct(docs: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (document, value) pairs and whether the value has several runs in the document."""
+def _distinct(docs: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Places of one of each (document, value), in order of both."""
     order = np.lexsort((values, docs))
     d, v = docs[order], values[order]
     fresh = np.ones(len(d), bool)
     fresh[1:] = (d[1:] != d[:-1]) | (v[1:] != v[:-1])
-    begin = np.flatnonzero(fresh)
-    return d[begin], v[begin], np.diff(np.append(begin, len(d))) > 1
+    return order[fresh]
 
 
 def _anchors(batches: Iterable[pa.RecordBatch], size: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """(anchor, doc, twice): distinct anchors of each document, and whether one has several runs in it."""
+    """(anchor, doc): distinct anchors of each document."""
     for batch, data, offsets in text_blocks(batches, "text"):
         found = words(data, offsets, SPACE)
         at, anchor, _ = anchored_windows(found, size, gram)
         doc = found.doc[at]
         run = np.ones(len(at), bool)
         run[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
-        d, a, twice = _distinct(doc[run], anchor[run])
-        yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), batch.column("doc").take(pa.array(d)), pa.array(twice)], names=["anchor", "doc", "twice"])
+        doc, anchor = doc[run], anchor[run]
+        one = _distinct(doc, anchor)
+        yield pa.RecordBatch.from_arrays([pa.array(anchor[one].view(np.int64)), batch.column("doc").take(pa.array(doc[one]))], names=["anchor", "doc"])
 
 
 def _candidates(batches: Iterable[pa.RecordBatch], size: int, gram: int) -> Iterator[pa.RecordBatch]:
@@ -82,12 +82,9 @@ def _candidates(batches: Iterable[pa.RecordBatch], size: int, gram: int) -> Iter
         at, h1, doc = at[keep], h1[keep], doc[keep]
         _, h2 = found.windows(found.hashes(1), size, 1)
         h2 = h2[keep]
-        order = np.lexsort((h1, doc))
-        doc, h1, h2 = doc[order], h1[order], h2[order]
-        fresh = np.ones(len(doc), bool)
-        fresh[1:] = (doc[1:] != doc[:-1]) | (h1[1:] != h1[:-1])
+        one = _distinct(doc, h1)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc").take(pa.array(doc[fresh])), pa.array(h1[fresh].view(np.int64)), pa.array(h2[fresh].view(np.int64))], names=["doc", "h1", "h2"])
+            [batch.column("doc").take(pa.array(doc[one])), pa.array(h1[one].view(np.int64)), pa.array(h2[one].view(np.int64))], names=["doc", "h1", "h2"])
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,8 +128,8 @@ def repeated_windows(docs: DataFrame, size: int, gram: int) -> DataFrame:
     """(doc, text, repeats, copy): the hashes of windows that start in an earlier document; whether one has the whole text."""
     firsts = docs.select("key", "doc").groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     docs_text = docs.select("doc", "text")
-    anchors = stored(docs_text.mapInArrow(lambda b: _anchors(b, size, gram), "anchor bigint, doc bigint, twice boolean"), "anchors")
-    counted = anchors.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.max("twice").alias("twice"))
+    anchors = stored(docs_text.mapInArrow(lambda b: _anchors(b, size, gram), "anchor bigint, doc bigint"), "anchors")
+    counted = anchors.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
     # A repeat inside one document needs no partner: it is found when the document is read.
     seen = counted.where("lo < hi").select("anchor")
     hits = stored(anchors.join(seen, "anchor").groupBy("doc").agg(F.collect_set("anchor").alias("anchors")), "anchor-hits")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from layerwright.llm.frames import prepare, stored, text_key
 from layerwright.llm.induced_sort import permuted_common_prefixes, suffix_array
-from layerwright.llm.text import rolling, sliding_minimum, text_blocks
+from layerwright.llm.text import rolling, sliding, text_blocks
 
 SIZE = 400
 GRAM = 64
@@ -46,12 +46,14 @@ _SEPARATOR = 0xFF  # no byte of UTF-8
 
 
 def anchor_runs(data: np.ndarray, offsets: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Stretches of window starts that share an anchor: document, first start in it, number of starts, anchor."""
-    n = len(data) - size + 1
+    """Stretches of window starts that share an anchor: document, first start in it, number of starts, anchor, and
+    whether the anchor stands at several places of the document."""
+    n, width = len(data) - size + 1, size - gram + 1
     if n <= 0:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, bool))
     at = np.arange(len(data) - gram + 1)
-    anchor = sliding_minimum(rolling(_VALUES[data], _GRAM_BASE, at, at + gram), size - gram + 1)
+    grams = rolling(_VALUES[data], _GRAM_BASE, at, at + gram)
+    anchor = sliding(np.minimum, grams, width)
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     valid = owner[:n] == owner[size - 1 :]
     change = np.ones(n, bool)
@@ -59,19 +61,26 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, size: int, gram: int) ->
     begins = valid & (change | ~np.append(False, valid[:-1]))
     stops = valid & (np.append(change[1:], True) | ~np.append(valid[1:], False))
     b, e = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    return owner[b], b - offsets[owner[b]], e - b, anchor[b]
+    # Places that are the smallest of some window: equal to the largest minimum of the windows they are in.
+    edge = np.zeros(width - 1, np.uint64)
+    places = np.flatnonzero(grams == sliding(np.maximum, np.concatenate([edge, anchor, edge]), width))
+    doc, value = np.append(owner[places], owner[b]), np.append(grams[places], anchor[b])
+    run = np.append(np.full(len(places), -1), np.arange(len(b)))
+    order = np.lexsort((run, value, doc))
+    group = np.concatenate([[0], np.cumsum((np.diff(doc[order]) != 0) | (np.diff(value[order]) != 0))])
+    several = (np.bincount(group, run[order] < 0) > 1)[group]
+    twice = np.zeros(len(b), bool)
+    mine = run[order] >= 0
+    twice[run[order][mine]] = several[mine]
+    return owner[b], b - offsets[owner[b]], e - b, anchor[b], twice
 
 
 def _anchors(batches: Iterable[pa.RecordBatch], size: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch, data, offsets in text_blocks(batches, "text"):
-        doc, start, run, anchor = anchor_runs(data, offsets, size, gram)
-        order = np.lexsort((anchor, doc))
-        again = np.zeros(len(doc), bool)
-        same = (doc[order][1:] == doc[order][:-1]) & (anchor[order][1:] == anchor[order][:-1])
-        again[order[1:][same]] = True
+        doc, start, run, anchor, twice = anchor_runs(data, offsets, size, gram)
         rows = pa.array(doc)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(anchor.view(np.int64)), batch.column("doc").take(rows), batch.column("key").take(rows), pa.array(start), pa.array(run), pa.array(again)],
+            [pa.array(anchor.view(np.int64)), batch.column("doc").take(rows), batch.column("key").take(rows), pa.array(start), pa.array(run), pa.array(twice)],
             names=["anchor", "doc", "key", "start", "run", "twice"])
 
 

@@ -147,11 +147,11 @@ def text_blocks(
             begin = end
 
 
-def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of each run of `width` values, by doubling."""
+def sliding(ufunc: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
+    """Minimum or maximum of each run of `width` values, by doubling."""
     out, have = values, 1
     while have < width:
         step = min(have, width - have)
-        out = np.minimum(out[: len(out) - step], out[step:])
+        out = ufunc(out[: len(out) - step], out[step:])
         have += step
     return out
