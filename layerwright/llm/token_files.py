@@ -21,11 +21,11 @@ written as often as they occur; an empty table gives no files and no rows.
 from __future__ import annotations
 
 import json
-import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +35,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright.llm.frames import prepare, stored
+from layerwright.llm.text import rolling, text_blocks
 
 LENGTH = 1024
 BATCH_ROWS = 128
-MEMO_PIECES = 1_000_000
-MEMO_PIECE_CHARS = 48
-
-# A plain space between two characters that are no white space starts a new token in byte-level BPE, whatever
-# stands around it: the pieces can be encoded one by one, and most of them many times over.
-_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+MEMO_PIECES = 600_000
+MEMO_PIECE_BYTES = 48
+
+_LETTER, _DIGIT, _PUNCTUATION = 1, 2, 3
+_KIND = np.zeros(256, np.uint8)
+_KIND[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = _PUNCTUATION
+_KIND[ord("'")] = 0  # may begin a contraction
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_PRINTED = np.zeros(256, bool)
+_PRINTED[0x21:0x7F] = True
+# First bytes of characters of 2 bytes, and of 3 and 4, among which there is no white space (that is under C2, E1, E2 and E3).
+_TWO = np.isin(np.arange(256), range(0xC3, 0xE0))
+_THREE = np.isin(np.arange(256), range(0xE4, 0xF0))
+_FOUR = np.isin(np.arange(256), range(0xF0, 0xF5))
+_OPENS = _PRINTED | _TWO | _THREE | _FOUR
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Places where byte-level BPE surely starts a new token, whatever stands around them.
+
+    Its pre-tokens are an optional space with letters, digits or other signs, and
+    runs of white space; a contraction begins with an apostrophe.  So one starts
+    where an ASCII letter, digit or sign (no apostrophe) follows one of another
+    kind, and at a single space between two characters that are no white space.
+    """
+    n = len(data)
+    cut = np.zeros(n, bool)
+    cut[offsets[:-1][offsets[:-1] < n]] = True
+    kind = _KIND[data]
+    cut[1:] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+    spaces = np.flatnonzero(data[1 : n - 1] == 0x20) + 1
+    back = lambda k: data[np.maximum(spaces - k, 0)]
+    later = back(1) >= 0x80
+    closes = _PRINTED[back(1)] | later & (_TWO[back(2)] | (back(2) >= 0x80) & (_THREE[back(3)] | (back(3) >= 0x80) & _FOUR[back(4)]))
+    cut[spaces[closes & _OPENS[data[spaces + 1]]]] = True
+    return np.flatnonzero(cut)
 
 
 class Encoder:
@@ -61,29 +93,47 @@ class Encoder:
         self.by_piece = (
             pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer")
         )
-        self.memo: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        kind = self.dtype
-        return [np.array(e.ids, kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        """Ids of one text as little-endian bytes of `dtype`."""
-        if not text:
-            return b""
-        if not self.by_piece:
-            return self._library([text])[0]
-        pieces = _BETWEEN.split(text)
-        pieces[1:] = [" " + p for p in pieces[1:]]
+        self.memo: dict[bytes, bytes] = {}
+
+    def _library(self, texts: list[bytes]) -> list[bytes]:
+        coded = self.library.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        ids = [e.ids for e in coded]
+        flat = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes()
+        at = np.cumsum([0, *map(len, ids)]) * self.dtype.itemsize
+        return [flat[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+    def _pieces(self, pieces: list[bytes]) -> list[bytes]:
         memo = self.memo
-        new = [p for p in set(pieces) if p not in memo]
-        extra: dict[str, bytes] = {}
-        if new:
-            for piece, ids in zip(new, self._library(new)):
-                (memo if len(memo) < MEMO_PIECES and len(piece) <= MEMO_PIECE_CHARS else extra)[piece] = ids
-        if extra:
-            return b"".join([memo[p] if p in memo else extra[p] for p in pieces])
-        return b"".join(map(memo.__getitem__, pieces))
+        new = [p for p in pieces if p not in memo]
+        extra: dict[bytes, bytes] = {}
+        for piece, ids in zip(new, self._library(new) if new else ()):
+            (memo if len(memo) < MEMO_PIECES and len(piece) <= MEMO_PIECE_BYTES else extra)[piece] = ids
+        return [memo[p] if p in memo else extra[p] for p in pieces]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a block of texts, one after another, and the number of ids of each text."""
+        n = len(offsets) - 1
+        starts = piece_starts(data, offsets) if self.by_piece else np.unique(offsets[:-1][np.diff(offsets) > 0])
+        if not len(starts):
+            return np.zeros(0, self.dtype), np.zeros(n, np.int64)
+        ends = np.append(starts[1:], len(data))
+        _, one, which = np.unique(rolling(_VALUES[data], _BASE, starts, ends), return_index=True, return_inverse=True)
+        if np.any((ends - starts)[one][which] != ends - starts):  # equal hashes of unequal pieces: take each as it is
+            one = which = np.arange(len(starts))
+        raw = data.tobytes()
+        coded = self._pieces([raw[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())])
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(coded), self.dtype)
+        counts = sizes[which]
+        before = np.cumsum(counts) - counts
+        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[which] - before, counts) + np.arange(int(counts.sum()))]
+        first = np.searchsorted(starts, offsets)
+        total = np.append(before, len(ids))
+        return ids, total[first[1:]] - total[first[:-1]]
+
+
+_VALUES = np.random.default_rng(50257).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
 
 
 @lru_cache(maxsize=2)
@@ -108,35 +158,27 @@ class _Writer:
 
     def __init__(self, stream, dtype: np.dtype, length: int, batch_rows: int):
         self.dtype, self.length, self.size = dtype, length, length * batch_rows
-        self.file = pa.ipc.new_file(stream, _schema(dtype, length))
-        self.waiting: list[bytes] = []
-        self.held = 0
-
-    def add(self, ids: bytes) -> None:
-        self.waiting.append(ids)
-        self.held += len(ids) // self.dtype.itemsize
-        if self.held >= self.size:
-            values = np.frombuffer(b"".join(self.waiting), self.dtype)
-            whole = len(values) // self.size * self.size
-            for i in range(0, whole, self.size):
-                self._batch(values[i : i + self.size], self.size)
-            self.waiting, self.held = [values[whole:].tobytes()], len(values) - whole
+        self.schema = _schema(dtype, length)
+        self.file = pa.ipc.new_file(stream, self.schema)
+        self.rest = np.zeros(0, dtype)
+
+    def add(self, ids: np.ndarray) -> None:
+        values = np.concatenate([self.rest, ids])
+        whole = len(values) // self.size * self.size
+        for i in range(0, whole, self.size):
+            self._batch(values[i : i + self.size], self.size)
+        self.rest = values[whole:].copy()
 
     def _batch(self, values: np.ndarray, real: int) -> None:
         tokens = pa.FixedSizeListArray.from_arrays(pa.array(values), self.length)
         mask = pa.FixedSizeListArray.from_arrays(pa.array(np.arange(len(values)) < real), self.length)
-        self.file.write_batch(pa.RecordBatch.from_arrays([tokens, mask], schema=self.file_schema))
-
-    @property
-    def file_schema(self) -> pa.Schema:
-        return _schema(self.dtype, self.length)
+        self.file.write_batch(pa.RecordBatch.from_arrays([tokens, mask], schema=self.schema))
 
     def close(self) -> None:
-        values = np.frombuffer(b"".join(self.waiting), self.dtype)
-        if len(values):
-            padded = np.zeros(-(-len(values) // self.length) * self.length, self.dtype)
-            padded[: len(values)] = values
-            self._batch(padded, len(values))
+        if len(self.rest):
+            padded = np.zeros(-(-len(self.rest) // self.length) * self.length, self.dtype)
+            padded[: len(self.rest)] = self.rest
+            self._batch(padded, len(self.rest))
         self.file.close()
 
 
@@ -151,32 +193,30 @@ def write_tokens(
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
-        end = np.array([end_id], coder.dtype).tobytes()
-        width = coder.dtype.itemsize
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}"
         fs, root = _open(folder)
-        out, ids, sizes, total = None, [], [], 0
-        for batch in batches:
-            for key, value in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                if out is None:
-                    fs.create_dir(root, recursive=True)
-                    stream = fs.open_output_stream(f"{root}/{name}.tokens.arrow")
-                    out = _Writer(stream, coder.dtype, length, batch_rows)
-                coded = coder.encode(value.as_py()) + end
-                out.add(coded)
-                ids.append(key)
-                sizes.append(len(coded) // width)
+        out, keys, sizes = None, [], []
+        for batch, data, offsets in text_blocks(batches, "text"):
+            if out is None:
+                fs.create_dir(root, recursive=True)
+                stream = fs.open_output_stream(f"{root}/{name}.tokens.arrow")
+                out = _Writer(stream, coder.dtype, length, batch_rows)
+            ids, counts = coder.encode(data, offsets)
+            ended = np.full(len(ids) + len(counts), end_id, coder.dtype)
+            ended[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+            out.add(ended)
+            keys.append(batch.column("doc_id"))
+            sizes.append(counts + 1)
         if out is None:
             return
         out.close()
         stream.close()
-        sizes = np.array(sizes, np.int64)
-        table = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.cumsum(sizes) - sizes), pa.array(sizes)], schema=_INDEX)
+        sizes = np.concatenate(sizes)
+        table = pa.RecordBatch.from_arrays([pa.concat_arrays(keys), pa.array(np.cumsum(sizes) - sizes), pa.array(sizes)], schema=_INDEX)
         with fs.open_output_stream(f"{root}/{name}.index.arrow") as sink, pa.ipc.new_file(sink, _INDEX) as index:
             index.write_batch(table)
-        total = int(sizes.sum())
-        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "file": [name], "docs": [len(ids)], "tokens": [total]})
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "file": [name], "docs": [len(sizes)], "tokens": [int(sizes.sum())]})
 
     return stored(ordered.mapInArrow(write, _MANIFEST), "token-manifest")
 
