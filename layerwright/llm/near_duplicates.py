@@ -5,12 +5,14 @@ A document's set holds the 64-bit hashes of its distinct runs of `shingle` words
 are one class, and only a class's smallest doc_id takes part further on.
 
 * MinHash: `bands * rows` minima per class; a band's minima hash to its bucket.
-* Odd sketch: each minimum flips one bit of a 1024-bit parity map, so the bits in
+* Odd sketches: each minimum flips one bit of a 1024-bit parity map, so the bits in
   which two maps differ count the minima in which they differ, precisely for high
   similarities.  A pair is dropped only if it differs in more bits than a pair at
-  the threshold can by chance (`SPREADS` standard deviations), or if the set
-  sizes alone rule the threshold out.
-* What is left is confirmed on the full sets.
+  the threshold can by chance (`SPREADS` standard deviations).  A second map takes
+  all shingles: its bits can't differ in more places than the sets do, so it and the
+  set sizes rule pairs out for certain, above all of short texts.
+* What is left is confirmed on the full sets, which are cut from the texts of those
+  documents alone that share a bucket.
 
 Buckets may hold a third of all documents, so they are never expanded into all
 pairs.  First every member is compared with its bucket's smallest member; the
@@ -42,6 +44,7 @@ SHINGLE = 5
 BANDS, ROWS = 48, 5
 SKETCH_WORDS = 16  # 1024 bits
 SPREADS = 4.5
+MAX_BROADCAST_IDS = 1_000_000  # 8 MB of ids: more are joined by a shuffle
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -93,6 +96,14 @@ class Signer:
             sketch[rows, (bit >> np.uint64(6)).astype(np.int64)] ^= np.uint64(1) << (bit & np.uint64(63))
         return buckets.view(np.int64), sketch.view(np.int64)
 
+    def parity(self, values: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """(sets, words) odd sketches of all members of the sets."""
+        out = np.zeros((len(first) - 1) * self.words, np.uint64)
+        bit = mix(values + np.uint64(1)) % np.uint64(64 * self.words)
+        owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        np.bitwise_xor.at(out, owner * self.words + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+        return out.reshape(-1, self.words).view(np.int64)
+
 
 def most_differing_bits(percent: int = 75, samples: int = BANDS * ROWS, bits: int = 64 * SKETCH_WORDS, spreads: float = SPREADS) -> int:
     """Bits in which two sketches at the threshold differ at most, but for chance beyond `spreads` deviations.
@@ -109,7 +120,7 @@ def most_differing_bits(percent: int = 75, samples: int = BANDS * ROWS, bits: in
 
 
 def set_signatures(docs: DataFrame, signer: Signer, shingle: int, doc: str, text: str) -> DataFrame:
-    """doc_id, n_shingles, the set's 128-bit identity (k1, k2), bands and sketch (empty for an empty set)."""
+    """doc_id, n_shingles, the set's 128-bit identity (k1, k2), bands, sketch and parity (empty for an empty set)."""
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_blocks(batches, "text"):
@@ -118,23 +129,25 @@ def set_signatures(docs: DataFrame, signer: Signer, shingle: int, doc: str, text
             full = np.flatnonzero(counts)
             k1, k2 = np.zeros(len(counts), np.uint64), np.zeros(len(counts), np.uint64)
             bands, sketches = np.zeros((0, signer.bands), np.int64), np.zeros((0, signer.words), np.int64)
+            parity = sketches
             if len(full):
                 begin = np.concatenate([first[full], [len(values)]])
                 k1[full] = np.add.reduceat(mix(values), begin[:-1])
                 k2[full] = np.add.reduceat(mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)), begin[:-1])
                 bands, sketches = signer.sign(values, begin)
+                parity = signer.parity(values, begin)
             lists = []
-            for table in (bands, sketches):
+            for table in (bands, sketches, parity):
                 ends = np.zeros(len(counts) + 1, np.int32)
                 ends[1:] = np.cumsum((counts > 0) * table.shape[1])
                 lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(table.ravel())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), *lists],
-                names=["doc_id", "n_shingles", "k1", "k2", "bands", "sketch"],
+                names=["doc_id", "n_shingles", "k1", "k2", "bands", "sketch", "parity"],
             )
 
     source = docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return source.mapInArrow(sign, "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>, sketch array<bigint>")
+    return source.mapInArrow(sign, "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>, sketch array<bigint>, parity array<bigint>")
 
 
 def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -153,8 +166,23 @@ def _bits_apart(a: str, b: str, n: int = SKETCH_WORDS):
     return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(n)), F.lit(0))
 
 
-def _sizes_allow(a: str, b: str, percent: int):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _side(sketches: DataFrame, name: str) -> DataFrame:
+    return sketches.select(*(F.col(c).alias(f"{c}_{name}") for c in sketches.columns))
+
+
+def _allowed(percent: int):
+    """What set sizes and parity maps of all shingles leave possible of a pair of _side() rows.
+
+    At the threshold p the sets differ in (1 - p) / (1 + p) of their joint size.
+    """
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    return sizes & (_bits_apart("parity_a", "parity_b") * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+
+
+def _likely(pairs: DataFrame, sketches: DataFrame, percent: int, near: int) -> DataFrame:
+    """The pairs (id_a, id_b) that sizes, parity maps and odd sketches of the minima leave."""
+    both = pairs.join(_side(sketches, "a"), "id_a").join(_side(sketches, "b"), "id_b").where(_allowed(percent))
+    return both.where(_bits_apart("sketch_a", "sketch_b") <= near).select("id_a", "id_b").distinct()
 
 
 def near_duplicates(
@@ -174,35 +202,42 @@ def near_duplicates(
             classes.withColumnsRenamed({"n_shingles": "n", "k1": "c1", "k2": "c2"}),
             (F.col("n_shingles") == F.col("n")) & (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")), "left",
         ).select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"), "k1", "k2"), "classes")
-    # Representatives: one row per class (a doc_id that stands for two classes, by repeated rows, has two).
-    own = members.where("doc_id = class_id").select(F.col("doc_id").alias("d"), F.col("k1").alias("c1"), F.col("k2").alias("c2")).distinct()
-    firsts = signed.join(own, (F.col("doc_id") == F.col("d")) & (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2"))).select(
-        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "k1", "k2", "sketch", "bands")
-    firsts = stored(firsts.dropDuplicates(["id", "k1", "k2"]).drop("k1", "k2"), "representatives")
-    sketches = firsts.select("id", "n", "sketch")
+    # One row per class, combined before the shuffle (a doc_id may stand for two classes, by repeated rows).
+    firsts = signed.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "k1", "k2").agg(
+        F.min("doc_id").alias("id"), F.min_by(F.struct("bands", "sketch", "parity"), "doc_id").alias("s"))
+    firsts = stored(firsts.select("id", F.col("n_shingles").alias("n"), "s.*"), "representatives")
     buckets = firsts.select("id", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("id").alias("center"), F.max("id").alias("top")).where("center < top").select("bucket", "center")
     buckets = stored(buckets.join(shared, "bucket"), "buckets")
 
+    # What the comparisons need, of the documents that share a bucket.
+    active = stored(buckets.select("id").distinct(), "active")
+    sketches = stored(firsts.join(active, "id", "left_semi").select("id", "n", "sketch", "parity"), "sketches")
+    ids = active.select(F.col("id").alias("doc_id"))
+    ids = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+    texts = docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).alias("text")).join(ids, "doc_id", "left_semi")
+    sets = stored(shingle_sets(texts, shingle), "sets")
+
     near = most_differing_bits(percent, bands * rows)
-    texts = docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    stars = buckets.where("id > center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
-    stars = stored(_sorted_out(stars, sketches, percent, near), "star-pairs")
-    links = stored(_confirmed(stars, texts, firsts, shingle, percent), "star-links")
+    stars = buckets.where("id > center").select(F.col("center").alias("id_a"), F.col("id").alias("id_b")).distinct()
+    stars = stored(_likely(stars, sketches, percent, near), "star-pairs")
+    links = stored(_confirmed(stars, sets, percent), "star-links")
     joined = components(links, "star-components")
 
-    # Members of one bucket in different components; buckets that came together drop out before any pairing.
+    # Members of one bucket in different components: those outside the bucket's main component, against all.  A bucket
+    # that came together drops out before any pairing, and a large component is never paired with itself.
     placed = buckets.select("bucket", "id").join(joined, buckets["id"] == joined["node"], "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
     placed = stored(placed, "placed")
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-    rest = placed.join(open_, "bucket").join(sketches, "id")
-    left = rest.select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = rest.select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    apart = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sizes_allow("na", "nb", percent) & (_bits_apart("sa", "sb") <= near)
-    across = left.join(right.withColumnRenamed("bucket", "bucket_b"), (F.col("bucket") == F.col("bucket_b")) & apart).select("a", "b").distinct()
-    across = stored(across.join(stars, ["a", "b"], "left_anti"), "cross-pairs")
-    more = _confirmed(across, texts, firsts, shingle, percent)
-    links = links.unionAll(more)
+    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("m"))
+    open_ = parts.groupBy("bucket").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    rest = stored(placed.join(open_.select("bucket", "main"), "bucket").join(sketches.drop("sketch"), "id"), "open-buckets")
+    outside, everyone = _side(rest.where("component != main"), "a"), _side(rest, "b")
+    once = (F.col("component_b") == F.col("main_b")) | (F.col("id_a") < F.col("id_b"))
+    apart = (F.col("component_a") != F.col("component_b")) & once & _allowed(percent)
+    across = outside.join(everyone, (F.col("bucket_a") == F.col("bucket_b")) & apart).select(
+        F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
+    across = stored(_likely(across.join(stars, ["id_a", "id_b"], "left_anti"), sketches, percent, near), "cross-pairs")
+    links = links.unionAll(_confirmed(across, sets, percent))
     # A doc_id on rows of different sets joins their classes.
     twice = members.where("class_id is not null").groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("b")).where("a < b")
     twice = members.where("class_id is not null").join(twice.select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
@@ -215,24 +250,14 @@ def near_duplicates(
         F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"))
 
 
-def _sorted_out(pairs: DataFrame, sketches: DataFrame, percent: int, near: int) -> DataFrame:
-    """The pairs that set sizes and odd sketches leave possible."""
-    a = sketches.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    b = sketches.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    both = pairs.join(a, "a").join(b, "b").where(_sizes_allow("na", "nb", percent))
-    return both.where(_bits_apart("sa", "sb") <= near).select("a", "b").distinct()
-
-
-def _confirmed(pairs: DataFrame, texts: DataFrame, firsts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(shingle_sets(texts.join(ids, "doc_id", "left_semi"), shingle), "sets")
-    a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(a, "a").join(b, "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - common
-    return both.where(common * 100 >= union * percent).select("a", "b").distinct()
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
+    first = sets.select(F.col("doc_id").alias("id_a"), F.col("shingles").alias("set_a"))
+    second = sets.select(F.col("doc_id").alias("id_b"), F.col("shingles").alias("set_b"))
+    both = pairs.join(first, "id_a").join(second, "id_b")
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    union = F.size("set_a") + F.size("set_b") - common
+    return both.where(common * 100 >= union * percent).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
 def without_near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 # Separator bytes of the two word patterns.
 SPACE = np.zeros(256, bool)  # words are [^\x20\x09-\x0D]+
