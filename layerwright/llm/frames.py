@@ -22,7 +22,7 @@ def prepare(spark: SparkSession) -> None:
     with `--py-files`).
     """
     if not spark.sparkContext.getConf().contains(_BATCH_BYTES):
-        spark.conf.set(_BATCH_BYTES, str(32 << 20))
+        spark.conf.set(_BATCH_BYTES, str(8 << 20))
     paths = spark.sparkContext.environment.setdefault("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [_ROOT])

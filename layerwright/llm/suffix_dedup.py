@@ -36,13 +36,14 @@ from layerwright.llm.text import rolling, sliding, text_blocks
 
 SIZE = 400
 GRAM = 64
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 512 << 10
 HOT_BYTES = 4 << 20
 
 _GRAM_BASE = 0x9E3779B97F4A7C15
 _WINDOW_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _VALUES = np.random.default_rng(411).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SEPARATOR = 0xFF  # no byte of UTF-8
+_NO_ID = (1 << 63) - 1
 
 
 def anchor_runs(data: np.ndarray, offsets: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -76,12 +77,12 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, size: int, gram: int) ->
 
 
 def _anchors(batches: Iterable[pa.RecordBatch], size: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Stretches as (anchor, node, place, twice); place holds the start in its high half, the number of starts in the low one."""
     for batch, data, offsets in text_blocks(batches, "text"):
         doc, start, run, anchor, twice = anchor_runs(data, offsets, size, gram)
-        rows = pa.array(doc)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(anchor.view(np.int64)), batch.column("doc").take(rows), batch.column("key").take(rows), pa.array(start), pa.array(run), pa.array(twice)],
-            names=["anchor", "doc", "key", "start", "run", "twice"])
+            [pa.array(anchor.view(np.int64)), batch.column("node").take(pa.array(doc)), pa.array(start << 32 | run), pa.array(twice)],
+            names=["anchor", "node", "place", "twice"])
 
 
 def _slices(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -91,13 +92,16 @@ def _slices(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         docs, keys = batch.column("doc").to_pylist(), batch.column("key").to_pylist()
         for d, stretches in enumerate(batch.column("stretches").to_pylist()):
             for x in stretches:
+                start, run = x["place"] >> 32, x["place"] & 0xFFFFFFFF
+                begin, end = offsets[d] + start, offsets[d] + start + run + size - 1
+                if end > offsets[d + 1]:
+                    continue  # of another text with the same node
                 rows["shard"].append(x["shard"])
                 rows["salt"].append(x["salt"])
                 rows["doc"].append(docs[d])
                 rows["key"].append(keys[d])
-                rows["start"].append(x["start"])
-                begin = offsets[d] + x["start"]
-                rows["bytes"].append(data[begin : begin + x["run"] + size - 1].tobytes())
+                rows["start"].append(start)
+                rows["bytes"].append(data[begin:end].tobytes())
         yield pa.RecordBatch.from_pydict(rows, _SLICE)
 
 
@@ -109,19 +113,29 @@ _FOUND = pa.schema([
 _FOUND_DDL = "doc bigint, key binary, begin bigint, end bigint, shard bigint, h1 bigint, h2 bigint, open boolean"
 
 
-def _merged(table: pa.Table) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
-    """Stretches of a shard, joined where they overlap in one document: owners, their starts, bytes, offsets of the bytes."""
-    rows = sorted(zip(table.column("key").to_pylist(), table.column("doc").to_pylist(), table.column("start").to_pylist(), table.column("bytes").to_pylist()),
-                  key=lambda r: (r[0], r[1] is None, r[1] or 0, r[2]))
-    owners, starts, pieces = [], [], []
-    for key, doc, start, raw in rows:
+def _distinct(table: pa.Table) -> tuple[list, list]:
+    """Slices (key, doc, start, bytes, whether there are equal ones) of a shard, each content once; the others that have an equal one."""
+    names = ("key", "doc", "start", "bytes")
+    rows = set(zip(*(table.column(n).to_pylist() for n in names)))
+    alike: dict[bytes, list] = {}
+    for row in sorted(rows, key=lambda r: (r[0], r[1] is None, r[1] or 0, r[2])):
+        alike.setdefault(row[3], []).append(row)
+    return [(*r[0], len(r) > 1) for r in alike.values()], [x for r in alike.values() for x in r[1:]]
+
+
+def _merged(rows: list) -> tuple[list, np.ndarray, list, np.ndarray, list]:
+    """Slices joined where they overlap in one document: owners, starts, bytes, lengths; and the known stretches as (piece, begin, end)."""
+    owners, starts, pieces, known = [], [], [], []
+    for key, doc, start, raw, equal in sorted(rows, key=lambda r: (r[0], r[1] is None, r[1] or 0, r[2])):
         if owners and owners[-1] == (doc, key) and start <= starts[-1] + len(pieces[-1]):
             pieces[-1] += raw[max(0, starts[-1] + len(pieces[-1]) - start) :]
         else:
             owners.append((doc, key))
             starts.append(start)
             pieces.append(bytearray(raw))
-    return owners, np.array(starts, np.int64), pieces, np.array([len(p) for p in pieces], np.int64)
+        if equal:
+            known.append((len(pieces) - 1, start - starts[-1], start - starts[-1] + len(raw)))
+    return owners, np.array(starts, np.int64), pieces, np.array([len(p) for p in pieces], np.int64), known
 
 
 def repeated_starts(pieces: list, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,9 +155,15 @@ def repeated_starts(pieces: list, lengths: np.ndarray, size: int) -> tuple[np.nd
 
 
 def _shard(table: pa.Table, size: int) -> pa.Table:
-    """Repeated stretches of one shard; of a part of a hot anchor also its distinct windows."""
-    owners, starts, pieces, lengths = _merged(table)
+    """Repeated stretches of one shard; of a part of a hot anchor also its distinct windows.
+
+    Slices with the same bytes are repeats from end to end, and one of them stands for all in the suffix array.
+    """
+    rows, others = _distinct(table)
+    owners, starts, pieces, lengths, known = _merged(rows)
     raw, at, hit = repeated_starts(pieces, lengths, size)
+    for piece, begin, end in known:
+        hit[at[piece] + begin : at[piece] + end - size + 1] = True
     cover = np.zeros(len(raw) + 1, np.int64)
     begins = np.flatnonzero(hit)
     np.add.at(cover, begins, 1)
@@ -153,6 +173,8 @@ def _shard(table: pa.Table, size: int) -> pa.Table:
     b, e = edges[::2], edges[1::2]  # separators are never covered, so a run lies in one piece
     piece = np.searchsorted(at, b, "right") - 1
     out = [_rows(owners, piece, starts[piece] + b - at[piece], starts[piece] + e - at[piece])]
+    begin = np.array([o[2] for o in others], np.int64)
+    out.append(_rows([(o[1], o[0]) for o in others], range(len(others)), begin, begin + np.array([len(o[3]) for o in others], np.int64)))
     salt, shard = table.column("salt")[0].as_py(), table.column("shard")[0].as_py()
     if salt >= 0:
         whole = np.repeat(at + lengths, lengths + 1) - np.arange(len(raw)) >= size
@@ -177,21 +199,21 @@ def _rows(owners, piece, begin, end, shard=None, h1=None, h2=None, open_=None) -
     ], schema=_FOUND)
 
 
-def repeated_stretches(docs: DataFrame, size: int, gram: int, shard_bytes: int, hot_bytes: int) -> DataFrame:
-    """docs(doc, key, text) distinct by text: (doc, key, begin, end) of stretches covered by repeated windows, overlaps possible."""
-    found = stored(docs.mapInArrow(lambda b: _anchors(b, size, gram), "anchor bigint, doc bigint, key binary, start bigint, run bigint, twice boolean"), "byte-anchors")
-    extent = F.sum(F.col("run") + (size - 1))
-    seen = found.groupBy("anchor").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.max("twice").alias("twice"), extent.alias("bytes"))
+def repeated_stretches(docs: DataFrame, later: DataFrame, size: int, gram: int, shard_bytes: int, hot_bytes: int) -> DataFrame:
+    """docs(doc, key, node, text), copies left out by `later`: (doc, key, begin, end) of stretches covered by repeated windows."""
+    found = docs.select("node", "text").mapInArrow(lambda b: _anchors(b, size, gram), "anchor bigint, node bigint, place bigint, twice boolean")
+    found = stored(found.join(later, "node", "left_anti"), "byte-anchors")
+    extent = F.sum(F.col("place").bitwiseAND(0xFFFFFFFF) + (size - 1))
+    seen = found.groupBy("anchor").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("twice").alias("twice"), extent.alias("bytes"))
     seen = stored(seen.where("lo != hi or twice").select("anchor", F.ceil(F.col("bytes") / hot_bytes).cast("int").alias("salts"), "bytes"), "repeated-anchors")
     total = seen.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_bytes))
     hot = F.col("salts") > 1
     shard = F.when(hot, F.col("anchor")).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    salt = F.when(hot, F.pmod(F.xxhash64("key"), F.col("salts")).cast("int")).otherwise(F.lit(-1))
-    stretches = found.join(seen.select("anchor", "salts"), "anchor").groupBy("doc", "key").agg(
-        F.collect_list(F.struct(shard.alias("shard"), salt.alias("salt"), "start", "run")).alias("stretches"))
-    stretches = stretches.withColumnsRenamed({"doc": "d", "key": "k"})
-    joined = docs.join(stretches, F.col("doc").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).select("doc", "key", "text", "stretches")
+    salt = F.when(hot, F.pmod(F.xxhash64("node"), F.col("salts")).cast("int")).otherwise(F.lit(-1))
+    stretches = found.join(seen.select("anchor", "salts"), "anchor").groupBy("node").agg(
+        F.collect_list(F.struct(shard.alias("shard"), salt.alias("salt"), "place")).alias("stretches"))
+    joined = docs.join(stored(stretches, "anchor-places"), "node").select("doc", "key", "text", "stretches")
     slices = joined.mapInArrow(lambda b: _slices(b, size), "shard bigint, salt int, doc bigint, key binary, start bigint, bytes binary")
     rows = stored(slices.groupBy("shard", "salt").applyInArrow(lambda t: _shard(t, size), _FOUND_DDL), "stretches")
     windows = rows.where("h1 is not null")
@@ -212,23 +234,23 @@ def remove_repeated_strings(
         raise ValueError("gram must be between 1 and size")
     prepare(docs.sparkSession)
     source = docs.select(F.col(doc).cast("bigint").alias("doc"), text_key(F.col(text)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # A document is known by 64 bits of its id and text where its stretches are counted, which keeps those rows short.
+    source = source.withColumn("node", F.xxhash64(F.coalesce(F.col("doc"), F.lit(_NO_ID)), "key"))
     long = source.where(F.octet_length("text") >= size)
     # NULL ids count as the largest, so that a group of copies has one first row to stand for it.
-    rank = F.coalesce(F.col("doc"), F.lit((1 << 63) - 1))
-    groups = long.select("key", rank.alias("rank")).groupBy("key").agg(F.count("*").alias("n"), F.min("rank").alias("first")).where("n > 1")
-    copies = long.select("doc", "key").join(groups, "key").select("doc", "key", (rank > F.col("first")).alias("later"))
-    copies = copies.groupBy("doc").agg(
-        F.collect_set("key").alias("copy_keys"), F.collect_set(F.when(F.col("later"), F.col("key"))).alias("later_keys"))
-    copies = stored(copies.withColumnRenamed("doc", "copy_doc"), "copies")
+    rank = F.coalesce(F.col("doc"), F.lit(_NO_ID))
+    narrow = stored(long.select("doc", "key", "node"), "text-keys")
+    groups = narrow.groupBy("key").agg(F.count("*").alias("n"), F.min(rank).alias("first")).where("n > 1")
+    alike = narrow.join(groups, "key").select("doc", "key", "node", (rank > F.col("first")).alias("later"))
+    alike = stored(alike, "alike")
+    copies = alike.groupBy(F.col("doc").alias("copy_doc")).agg(F.collect_set("key").alias("copy_keys"))
     same = F.col("doc").eqNullSafe(F.col("copy_doc"))
-    among = lambda keys: F.coalesce(F.array_contains(keys, F.col("key")), F.lit(False))
-    firsts = long.join(copies, same, "left").where(~among("later_keys")).select("doc", "key", "text")
-    stretches = repeated_stretches(firsts, size, gram, shard_bytes, hot_bytes)
+    stretches = repeated_stretches(long, alike.where("later").select("node").distinct(), size, gram, shard_bytes, hot_bytes)
     spans = stretches.groupBy("doc").agg(F.collect_list(F.struct("key", "begin", "end")).alias("spans"))
     spans = stored(spans.withColumnRenamed("doc", "span_doc"), "spans")
     none = F.array().cast(spans.schema["spans"].dataType)
     marked = source.join(spans, F.col("doc").eqNullSafe(F.col("span_doc")), "left").join(copies, same, "left").select(
-        "doc", "text", F.filter(F.coalesce("spans", none), lambda s: s["key"] == F.col("key")).alias("spans"), among("copy_keys").alias("copy"))
+        "doc", "text", F.filter(F.coalesce("spans", none), lambda s: s["key"] == F.col("key")).alias("spans"), F.coalesce(F.array_contains("copy_keys", F.col("key")), F.lit(False)).alias("copy"))
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_blocks(batches, "text"):

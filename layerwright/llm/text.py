@@ -1,7 +1,7 @@
 """Words of whole texts, found and hashed with numpy over Arrow buffers.
 
-A task sees its texts as one byte array with document offsets, in blocks of a
-few megabytes (a longer document is a block of its own), so memory is bounded by
+A task sees its texts as one byte array with document offsets, in blocks of about
+a megabyte (a longer document is a block of its own), so memory is bounded by
 the block and no Python object is made per word.  Separators are ASCII bytes:
 every byte of a longer UTF-8 character belongs to a word, so cutting bytes cuts
 characters the same way.
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 # Separator bytes of the two word patterns.
 SPACE = np.zeros(256, bool)  # words are [^\x20\x09-\x0D]+
