@@ -11,18 +11,21 @@ from layerwright.session import run_dir
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def prepare(spark: SparkSession) -> None:
     """Settings the operators rely on, where the session names none.
 
-    Arrow batches are bounded by bytes too, since a text has no size limit, and
-    Python workers of a local session find this package (on a cluster it comes
+    Arrow batches are bounded by bytes too, since a text has no size limit, and by
+    fewer rows, since texts are long; Python workers of a local session find this package (on a cluster it comes
     with `--py-files`).
     """
-    if not spark.sparkContext.getConf().contains(_BATCH_BYTES):
-        spark.conf.set(_BATCH_BYTES, str(8 << 20))
+    own = spark.sparkContext.getConf()
+    for key, value in ((_BATCH_BYTES, 8 << 20), (_BATCH_ROWS, 2000)):
+        if not own.contains(key):
+            spark.conf.set(key, str(value))
     paths = spark.sparkContext.environment.setdefault("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [_ROOT])

@@ -20,7 +20,6 @@ written as often as they occur; an empty table gives no files and no rows.
 
 from __future__ import annotations
 
-import json
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -39,8 +38,8 @@ from layerwright.llm.text import rolling, text_blocks
 
 LENGTH = 1024
 BATCH_ROWS = 128
-MEMO_PIECES = 600_000
-MEMO_PIECE_BYTES = 48
+MEMO_PIECES = 1_500_000
+MEMO_IDS = 12_000_000
 
 _LETTER, _DIGIT, _PUNCTUATION = 1, 2, 3
 _KIND = np.zeros(256, np.uint8)
@@ -79,61 +78,78 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Whole texts to ids with the tokenizers library, remembering the ids of pieces seen before."""
+    """Whole texts to ids with the tokenizers library, remembering the ids of pieces seen before.
+
+    Pieces are known by 128 bits of hash, kept sorted with the place of their ids in
+    one array, so a million of them take some 40 MB and no Python object each.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        pre = spec.get("pre_tokenizer") or {}
-        self.by_piece = (
-            pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer")
-        )
-        self.memo: dict[bytes, bytes] = {}
+        pre = self.library.pre_tokenizer
+        self.by_piece = isinstance(pre, ByteLevel) and pre.use_regex and not pre.add_prefix_space and self.library.normalizer is None
+        self.first = self.second = np.zeros(0, np.uint64)
+        self.at, self.size = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.ids, self.used = np.zeros(1 << 16, self.dtype), 0
 
-    def _library(self, texts: list[bytes]) -> list[bytes]:
+    def _library(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         coded = self.library.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         ids = [e.ids for e in coded]
-        flat = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes()
-        at = np.cumsum([0, *map(len, ids)]) * self.dtype.itemsize
-        return [flat[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-
-    def _pieces(self, pieces: list[bytes]) -> list[bytes]:
-        memo = self.memo
-        new = [p for p in pieces if p not in memo]
-        extra: dict[bytes, bytes] = {}
-        for piece, ids in zip(new, self._library(new) if new else ()):
-            (memo if len(memo) < MEMO_PIECES and len(piece) <= MEMO_PIECE_BYTES else extra)[piece] = ids
-        return [memo[p] if p in memo else extra[p] for p in pieces]
+        return np.fromiter(chain.from_iterable(ids), self.dtype), np.fromiter(map(len, ids), np.int32, len(ids))
+
+    def _look_up(self, first: np.ndarray, second: np.ndarray, piece) -> tuple[np.ndarray, np.ndarray]:
+        """Places and numbers of ids of distinct pieces in order of `first`; piece(i) gives the bytes of one."""
+        place = np.searchsorted(self.first, first)
+        at, size = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        known = np.flatnonzero(place < len(self.first))
+        known = known[(self.first[place[known]] == first[known]) & (self.second[place[known]] == second[known])]
+        at[known], size[known] = self.at[place[known]], self.size[place[known]]
+        new = np.ones(len(first), bool)
+        new[known] = False
+        new = np.flatnonzero(new)
+        if len(new):
+            ids, sizes = self._library([piece(i) for i in new.tolist()])
+            end = self.used + len(ids)
+            if end > len(self.ids):
+                self.ids = np.concatenate([self.ids[: self.used], np.zeros(end, self.dtype)])
+            self.ids[self.used : end] = ids
+            at[new], size[new] = self.used + np.cumsum(sizes) - sizes, sizes
+            if len(self.first) + len(new) <= MEMO_PIECES and end <= MEMO_IDS:
+                self.first, self.second = np.insert(self.first, place[new], first[new]), np.insert(self.second, place[new], second[new])
+                self.at, self.size = np.insert(self.at, place[new], at[new]), np.insert(self.size, place[new], sizes)
+                self.used = end
+        return at, size
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a block of texts, one after another, and the number of ids of each text."""
         n = len(offsets) - 1
-        starts = piece_starts(data, offsets) if self.by_piece else np.unique(offsets[:-1][np.diff(offsets) > 0])
+        raw = data.tobytes()
+        if not self.by_piece:
+            ids, counts = self._library([raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
+            return ids, counts.astype(np.int64)
+        starts = piece_starts(data, offsets)
         if not len(starts):
             return np.zeros(0, self.dtype), np.zeros(n, np.int64)
         ends = np.append(starts[1:], len(data))
-        _, one, which = np.unique(rolling(_VALUES[data], _BASE, starts, ends), return_index=True, return_inverse=True)
-        if np.any((ends - starts)[one][which] != ends - starts):  # equal hashes of unequal pieces: take each as it is
-            one = which = np.arange(len(starts))
-        raw = data.tobytes()
-        coded = self._pieces([raw[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())])
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // self.dtype.itemsize
-        flat = np.frombuffer(b"".join(coded), self.dtype)
-        counts = sizes[which]
+        values = _VALUES[data]
+        second = rolling(values, _BASES[1], starts, ends)
+        first, one, which = np.unique(rolling(values, _BASES[0], starts, ends), return_index=True, return_inverse=True)
+        at, size = self._look_up(first, second[one], lambda i: raw[starts[one[i]] : ends[one[i]]])
+        counts = size[which]
         before = np.cumsum(counts) - counts
-        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[which] - before, counts) + np.arange(int(counts.sum()))]
-        first = np.searchsorted(starts, offsets)
+        ids = self.ids[np.repeat(at[which] - before, counts) + np.arange(int(counts.sum()))]
         total = np.append(before, len(ids))
-        return ids, total[first[1:]] - total[first[:-1]]
+        edges = np.searchsorted(starts, offsets)
+        return ids, total[edges[1:]] - total[edges[:-1]]
 
 
 _VALUES = np.random.default_rng(50257).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 @lru_cache(maxsize=2)
@@ -197,7 +213,7 @@ def write_tokens(
         name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}"
         fs, root = _open(folder)
         out, keys, sizes = None, [], []
-        for batch, data, offsets in text_blocks(batches, "text"):
+        for batch, data, offsets in text_blocks(batches, "text", 2 << 20):
             if out is None:
                 fs.create_dir(root, recursive=True)
                 stream = fs.open_output_stream(f"{root}/{name}.tokens.arrow")
