@@ -89,10 +89,13 @@ def build(spark: SparkSession, domain: Domain, cfg: RunConfig) -> Built:
     """
     notes = f"{cfg.warehouse_root}/staging/_landings/{domain.staging}"
     now = landed(spark, cfg.bronze_root, domain.source, domain.staging_rules())
-    dates = changed(now, {} if cfg.full_refresh else remembered(spark, notes))
+    before = remembered(spark, notes)
+    # A refresh stages every date anew, and drops those that were withdrawn since.
+    dates = sorted(now.keys() | before.keys()) if cfg.full_refresh else changed(now, before)
     bronze = read_bronze(spark, cfg.bronze_root, domain.source)
-    if len(dates) < len(now):
-        bronze = bronze.where(F.col(INGEST_DATE).isin([dt.date.fromisoformat(d) for d in dates]))
+    if not now.keys() <= set(dates):
+        # As text, so that any year and the folder of rows without a date are dates like others.
+        bronze = bronze.where(F.coalesce(F.col(INGEST_DATE).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).isin(dates))
     classified = _store_classified(domain.stage(bronze, lineage=[INGEST_DATE]), domain, cfg, dates)
     if dates:
         remember(spark, notes, now)

@@ -38,6 +38,10 @@ SOURCES: dict[str, str] = {
 }
 
 
+# JSON lines as written here and elsewhere, plain or compressed; anything else (a half-written .tmp) is no landing.
+ENDINGS = "*.{json,jsonl,json.gz,jsonl.gz,json.bz2,jsonl.bz2,json.zst,jsonl.zst,json.lz4,jsonl.lz4}"
+
+
 def bronze_schema(source: str) -> str:
     return f"{SOURCES[source].strip()}, {CORRUPT} string, {INGEST_DATE} date"
 
@@ -46,7 +50,7 @@ def _reader(reader, source: str, root: str):
     return (
         reader.schema(bronze_schema(source))
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.json*")
+        .option("pathGlobFilter", ENDINGS)
         .json(f"{root}/{source}")
     )
 
@@ -92,7 +96,7 @@ def check_bronze(spark: SparkSession, root: str, sources: Iterable[str] = tuple(
     problems = []
     for source in sources:
         found = 0
-        for status in files.list_files(spark, f"{root}/{source}/{INGEST_DATE}={ingest_date}/[!_.]*.json*"):
+        for status in files.list_files(spark, f"{root}/{source}/{INGEST_DATE}={ingest_date}/[!_.]{ENDINGS}"):
             found += 1
             if status.getLen() == 0:
                 problems.append((source, status.getPath().toString(), 0, "empty_file"))

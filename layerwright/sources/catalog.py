@@ -65,18 +65,20 @@ def publish(
     path: str,
     comment: str = "",
     column_comments: Mapping[str, str] | None = None,
+    keep: int = 2,
 ) -> DataFrame:
     """Create or replace the table `name` as these rows, with its documentation.
 
     The rows are complete under a new folder before the catalog entry is
     touched; an existing table of the same shape is then switched over by its
-    location alone.  Answers (table_name, rows).
+    location alone, one of another shape is dropped and created.  The newest
+    `keep` versions stay on storage.  Answers (table_name, rows).
     """
     spark = df.sparkSession
     target = next_version(spark, path)
     df.write.parquet(target)
     _switch(spark, name, df, target)
-    expire(spark, path, keep=2)
+    expire(spark, path, keep=keep)
     document(spark, name, comment, column_comments or {})
     return spark.sql(f"SELECT {_quote(name)} AS table_name, count(*) AS rows FROM {name}")
 
