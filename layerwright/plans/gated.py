@@ -17,9 +17,18 @@ from pyspark.sql import functions as F
 from layerwright.operators.checks import run_checks, unexpected_failures
 from layerwright.operators.diff import recompute_diff
 from layerwright.operators.grain import PART, aggregate
-from layerwright.operators.incremental import LOOKBACK_DAYS, has_gold, incremental_run, read_gold, replace_partitions
+from layerwright.operators.incremental import (
+    LOOKBACK_DAYS,
+    has_gold,
+    incremental_run,
+    missed_grains,
+    read_or_empty,
+    repair_grains,
+    replace_partitions,
+)
 from layerwright.operators.quality import REASON, THRESHOLD, accepted, rejected, rejection_gate
 from layerwright.plans.domains import DOMAINS, Domain
+from layerwright.sources import files
 from layerwright.sources.bronze import INGEST_DATE, check_bronze, read_bronze, with_ingest_date
 from layerwright.sources.catalog import create_layers, publish_all, read_layer, register_view, write_layer
 from layerwright.sources.landings import changed, landed, remember, remembered
@@ -48,7 +57,7 @@ class RunConfig:
     full_refresh: bool = False
     threshold: float = THRESHOLD
     known_failures: Iterable[str] = ()
-    cap: dt.date | None = None  # no watermark may lie beyond this date
+    cap: dt.date | str | None = None  # no watermark may lie beyond this date
     gate_per_batch: bool = False  # judge each landing date by itself, undiluted by history
 
     def path(self, layer: str, table: str) -> str:
@@ -95,7 +104,7 @@ def build(spark: SparkSession, domain: Domain, cfg: RunConfig) -> Built:
     bronze = read_bronze(spark, cfg.bronze_root, domain.source)
     if not now.keys() <= set(dates):
         # As text, so that any year and the folder of rows without a date are dates like others.
-        bronze = bronze.where(F.coalesce(F.col(INGEST_DATE).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).isin(dates))
+        bronze = bronze.where(F.coalesce(F.col(INGEST_DATE).cast("string"), F.lit(files.NO_VALUE)).isin(dates))
     classified = _store_classified(domain.stage(bronze, lineage=[INGEST_DATE]), domain, cfg, dates)
     if dates:
         remember(spark, notes, now)
@@ -129,15 +138,25 @@ def _build_on(classified: DataFrame, domain: Domain, cfg: RunConfig) -> Built:
 
 def load(spark: SparkSession, domain: Domain, cfg: RunConfig) -> Built:
     """The stored layers of an earlier build."""
+    silver = read_layer(spark, cfg.path("silver", domain.silver))
     return Built(
         domain,
         spark.read.parquet(cfg.path("staging", domain.staging)),
         read_layer(spark, cfg.path("silver", domain.quarantine)),
-        read_layer(spark, cfg.path("silver", domain.silver)),
-        read_gold(spark, cfg.path("gold", domain.gold), domain.spec),
+        silver,
+        read_or_empty(spark, cfg.path("gold", domain.gold), domain.spec, aggregate(silver, domain.spec)),
     )
 
 
+def repair(spark: SparkSession, domain: Domain, cfg: RunConfig) -> DataFrame:
+    """Re-aggregate the stored grains older than the window that no longer match stored silver; answers gold."""
+    stored, spec = load(spark, domain, cfg), domain.spec
+    missed = missed_grains(stored.silver, stored.gold, spec, cfg.lookback_days, cfg.cap)
+    dates = missed.select(F.col(spec.date_name).cast("date").cast("string")).distinct()
+    # At most one value per stored partition.
+    return repair_grains(stored.silver, cfg.path("gold", domain.gold), spec, [r[0] for r in dates.collect()])
+
+
 def register_layers(spark: SparkSession, cfg: RunConfig) -> None:
     """Make the stored layers queryable by name: staging.*, silver.* and gold.*."""
     create_layers(spark, cfg.warehouse_root)

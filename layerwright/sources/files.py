@@ -7,6 +7,9 @@ from collections.abc import Iterator
 from pyspark.sql import SparkSession
 
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of the rows without a partition value
+
+
 def _fs(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -23,13 +26,6 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in list_files(spark, f"{folder}/[!_.]*")]
 
 
-def summary(spark: SparkSession, folder: str) -> tuple[int, int]:
-    """Number of files below a folder and their bytes."""
-    fs, p = _fs(spark, folder)
-    content = fs.getContentSummary(p)
-    return content.getFileCount(), content.getLength()
-
-
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.delete(p, True)
@@ -40,6 +36,26 @@ def create_empty(spark: SparkSession, path: str) -> None:
     fs.create(p, False).close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file, None where there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    source = fs.open(p)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def partition_values(spark: SparkSession, root: str, column: str, marker: str = "") -> list[str]:
     """Values of the `column=value` folders under root (optionally only those holding `marker`)."""
     suffix = f"/{marker}" if marker else ""

@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright.operators.grain import PART
-from layerwright.operators.incremental import collect_grains, in_grains, read_gold, repair_grains
+from layerwright.operators.incremental import grain_texts, in_grains, read_or_empty, repair_grains
 from layerwright.operators.quality import accepted, rejected
 from layerwright.plans.domains import Domain
 from layerwright.sources import files
-from layerwright.sources.bronze import stream_bronze
+from layerwright.sources.bronze import read_bronze, stream_bronze
 
 BATCH = "batch_id"
 MAX_FILES = 10_000  # a backlog is worked off in micro-batches of at most this many files
@@ -61,7 +61,7 @@ def ingest_available(
         .start()
     )
     query.awaitTermination()
-    return read_gold(spark, tables.gold, domain.spec)
+    return read_or_empty(spark, tables.gold, domain.spec, domain.gold_of(domain.stage(read_bronze(spark, bronze_root, domain.source))))
 
 
 def apply_batch(batch: DataFrame, number: int, domain: Domain, tables: StreamTables) -> None:
@@ -92,7 +92,7 @@ def _refresh(log: DataFrame, number: int, domain: Domain, tables: StreamTables)
     # earlier copies of every touched key are affected as well.  Only the key
     # and the partition column are read for this.
     copies = log.select(domain.key, PART).join(touched, domain.key, "left_semi")
-    grains = collect_grains(copies, domain.spec)
+    grains = grain_texts(copies, domain.spec)
     if not grains:
         return
     silver = domain.to_silver(_competitors(log, grains, domain), for_gold=True)
@@ -102,8 +102,8 @@ def _refresh(log: DataFrame, number: int, domain: Domain, tables: StreamTables)
 def _competitors(log: DataFrame, grains, domain: Domain) -> DataFrame:
     """Every logged row that could be, or could displace, a best row of these grains."""
     columns = [c for c in log.columns if c not in (PART, BATCH)]
-    if domain.newest_wins:
-        # Only a later date can displace a row: skip all partitions before the first grain.
-        return log.where(F.col(PART) >= F.lit(min(grains))).select(*columns)
     keys = in_grains(log, domain.spec, grains).select(domain.key).distinct()
+    if domain.newest_wins and grains[0] is not None:
+        # Only a later date can displace a row: skip all partitions before the first grain.
+        log = log.where(F.col(PART).cast("date") >= F.lit(grains[0]).cast("date"))
     return log.select(*columns).join(keys, domain.key, "left_semi")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from layerwright.operators.diff import recompute_diff
 from layerwright.operators.grain import PART, GrainSpec, aggregate
 from layerwright.operators.incremental import (
+    INTENT,
     collect_grains,
     cutoff,
     has_gold,
@@ -23,6 +24,7 @@ from layerwright.operators.incremental import (
 from layerwright.operators.upsert import survivors, upsert_by_key
 from layerwright.plans.domains import FILINGS, REQUESTS
 from layerwright.session import run_dir
+from layerwright.sources import files
 from layerwright.sources.catalog import write_layer
 
 DAILY = GrainSpec("day", "at", "day", {"who": "who"}, {"n": "count(*)", "mean": "avg(v)"})
@@ -279,3 +281,29 @@ def test_hot_group_aggregates_completely(spark, hot):
     )
     spec = GrainSpec("day", "at", "day", {"who": "who"}, {"n": "count(*)", "d": "count(DISTINCT v)"})
     assert tuple(aggregate(df, spec).where("who = 'hot'").first())[2:] == (8000, 8000)
+
+
+def test_scope_of_a_broken_run_is_redone(spark):
+    """Whatever a marker names is covered by the next run, and only then forgotten."""
+    rows = frame(spark, [(at(d), "a", d) for d in range(1, 11)])
+    path = f"{run_dir(spark, 't')}/g"
+    incremental_run(rows, path, DAILY)
+    marker = f"{path}/{INTENT}"
+    assert files.read_text(spark, marker) is None
+    for left in ('{"since": null}', '{"since": "2024-01-02"}', '{"only": ["2024-01-03", "2024-01-02"]}', ""):
+        files.delete(spark, f"{path}/{PART}=2024-01-02")
+        files.write_text(spark, marker, left)
+        # A repair elsewhere leaves the marker for a run that reaches its scope.
+        repair_grains(rows, path, DAILY, [dt.date(2024, 1, 9)])
+        assert files.read_text(spark, marker) is not None
+        assert incremental_run(rows, path, DAILY).count() == 10
+        assert files.read_text(spark, marker) is None
+
+
+def test_undated_partition_is_refreshed_and_dropped(spark):
+    path = f"{run_dir(spark, 't')}/g"
+    dated = [(at(1), "a", 1)]
+    assert incremental_run(frame(spark, [*dated, (None, "a", 1)]), path, DAILY).count() == 2
+    assert incremental_run(frame(spark, [*dated, (None, "a", 1), (None, "b", 1)]), path, DAILY).count() == 3
+    assert repair_grains(frame(spark, [(None, "c", 1)]), path, DAILY, [None]).count() == 2
+    assert incremental_run(frame(spark, dated), path, DAILY).count() == 1

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 from dataclasses import replace
 
 import pytest
@@ -219,3 +220,18 @@ def test_only_changed_landings_are_parsed_again(spark):
     stricter = replace(REQUESTS, not_null=("request_id", "agency", "created_at", "status"))
     result = build(spark, stricter, cfg)
     assert not set(files.names(spark, f"{staging}/ingest_date=2024-01-01")) & set(anew["2024-01-01"])
+
+
+def test_same_length_rewrite_of_a_landing_is_seen(spark):
+    """One file, overwritten under its own name by as many bytes."""
+    root = run_dir(spark, "rewrite")
+    cfg = RunConfig(f"{root}/bronze", f"{root}/warehouse")
+    path = f"{cfg.bronze_root}/nyc_311/ingest_date=2024-01-01/part.jsonl"
+    line = '{"unique_key": "1", "created_date": "2024-01-01T10:00:00", "agency": "AAA"}\n'
+    files.write_text(spark, path, line)
+    assert [r["agency"] for r in build(spark, REQUESTS, cfg).gold.collect()] == ["AAA"]
+    files.write_text(spark, f"{path}.tmp", line.replace("AAA", "CCC").replace('"1"', '"2"'))
+    assert [r["agency"] for r in build(spark, REQUESTS, cfg).gold.collect()] == ["AAA"]
+    time.sleep(0.01)
+    files.write_text(spark, path, line.replace("AAA", "BBB"))
+    assert [r["agency"] for r in build(spark, REQUESTS, cfg).gold.collect()] == ["BBB"]

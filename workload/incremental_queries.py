@@ -5,8 +5,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from layerwright.functions import ntz_literal
-from layerwright.operators.grain import PART, aggregate
+from layerwright.operators.grain import PART, GrainSpec, aggregate
 from layerwright.operators.incremental import (
+    INTENT,
     collect_grains,
     incremental_run,
     late_grains,
@@ -20,13 +21,14 @@ from layerwright.operators.incremental import (
 from layerwright.operators.upsert import upsert_by_key
 from layerwright.plans.domains import COMMITS, DOMAINS, FILINGS, REQUESTS
 from layerwright.session import run_dir
+from layerwright.sources import files
 from layerwright.sources.bronze import union_by_name
 from layerwright.sources.catalog import write_layer
 from layerwright.sources.snapshots import snapshot_read, snapshot_upsert
 from workload.oracle import ctes, gold_of
 from workload.quality_queries import gold, silver
 from workload.registry import query
-from workload.standins import table
+from workload.standins import REQUESTS_SQL, requests, table
 
 # The base run stops two days before the newest one (`close`).  Some rows of the
 # day two days before that (`late day`) are held back and arrive afterwards.
@@ -230,7 +232,7 @@ def upsert(spark, sf_dir):
     "upsert_lineitem_status",
     """
     WITH base AS (SELECT l_returnflag, l_linestatus, l_suppkey, count(*) AS n, max(l_shipdate) AS newest FROM lineitem
-                  WHERE l_returnflag <> 'N' GROUP BY ALL),
+                  WHERE NOT (l_returnflag = 'N' AND l_linestatus = 'F') GROUP BY ALL),
          batch AS (SELECT l_returnflag, l_linestatus, l_suppkey, count(*) AS n, max(l_shipdate) AS newest FROM lineitem
                    WHERE l_linestatus = 'F' GROUP BY ALL)
     SELECT * FROM base WHERE (l_returnflag, l_linestatus, l_suppkey) NOT IN (SELECT (l_returnflag, l_linestatus, l_suppkey) FROM batch)
@@ -238,14 +240,14 @@ def upsert(spark, sf_dir):
     """,
 )
 def upsert_lineitem(spark, sf_dir):
-    """O-5 on other keys: overlapping, new and untouched keys."""
+    """O-5 on other keys: overlapping, new and untouched keys; every row is in the base, the batch or both."""
     items = table(spark, sf_dir, "lineitem")
     keys = ["l_returnflag", "l_linestatus", "l_suppkey"]
 
     def mart(rows):
         return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.max("l_shipdate").alias("newest"))
 
-    return upsert_by_key(mart(items.where("l_returnflag <> 'N'")), mart(items.where("l_linestatus = 'F'")), keys)
+    return upsert_by_key(mart(items.where("NOT (l_returnflag = 'N' AND l_linestatus = 'F')")), mart(items.where("l_linestatus = 'F'")), keys)
 
 
 @query("upsert_into_snapshot", ctes("r") + "SELECT * FROM gld_r")
@@ -266,3 +268,59 @@ def gold_read_back(spark, sf_dir):
     path = f"{run_dir(spark, 'readback')}/gold"
     incremental_run(silver(spark, sf_dir, REQUESTS), path, REQUESTS.spec)
     return read_gold(spark, path, REQUESTS.spec).where(F.col("request_date") >= ntz_literal("2024-01-10 00:00:00"))
+
+
+# ---- runs on awkward input ---------------------------------------------------
+
+
+@query("incremental_after_broken_run", ctes("r") + "SELECT * FROM gld_r")
+def incremental_after_broken_run(spark, sf_dir):
+    """O-4: a first run lost its driver while it moved partitions; the next one finishes its scope, old dates included."""
+    case = Scenario(spark, sf_dir, "broken", held_day_offset=4)
+    case.run(case.silver)
+    oldest = min(files.partition_values(spark, case.gold_path, PART))
+    files.delete(spark, f"{case.gold_path}/{PART}={oldest}")
+    files.write_text(spark, f"{case.gold_path}/{INTENT}", '{"since": null}')
+    return case.run(case.silver)
+
+
+_BY_AGENCY = GrainSpec("day", "created_at", "day", {"agency": "agency"})
+
+
+@query(
+    "incremental_null_dates",
+    f"SELECT date_trunc('day', created_at) AS day, agency, count(*) AS n FROM ({REQUESTS_SQL}) GROUP BY ALL",
+)
+def incremental_null_dates(spark, sf_dir):
+    """O-5: rows without a date keep their grain in every run, and new ones join it."""
+    rows = requests(spark, sf_dir)
+    rows = rows.withColumn(PART, _BY_AGENCY.grain_date("created_at"))
+    path = f"{run_dir(spark, 'null-dates')}/gold"
+    incremental_run(rows.where("NOT (created_at IS NULL AND request_id % 2 = 0)"), path, _BY_AGENCY)
+    return incremental_run(rows, path, _BY_AGENCY)
+
+
+# Years beyond 9999 can't travel as Python dates, so the answer names their parts.
+def by_calendar(day: str) -> list[str]:
+    return [f"cast(year({day}) AS bigint) AS year", f"cast(month({day}) AS bigint) AS month", f"cast(day({day}) AS bigint) AS day"]
+
+
+FAR_YEARS = 18216  # 2024 becomes 20240
+
+
+@query(
+    "incremental_far_future_date",
+    ctes("r", f"moved AS (SELECT agency, CASE WHEN request_id % 500 = 7 THEN created_at + INTERVAL {FAR_YEARS} YEAR ELSE created_at END AS moment FROM slv_r)")
+    + f"SELECT {', '.join(by_calendar('moment'))}, agency, count(*) AS n FROM moved GROUP BY ALL",
+)
+def incremental_far_future_date(spark, sf_dir):
+    """P-12: a stored grain in year 20240 neither stops the next run nor, with a cap, hides the normal days from it."""
+    far = F.expr(f"CASE WHEN request_id % 500 = 7 THEN created_at + INTERVAL {FAR_YEARS} YEAR ELSE created_at END")
+    rows = silver(spark, sf_dir, REQUESTS).withColumn("created_at", far)
+    rows = rows.withColumn(PART, _BY_AGENCY.grain_date("created_at"))
+    path = f"{run_dir(spark, 'far-future')}/gold"
+    close = rows.where("year(created_at) < 9999").agg(F.date_sub(F.max("created_at").cast("date"), 2).cast("string")).first()[0]
+    arrived = (F.col("created_at") < ntz_literal(close)) | (F.year("created_at") > 9999)
+    incremental_run(rows.where(arrived), path, _BY_AGENCY)
+    gold_rows = incremental_run(rows, path, _BY_AGENCY, cap=close)
+    return gold_rows.selectExpr(*by_calendar("day"), "agency", "n")
