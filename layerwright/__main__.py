@@ -3,6 +3,7 @@
 preflight  list missing and empty landings
 build      bronze to gold for every domain
 check      verdicts of all checks over the stored layers; fails on unexpected ones
+repair     re-aggregate stored grains that records later than the window have left behind
 sql        run a query over the stored layers (staging.*, silver.*, gold.*)
 run        preflight, build, check, export and publish, each behind the one before
 messy      land demonstration batches that trip the gate
@@ -20,15 +21,18 @@ from pyspark.sql import functions as F
 from layerwright.operators.checks import unexpected_failures
 from layerwright.plans.demo import LATE_INGEST_DATE, late_request, messy_commits, messy_requests
 from layerwright.plans.domains import DOMAINS
-from layerwright.plans.gated import GateFailed, RunConfig, build, check, gated_run, load, register_layers, side_by_side
+from layerwright.plans.gated import GateFailed, RunConfig, build, check, gated_run, load, register_layers, repair, side_by_side
 from layerwright.session import build_session
 from layerwright.sources.bronze import CORRUPT, check_bronze, read_bronze, with_ingest_date, write_bronze
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="layerwright", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("command", choices=["preflight", "build", "check", "sql", "run", "messy", "late"])
+    parser.add_argument("command", choices=["preflight", "build", "check", "repair", "sql", "run", "messy", "late"])
     parser.add_argument("--query", default="SHOW VIEWS IN gold", help="for sql")
+    parser.add_argument("--limit", type=int, default=100, help="rows of an answer to print; its size is always printed")
+    parser.add_argument("--out", default="", help="also write the whole answer (sql: rows, others: violations) as JSON lines to this new folder")
+    parser.add_argument("--cap", default=None, help="YYYY-MM-DD: no watermark may lie beyond this date")
     parser.add_argument("--bronze", default="")
     parser.add_argument("--warehouse", default="")
     parser.add_argument("--source", action="append", choices=list(DOMAINS), help="only these sources (repeatable)")
@@ -54,6 +58,7 @@ def config(args: argparse.Namespace) -> RunConfig:
         threshold=args.threshold,
         known_failures=tuple(args.allow),
         gate_per_batch=args.gate_per_batch,
+        cap=args.cap,
     )
 
 
@@ -70,17 +75,21 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> int:
     cfg = config(args)
     sources = [d.source for d in cfg.chosen()]
     if args.command == "preflight":
-        return _show(check_bronze(spark, cfg.bronze_root, sources))
+        return _violations(check_bronze(spark, cfg.bronze_root, sources), args)
     if args.command == "build":
         side_by_side(lambda d: build(spark, d, cfg), cfg.chosen())
         return 0
     if args.command == "check":
         verdicts = check([load(spark, d, cfg) for d in cfg.chosen()], cfg.threshold, cfg.gate_per_batch)
-        verdicts.orderBy("check_name").show(100, truncate=False)
-        return _show(unexpected_failures(verdicts, cfg.known_failures))
+        verdicts = verdicts.persist()
+        verdicts.orderBy("check_name").show(verdicts.count(), truncate=False)
+        return _violations(unexpected_failures(verdicts, cfg.known_failures), args)
+    if args.command == "repair":
+        side_by_side(lambda d: repair(spark, d, cfg), cfg.chosen())
+        return 0
     if args.command == "sql":
         register_layers(spark, cfg)
-        spark.sql(args.query).show(100, truncate=False)
+        _answer(spark.sql(args.query), args)
         return 0
     if args.command == "run":
         try:
@@ -88,7 +97,7 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> int:
             return 0
         except GateFailed as failure:
             failure.report.show(truncate=False)
-            return _show(failure.violations)
+            return _violations(failure.violations, args)
     if args.command == "messy":
         _land(messy_requests(read_bronze(spark, args.bronze, "nyc_311")), args, "nyc_311")
         _land(messy_commits(read_bronze(spark, args.bronze, "github_commits")), args, "github_commits")
@@ -98,11 +107,20 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
-def _show(violations: DataFrame) -> int:
-    if violations.isEmpty():
-        return 0
-    violations.show(100, truncate=False)
-    return 1
+def _answer(rows: DataFrame, args: argparse.Namespace) -> int:
+    """Print the first `--limit` rows and the number of all; `--out` gets every row."""
+    if args.out:
+        rows.write.option("ignoreNullFields", "false").json(args.out)
+    # Counting what was written spares a second run of the query.
+    n = rows.sparkSession.read.schema(rows.schema).json(args.out).count() if args.out else rows.count()
+    if args.limit > 0:
+        rows.show(args.limit, truncate=False)
+    print(f"{n} rows" + (f", all in {args.out}" if args.out else ""))
+    return n
+
+
+def _violations(rows: DataFrame, args: argparse.Namespace) -> int:
+    return 1 if _answer(rows, args) else 0
 
 
 if __name__ == "__main__":

@@ -6,6 +6,7 @@ from layerwright.__main__ import arguments, execute
 from layerwright.plans.domains import KNOWN_INTENTIONAL_FAILURES, REQUESTS
 from layerwright.operators.incremental import read_gold
 from layerwright.session import run_dir
+from layerwright.sources import files
 from layerwright.sources.bronze import read_bronze, write_bronze
 from layerwright.sources.catalog import read_layer
 from tests.conftest import SMALL
@@ -58,3 +59,21 @@ def test_messy_and_late_batches(spark, run):
     assert {r["rejection_reason"] for r in reasons} == {"missing_agency", "missing_created_at", "missing_request_id"}
     gold = read_gold(spark, f"{run.root}/warehouse/gold/{REQUESTS.gold}", REQUESTS.spec)
     assert gold.where("agency = 'NYPD'").count() == 1
+
+
+def test_answers_are_not_cut(spark, run, capsys):
+    assert run("build", "--source", "nyc_311") == 0
+    folder = f"{run.root}/answer"
+    query = "SELECT explode(sequence(1, 250)) AS n, CAST(NULL AS STRING) AS nothing"
+    assert run("sql", "--source", "nyc_311", "--query", query, "--out", folder, "--limit", "5") == 0
+    assert "250 rows" in capsys.readouterr().out
+    assert spark.read.schema("n int, nothing string").json(folder).distinct().count() == 250
+
+
+def test_violations_are_counted_in_full(spark, run, capsys):
+    for day in range(1, 121):
+        files.create_empty(spark, f"{run.root}/bronze/nyc_311/ingest_date=2023-{1 + day // 28:02d}-{1 + day % 28:02d}/empty.jsonl")
+    folder = f"{run.root}/violations"
+    assert run("preflight", "--out", folder) == 1
+    assert "120 rows" in capsys.readouterr().out
+    assert spark.read.json(folder).select("path").distinct().count() == 120
