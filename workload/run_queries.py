@@ -1,11 +1,13 @@
 """Synthesized batches, streams and whole gated runs."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from layerwright.operators.quality import rejection_summary
 from layerwright.plans.demo import SEED, late_request, messy_commits, messy_requests
 from layerwright.plans.domains import COMMITS, FILINGS, KNOWN_INTENTIONAL_FAILURES, REQUESTS
-from layerwright.plans.gated import RunConfig, build_from, register_layers, run_report
+from layerwright.plans.gated import RunConfig, build_from, check, register_layers, run_report
 from layerwright.session import run_dir
 from layerwright.sources.bronze import read_bronze, union_by_name, write_bronze
 from layerwright.streaming.available import StreamTables, ingest_available
@@ -184,6 +186,23 @@ def sql_over_quarantine(spark, sf_dir):
 
 # ---- gated runs --------------------------------------------------------------
 
+
+@query(
+    "run_checks_drift",
+    ctes("r")
+    + f"""SELECT '{REQUESTS.recompute_check}' AS check_name, '{REQUESTS.gold}' AS table_name, count(*) AS failures, false AS passed
+          FROM gld_r WHERE request_date = (SELECT min(request_date) FROM gld_r)""",
+)
+def run_checks_drift(spark, sf_dir):
+    """V-7: stored gold whose oldest day was altered fails the recomputation, once per altered grain."""
+    cfg = RunConfig("", run_dir(spark, "drift"), domains={REQUESTS.source: REQUESTS})
+    built = build_from(STANDINS[REQUESTS.source](spark, sf_dir), REQUESTS, cfg)
+    oldest = F.lit(built.gold.agg(F.min("request_date").cast("string")).first()[0]).cast("timestamp_ntz")
+    more = (F.col("request_date") == oldest).cast("bigint")
+    altered = built.gold.withColumn("request_count", F.col("request_count") + more)
+    return check([replace(built, gold=altered)]).where(F.col("check_name") == REQUESTS.recompute_check)
+
+
 _GOLD_ROWS = "(SELECT count(*) FROM gld_r) + (SELECT count(*) FROM gld_m) + (SELECT count(*) FROM gld_f)"
 
 
