@@ -20,6 +20,7 @@ written as often as they occur; an empty table gives no files and no rows.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -56,13 +57,14 @@ _FOUR = np.isin(np.arange(256), range(0xF0, 0xF5))
 _OPENS = _PRINTED | _TWO | _THREE | _FOUR
 
 
-def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def piece_starts(data: np.ndarray, offsets: np.ndarray, added: list[tuple[int, int]] = ()) -> np.ndarray:
     """Places where byte-level BPE surely starts a new token, whatever stands around them.
 
     Its pre-tokens are an optional space with letters, digits or other signs, and
     runs of white space; a contraction begins with an apostrophe.  So one starts
     where an ASCII letter, digit or sign (no apostrophe) follows one of another
     kind, and at a single space between two characters that are no white space.
+    The spans of added tokens are pieces of their own, and never cut inside.
     """
     n = len(data)
     cut = np.zeros(n, bool)
@@ -74,11 +76,16 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     later = back(1) >= 0x80
     closes = _PRINTED[back(1)] | later & (_TWO[back(2)] | (back(2) >= 0x80) & (_THREE[back(3)] | (back(3) >= 0x80) & _FOUR[back(4)]))
     cut[spaces[closes & _OPENS[data[spaces + 1]]]] = True
+    for begin, end in added:
+        cut[begin + 1 : end] = False
+        cut[[begin, *([end] if end < n else [])]] = True
     return np.flatnonzero(cut)
 
 
 class Encoder:
-    """Whole texts to ids with the tokenizers library, remembering the ids of pieces seen before.
+    """Whole texts to ids as the tokenizers library gives them by default, remembering the ids of pieces seen before.
+
+    The string of an added token (`<|endoftext|>`) in a text is that token.
 
     Pieces are known by 128 bits of hash, kept sorted with the place of their ids in
     one array, so a million of them take some 40 MB and no Python object each.
@@ -89,10 +96,12 @@ class Encoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         pre = self.library.pre_tokenizer
         self.by_piece = isinstance(pre, ByteLevel) and pre.use_regex and not pre.add_prefix_space and self.library.normalizer is None
+        added = self.library.get_added_tokens_decoder().values()
+        self.by_piece &= not any(t.lstrip or t.rstrip or t.single_word for t in added)
+        self.added = sorted((t.content.encode() for t in added if t.content), key=len, reverse=True)  # of two at one place the longer counts
         self.first = self.second = np.zeros(0, np.uint64)
         self.at, self.size = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.ids, self.used = np.zeros(1 << 16, self.dtype), 0
@@ -102,6 +111,14 @@ class Encoder:
         ids = [e.ids for e in coded]
         return np.fromiter(chain.from_iterable(ids), self.dtype), np.fromiter(map(len, ids), np.int32, len(ids))
 
+    def _added(self, raw: bytes, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """Spans of the added tokens' strings in the texts of a block."""
+        if not any(t in raw for t in self.added):
+            return []
+        pattern = re.compile(b"|".join(map(re.escape, self.added)))
+        edges = offsets.tolist()
+        return [m.span() for a, b in zip(edges[:-1], edges[1:]) for m in pattern.finditer(raw, a, b)]
+
     def _look_up(self, first: np.ndarray, second: np.ndarray, piece) -> tuple[np.ndarray, np.ndarray]:
         """Places and numbers of ids of distinct pieces in order of `first`; piece(i) gives the bytes of one."""
         place = np.searchsorted(self.first, first)
@@ -132,7 +149,7 @@ class Encoder:
         if not self.by_piece:
             ids, counts = self._library([raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
             return ids, counts.astype(np.int64)
-        starts = piece_starts(data, offsets)
+        starts = piece_starts(data, offsets, self._added(raw, offsets))
         if not len(starts):
             return np.zeros(0, self.dtype), np.zeros(n, np.int64)
         ends = np.append(starts[1:], len(data))

@@ -42,6 +42,18 @@ def test_token_files_round_trip(spark, docs, odd_docs, no_docs, tmp_path):
             assert len(file.sequence(last)) == 64 and file.mask(last).sum() == f["tokens"] - 64 * last
 
 
+def test_added_tokens_in_texts_are_tokens(spark, tmp_path):
+    end = "<|endoftext|>"
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [f"end of page {end} next", end, end * 3, f"a{end}'s b", f"x  {end}  y", f" {end} ", f"<{end}>", "<|endof", "text|>", f"é {end}\n中 {end[:-1]}", f"1{end}2 " * 200, None]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    folder = str(tmp_path / "added")
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in read_tokens(spark, folder, write_tokens(table, folder, TOKENIZER)).collect()}
+    for i, t in enumerate(texts):
+        ids = library.encode(t or "", add_special_tokens=False).ids + [0]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), t
+
+
 def test_quality_on_held_out_labels(spark, odd_docs):
     docs, labels = (spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_scores(docs, labels).join(labels, "doc_id").where("held_out").select("predicted", "quality", "score").collect()
