@@ -5,7 +5,7 @@ characters.  Each item gives its windows of `n` words, or one shorter window if
 it has fewer.  Their hashes are broadcast; a document window whose hash is in the
 set is verified word for word.  A set above `max_windows` is cut into slices that
 each meet the bound, the documents are scanned once per slice, and the hits of a
-document are joined.
+document are joined; spans are cut once, after the hits of all slices are known.
 
 Defined cases: a NULL or wordless text has no words and no hits; an item without
 words has no window; repeated items count by their distinct ids; repeated
@@ -20,6 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -174,18 +175,56 @@ def decontaminate(
     if remove not in ("documents", "spans"):
         raise ValueError("remove must be documents or spans")
     prepare(docs.sparkSession)
-    out = docs
-    for shared in _slices(benchmark, n, item, item_text, max_windows):
-        out = out.mapInArrow(_cleaner(shared, text, remove), docs.schema)
-    return out
+    *others, last = _slices(benchmark, n, item, item_text, max_windows)
+    if remove == "documents":
+        out = docs
+        for shared in others:
+            out = out.mapInArrow(_cleaner(shared, text, remove), docs.schema)
+        return out.mapInArrow(_cleaner(last, text, remove), docs.schema)
+    # Windows of different slices overlap, so all hits are marked on the whole text before anything is cut.
+    mark = "_hits" + "_" * max(map(len, docs.columns))
+    out = docs.withColumn(mark, F.array().cast("array<int>")) if others else docs
+    schema = out.schema
+    for shared in others:
+        out = out.mapInArrow(_marker(shared, text, mark), schema)
+    return out.mapInArrow(_cleaner(last, text, remove, mark if others else None), docs.schema)
+
+
+def _marked(batch: pa.RecordBatch, mark: str | None, found: Words) -> np.ndarray:
+    """Which words of a block the slices before have hit."""
+    hit = np.zeros(len(found.starts), bool)
+    if mark is not None:
+        column = batch.column(mark)
+        doc = pc.list_parent_indices(column).to_numpy()
+        hit[found.first[doc] + column.flatten().to_numpy()] = True
+    return hit
+
+
+def _marker(shared, text: str, mark: str):
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch, data, offsets in text_blocks(batches, text):
+            found = words(data, offsets, NON_ALNUM, lower=True)
+            hit = _marked(batch, mark, found)
+            for at, size, _ in known.hits(found):
+                hit[at : at + size] = True
+            at = np.flatnonzero(hit)
+            doc = found.doc[at]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=batch.num_rows))])
+            places = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(at - found.first[doc], pa.int32()))
+            yield batch.set_column(batch.schema.get_field_index(mark), mark, places)
+
+    return add
 
 
-def _cleaner(shared, text: str, remove: str):
+def _cleaner(shared, text: str, remove: str, mark: str | None = None):
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch, data, offsets in text_blocks(batches, text):
             found = words(data, offsets, NON_ALNUM, lower=True)
-            hit = np.zeros(len(found.starts), bool)
+            hit = _marked(batch, mark, found)
+            if mark is not None:
+                batch = batch.drop_columns([mark])
             for at, size, _ in known.hits(found):
                 hit[at : at + size] = True
             dirty = np.unique(found.doc[hit])

@@ -109,6 +109,34 @@ def test_decontaminated_documents_have_no_hits(table, items):
             assert out.count() == table.count()
 
 
+def brute_cut(text, items, n=10):
+    """The text without the bytes from the first to the last word of each run of hit words."""
+    low = lambda t: (t or "").translate(brute._LOWER)
+    cut = lambda t: brute.BENCH.findall(low(t))
+    known = {tuple(w[i : i + min(n, len(w))]) for w in (cut(t) for t in items) if w for i in range(len(w) - min(n, len(w)) + 1)}
+    spans = [m.span() for m in brute.BENCH.finditer(low(text))]
+    w = cut(text)
+    hit = {k for g in {len(g) for g in known} for i in range(len(w) - g + 1) if tuple(w[i : i + g]) in known for k in range(i, i + g)}
+    for k in sorted(hit, reverse=True):
+        text = text[: spans[k][0]] + text[spans[k + 1][0] if k + 1 in hit else spans[k][1] :]
+    return text
+
+
+@pytest.mark.parametrize("max_windows", [500_000, 400, 7])
+def test_spans_are_cut_alike_in_slices(spark, max_windows):
+    """Overlapping windows of one passage lie in different slices."""
+    few = {500_000: 3, 400: 40, 7: 2}[max_windows]
+    passages = [" ".join(brute.WORDS(25, 70 + k)) for k in range(few)]
+    items = spark.createDataFrame([*enumerate(passages), (900, "one")], "item_id long, text string")
+    lead, tail = " ".join(brute.WORDS(20, 6)), " ".join(brute.WORDS(20, 7))
+    rows = [(k, f"{lead}: {p.upper()}! {tail}") for k, p in enumerate(passages)]
+    rows += [(100, " ".join(passages[0].split(" ")[3:15])), (101, passages[0] + ", " + passages[1]), (102, f"é One {lead}"), (103, None), (104, ""), (0, rows[0][1]), (None, lead)]
+    table = spark.createDataFrame([(*r, "m") for r in rows], "doc_id long, text string, _hits string").coalesce(1)
+    got = decontaminate(table, items, remove="spans", max_windows=max_windows)
+    assert got.columns == table.columns
+    same(got, [(d, brute_cut(t, [*passages, "one"]), "m") for d, t in rows])
+
+
 def test_empty_benchmark(docs, items):
     assert contamination(docs, items.limit(0)).where("contaminated").count() == 0
 
