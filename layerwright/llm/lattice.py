@@ -8,7 +8,7 @@ across a boundary: the same decoding after small seeded steps.  Two vectors are
 candidates where a home of one is a home or probe of the other, and their cosine is
 verified in double precision.
 
-Equal vectors are one class and are hashed once.  A cell is worked on in tiles of
+Equal vectors are one class, numbered and hashed once, whatever vec_ids they stand on.  A cell is worked on in tiles of
 two blocks of rows, so a cell that holds a third of all vectors is spread over
 many tasks and no list of its pairs exists: a tile gives each vector's number of
 partners, and links that join its connected vectors in a chain.  A pair that meets
@@ -17,7 +17,8 @@ lists tell.
 
 Defined cases: a NULL or empty vector, one with a NULL or non-finite component, and
 a zero vector link with nothing; vectors of different length never link; rows with
-one vec_id are one node, and each row counts as a vector; a NULL vec_id is linked
+one vec_id are one node, also where their vectors differ, and each row counts as a
+vector; a NULL vec_id is linked
 with nothing; an empty table gives no rows.
 """
 
@@ -149,7 +150,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _hashed(batches: Iterable[pa.RecordBatch], options: dict) -> Iterator[pa.RecordBatch]:
-    """(id, vector, homes, probes) of valid vectors."""
+    """The other columns, vector (of length 1), homes and probes of valid vectors."""
     made: dict[int, LatticeHash] = {}
     for batch in batches:
         flat, offsets, ok = _valid_rows(batch.column("vector"))
@@ -162,9 +163,10 @@ def _hashed(batches: Iterable[pa.RecordBatch], options: dict) -> Iterator[pa.Rec
             homes, probes = hasher.cells(unit)
             salt = np.uint64(dim)
             homes, probes = mix(homes ^ salt), mix(probes ^ salt).reshape(len(rows), -1)
+            others = [c for c in batch.schema.names if c != "vector"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(rows)), _lists(unit), _lists(homes.view(np.int64)), _lists(probes.view(np.int64))],
-                names=["id", "vector", "homes", "probes"])
+                [*(batch.column(c).take(pa.array(rows)) for c in others), _lists(unit), _lists(homes.view(np.int64)), _lists(probes.view(np.int64))],
+                names=[*others, "vector", "homes", "probes"])
 
 
 def _lists(table: np.ndarray) -> pa.ListArray:
@@ -177,14 +179,14 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-_TILE = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("to", pa.int64())])
+_TILE = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("class_id", pa.int64()), ("to", pa.int64())])
 
 
 def _tile(table: pa.Table, cosine: float, tables: int) -> pa.Table:
     """Links found in one tile of a large cell or in a bundle of small ones.
 
-    Gives each vector's number of new partners and the smallest id it is connected
-    with here.
+    Gives each class's number of new partners, its class_id and the smallest class_id
+    it is connected with here.
     """
     rows = {
         "id": table.column("id").to_numpy(), "weight": table.column("weight").to_numpy(), "cell": table.column("cell").to_numpy(),
@@ -233,12 +235,13 @@ def _tile(table: pa.Table, cosine: float, tables: int) -> pa.Table:
             found_b.append(j[here])
     if not found_a:
         return _TILE.empty_table()
-    ids, place = np.unique(rows["id"], return_inverse=True)
+    ids, one, place = np.unique(rows["id"], return_index=True, return_inverse=True)
+    names = table.column("class_id").to_numpy()[one]
     a, b = np.concatenate(found_a), np.concatenate(found_b)
     links = np.zeros(len(ids), np.int64)
     np.add.at(links, place[a], rows["weight"][b])
     np.add.at(links, place[b], rows["weight"][a])
-    out = pa.table([pa.array(ids), pa.array(links), pa.array(_least_connected(ids, place[a], place[b]))], schema=_TILE)
+    out = pa.table([pa.array(ids), pa.array(links), pa.array(names), pa.array(_least_connected(names, place[a], place[b]))], schema=_TILE)
     return out.filter(pa.array(links > 0))
 
 
@@ -287,15 +290,15 @@ def embedding_links(
     usable = F.col("id").isNotNull() & F.coalesce((F.size("vector") > 0) & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
     usable &= F.coalesce(F.exists("vector", lambda x: x != 0), F.lit(False))
     key = F.when(usable, F.unhex(F.md5(F.array_join(F.transform("vector", lambda x: x.cast("string")), ",").cast("binary"))))
-    keyed = source.select("id", key.alias("key"))
-    classes = keyed.where("key is not null").groupBy("key").agg(F.min("id").alias("class_id"), F.count("*").alias("weight"))
-    members = stored(keyed.join(classes, "key", "left").select("id", "class_id", F.coalesce("weight", F.lit(0)).cast("bigint").alias("weight")), "vector-classes")
-
-    firsts = members.where("id = class_id").groupBy("id").agg(F.max("weight").alias("weight"))
+    keyed = source.select("id", "vector", key.alias("key"))
+    classes = keyed.where("key is not null").groupBy("key").agg(F.min("id").alias("class_id"), F.count("*").alias("weight"), F.first("vector").alias("vector"))
     options = {"tables": tables, "parts": parts, "probes": probes, "scale": scale}
-    hashed = source.join(firsts.select("id"), "id", "left_semi").where(usable).dropDuplicates(["id"]).mapInArrow(
-        lambda b: _hashed(b, options), "id bigint, vector array<double>, homes array<bigint>, probes array<bigint>")
-    hashed = stored(hashed.join(firsts, "id"), "hashed-vectors")
+    numbered = classes.select(F.monotonically_increasing_id().alias("id"), "key", "class_id", "weight", "vector")
+    hashed = stored(numbered.mapInArrow(
+        lambda b: _hashed(b, options), "id bigint, key binary, class_id bigint, weight bigint, vector array<double>, homes array<bigint>, probes array<bigint>"), "hashed-vectors")
+    numbers = hashed.select("key", "class_id", "weight", F.col("id").alias("class"))
+    members = stored(keyed.select("id", "key").join(numbers, "key", "left").select("id", "class", "class_id", "weight"), "vector-classes")
+
     per_table = parts * probes
     cells = hashed.select("id", F.explode(F.array_distinct(F.concat(
         F.transform("homes", lambda h, t: F.struct(t.alias("table"), h.alias("cell"), F.lit(True).alias("is_home"))),
@@ -315,16 +318,20 @@ def embedding_links(
     dealt = dealt.select("id", "table", "cell", F.explode(F.when(blocks == 1, small).otherwise(tiles)).alias("t")).select("id", "table", "cell", "t.*")
     group = F.when(F.col("x") < 0, F.pmod(F.xxhash64("table", "cell"), F.lit(bundles))).otherwise(F.col("cell"))
     dealt = dealt.withColumn("group", group).withColumn("part", F.when(F.col("x") < 0, -1).otherwise(F.col("table")))
-    found = dealt.join(hashed, "id").withColumn("dim", F.size("vector")).groupBy("group", "part", "x", "y", "dim").applyInArrow(
-        lambda t: _tile(t, cosine, tables), "id bigint, links bigint, to bigint")
+    found = dealt.join(hashed.drop("key"), "id").withColumn("dim", F.size("vector")).groupBy("group", "part", "x", "y", "dim").applyInArrow(
+        lambda t: _tile(t, cosine, tables), "id bigint, links bigint, class_id bigint, to bigint")
     found = stored(found, "vector-links")
     linked = found.groupBy("id").agg(F.sum("links").alias("links"))
-    twice = members.where("class_id is not null").select(F.col("id").alias("a"), F.col("class_id").alias("b")).distinct().where("a != b")
-    several = twice.groupBy("a").agg(F.min("b").alias("lo"), F.max("b").alias("hi")).where("lo < hi").select("a")
-    edges = found.where("id != to").select(F.col("id").alias("a"), F.col("to").alias("b")).unionAll(twice.join(several, "a"))
+    # A vec_id on rows of several classes makes them one node, and rows whose vector cannot link belong to it too.
+    usual = members.where("class_id is not null")
+    several = usual.groupBy("id").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi"))
+    twice = usual.join(several.where("lo < hi"), "id").select(F.col("class_id").alias("a"), F.col("lo").alias("b"))
+    edges = found.where("class_id != to").select(F.col("class_id").alias("a"), F.col("to").alias("b")).unionAll(twice.distinct())
     joined = components(edges, "vector-components")
-    out = members.join(linked.withColumnRenamed("id", "l"), F.col("class_id") == F.col("l"), "left").join(joined, F.col("class_id") == F.col("node"), "left")
+    unlinked = members.where("class_id is null").join(several.select("id", "lo"), "id", "left")
+    rows = usual.withColumn("lo", F.col("class_id")).unionByName(unlinked)
+    out = rows.join(linked.withColumnRenamed("id", "l"), F.col("class") == F.col("l"), "left").join(joined, F.col("lo") == F.col("node"), "left")
     n_links = F.when(F.col("class_id").isNotNull(), F.col("weight") - 1 + F.coalesce("links", F.lit(0))).otherwise(F.lit(0))
-    component = F.coalesce("component", "class_id", "id")
+    component = F.coalesce("component", "lo", "id")
     return out.select(F.col("id").alias("vec_id"), n_links.cast("bigint").alias("n_links"), F.coalesce("class_id", "id").alias("class_id"),
                       component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -185,6 +185,19 @@ def test_embedding_links(spark):
     assert [g for g in got if g[0] >= 5000] == [w for w in want if w[0] >= 5000]
 
 
+def test_rows_of_one_vec_id_with_different_vectors(spark):
+    rng = np.random.default_rng(12)
+    a, b, c, d, e, f, g = (list(map(float, x)) for x in rng.standard_normal((7, 64)))
+    near = lambda v: [x + 0.01 * y for x, y in zip(v, rng.standard_normal(64).tolist())]
+    rows = [(7, a), (7, b), (3, a), (5, near(b)), (6, near(a)), (10, c), (10, d), (11, near(c)), (12, near(d)), (20, e), (20, None), (18, near(e)),
+            (30, f), (30, f), (30, near(f)), (31, g), (31, None), (40, None), (40, [0.0] * 64), (None, a)]
+    for k in range(50, 90):  # each has partners by both of its vectors
+        v, w = rng.standard_normal((2, 64)).tolist()
+        rows += [(k, v), (k, w), (k + 100, near(v)), (k + 200, near(w))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    same(embedding_links(df).select("vec_id", "n_links", "component_id", "kept"), brute_links(rows))
+
+
 def test_recall_at_the_limit(spark):
     """Pairs at a cosine of 0.951, the hardest there are."""
     rng = np.random.default_rng(8)
