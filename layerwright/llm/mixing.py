@@ -11,7 +11,8 @@ therefore close to the weights, and the whole mix meets them exactly.
 
 Only DataFrame functions.  Running sums go over two levels (source and hash
 bucket, then rows of a bucket), so a source with a third of all rows is not one
-task.  Sources are few enough for a table of weights (`MAX_SOURCES`).
+task.  The plan of the sources is a table; up to `FEW_SOURCES` of them are
+broadcast, more are joined by source.
 
 Defined cases: a NULL text has no words, is never taken and moves nothing;
 a NULL source is a source, the last; repeated rows have places of their own;
@@ -23,9 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerwright.llm.frames import stored
+
 WEIGHTS = (3, 1, 2)
 BLOCK = 4096
-MAX_SOURCES = 5000
+FEW_SOURCES = 5000
 _BUCKET_ROWS = 2000
 
 
@@ -78,59 +81,47 @@ def _line(sized: DataFrame, seed: int) -> DataFrame:
         "doc_id", "source", "size", "text_id", "bucket", "row", (F.col("base") + F.col("inside")).alias("start"))
 
 
-def _words(target: float) -> int:
-    """A target in whole words, halves up."""
-    return int(target + 0.5)
-
-
-def schedule(plan: list, spark, block: int = BLOCK) -> DataFrame:
-    """(slot, place, block, begin, end): which words of which source's line each slot of the mix holds."""
-    quota = [-(-_words(r["target"]) // block) for r in plan]
-    edges, total = [], 0
-    for q in quota:
-        edges.append(total)
-        total += q
-    bits = max(1, (total - 1).bit_length())
-    point = F.col("id")
-    if not total:
-        return spark.createDataFrame([], "slot bigint, place int, block bigint, begin bigint, end bigint")
-    slot = F.conv(F.reverse(F.lpad(F.bin(point), bits, "0")), 2, 10).cast("bigint")
-    # The share a point falls into: how many shares begin at or before it.  Empty shares take no point.
-    used = [i for i, q in enumerate(quota) if q]
-    share = F.size(F.filter(F.array(*[F.lit(edges[i]).cast("bigint") for i in used]), lambda e: e <= point))
-    pick = lambda values, kind: F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), share)
-    number = point - pick([edges[i] for i in used], "bigint")
-    limit = pick([_words(plan[i]["target"]) for i in used], "bigint")
-    return spark.range(total).select(
-        slot.alias("slot"), pick([plan[i]["place"] for i in used], "int").alias("place"), number.alias("block"),
-        (number * block).alias("begin"), F.least((number + 1) * block, limit).alias("end"))
+def schedule(plan: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The plan with words (the target in whole words, halves up), quota (its blocks), edge (the blocks of the sources before) and bits."""
+    rows = plan.withColumn("words", F.floor(F.col("target") + 0.5).cast("bigint"))
+    rows = rows.withColumn("quota", F.expr(f"(words + {block - 1}L) div {block}L"))
+    before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("quota").over(Window.partitionBy())
+    return rows.withColumn("edge", F.coalesce(F.sum("quota").over(before), F.lit(0))).withColumn("bits", F.length(F.bin(F.greatest(total - 1, F.lit(0)))))
 
 
-def mix(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = 150, repeats: int = 2, block: int = BLOCK, seed: int = 0,
-    doc: str = "doc_id", text: str = "text", source: str = "source",
-) -> DataFrame:
-    """Per row of docs: doc_id, source, text_id, size, source_size, target, taken (words, repeats counted), first_slot."""
-    spark = docs.sparkSession
+def _slot(point: Column, bits: Column) -> Column:
+    """The slot whose van der Corput point this is: its bits reversed."""
+    return F.conv(F.reverse(F.lpad(F.bin(point), bits, F.lit("0"))), 2, 10).cast("bigint")
+
+
+def _pieces(docs: DataFrame, weights: tuple[int, ...], percent: int, repeats: int, block: int, seed: int, doc: str, text: str, source: str) -> DataFrame:
+    """A row per document, lap and block it meets: its place on the line, the slot (NULL beyond the target), and the words `part` taken from the place `at` on."""
     sized = docs.select(
         F.col(doc).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.md5(F.col(text).cast("binary")).alias("text_id"))
     plan_rows = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, percent, repeats)
-    plan = plan_rows.orderBy("place").limit(MAX_SOURCES + 1).collect()
-    if len(plan) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: group them before mixing")
-    shares = spark.createDataFrame(
-        [(r["source"], r["place"], r["source_size"], r["target"]) for r in plan], "s string, place int, source_size bigint, target double")
-    line = _line(sized, seed).join(F.broadcast(shares), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    slots = schedule(plan, spark, block)
+    plan = stored(schedule(plan_rows, block), "mix-plan")
+    shares = plan.select(F.col("source").alias("s"), "place", "source_size", "target", "words", "quota", "edge", "bits")
+    few = plan.count() <= FEW_SOURCES
+    line = _line(sized, seed).join(F.broadcast(shares) if few else shares, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     begin = F.col("start") + F.col("lap") * F.col("source_size")
     laps = line.withColumn("lap", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn("from", begin).withColumn("to", begin + F.col("size"))
     first, last = F.floor(F.col("from") / block), F.floor((F.col("to") - 1) / block)
-    pieces = laps.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))))
-    joined = pieces.join(slots, ["place", "block"], "left")
-    part = F.when(F.col("slot").isNotNull(), F.greatest(F.least("to", "end") - F.greatest("from", "begin"), F.lit(0)))
+    rows = laps.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))))
+    rows = rows.withColumn("slot", F.when(F.col("block") < F.col("quota"), _slot(F.col("edge") + F.col("block"), F.col("bits"))))
+    at, end = F.greatest(F.col("from"), F.col("block") * block), F.least("to", (F.col("block") + 1) * block, "words")
+    return rows.withColumn("at", at).withColumn("part", F.when(F.col("block") < F.col("quota"), F.greatest(end - at, F.lit(0))))
+
+
+def mix(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = 150, repeats: int = 2, block: int = BLOCK, seed: int = 0,
+    doc: str = "doc_id", text: str = "text", source: str = "source",
+) -> DataFrame:
+    """Per row of docs: doc_id, source, text_id, size, source_size, target, taken (words, repeats counted), first_slot."""
+    rows = _pieces(docs, weights, percent, repeats, block, seed, doc, text, source)
     keys = ["doc_id", "source", "text_id", "size", "source_size", "target", "place", "bucket", "row"]
-    return joined.groupBy(*keys).agg(
-        F.coalesce(F.sum(part), F.lit(0)).cast("bigint").alias("taken"), F.min(F.when(part > 0, F.col("slot"))).alias("first_slot")).drop("place", "bucket", "row")
+    return rows.groupBy(*keys).agg(
+        F.coalesce(F.sum("part"), F.lit(0)).cast("bigint").alias("taken"), F.min(F.when(F.col("part") > 0, F.col("slot"))).alias("first_slot")).drop("place", "bucket", "row")
 
 
 def mixed_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str = "source", chars: str | None = "n_chars", **options) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from layerwright.llm import mixing
 from layerwright.llm.host_reputation import filter_urls
 from layerwright.llm.mixing import mix, mixed_documents
 from layerwright.llm.quality import keep_good, quality_scores
@@ -80,6 +81,25 @@ def test_mix_meets_its_targets(docs, odd_docs, no_docs):
         assert words == sum(r["taken"] for r in rows)
 
 
+def test_mix_of_many_sources(spark, docs):
+    """More sources than are broadcast: every one meets its target, as with all of them broadcast."""
+    n = mixing.FEW_SOURCES + 100
+    table = spark.range(2 * n).select(F.col("id").alias("doc_id"), (F.col("id") % n).cast("string").alias("source"), F.expr("repeat('w ', int(id % 7) + 1)").alias("text"))
+    rows = mix(table, block=4).collect()
+    assert len(rows) == 2 * n
+    taken, target = {}, {}
+    for r in rows:
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+        target[r["source"]] = r["target"]
+    assert len(target) == n and all(abs(taken[s] - target[s]) <= 0.5 for s in target)
+
+
+def test_few_and_many_sources_mix_alike(docs, monkeypatch):
+    want = sorted(map(tuple, mix(docs, block=50).collect()))
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 0)
+    assert sorted(map(tuple, mix(docs, block=50).collect())) == want
+
+
 def test_warc_archives(spark, tmp_path):
     big = "<p>é</p>" * 200
     rows = [(1, "http://a/\nb", big, "x"), (5, None, big, "x"), (3, "u", big, "x"), (5, "again", big, "x"), (7, "u", "small", "x"), (8, "u", "small", "x"), (9, "u", None, "x"), (None, "u", big, "x")]
