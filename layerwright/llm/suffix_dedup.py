@@ -53,7 +53,7 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, size: int, gram: int) ->
     if n <= 0:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, bool))
     at = np.arange(len(data) - gram + 1)
-    grams = rolling(_VALUES[data], _GRAM_BASE, at, at + gram)
+    grams = rolling(data, _GRAM_BASE, at, at + gram, _VALUES)
     anchor = sliding(np.minimum, grams, width)
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     valid = owner[:n] == owner[size - 1 :]
@@ -179,7 +179,7 @@ def _shard(table: pa.Table, size: int) -> pa.Table:
     if salt >= 0:
         whole = np.repeat(at + lengths, lengths + 1) - np.arange(len(raw)) >= size
         w = np.flatnonzero(whole)
-        h1, h2 = (rolling(_VALUES[raw], base, w, w + size) for base in _WINDOW_BASES)
+        h1, h2 = (rolling(raw, base, w, w + size, _VALUES) for base in _WINDOW_BASES)
         _, one = np.unique(h1, return_index=True)
         w, h1, h2 = w[one], h1[one], h2[one]
         piece = np.searchsorted(at, w, "right") - 1

@@ -1,21 +1,24 @@
 """Words of whole texts, found and hashed with numpy over Arrow buffers.
 
 A task sees its texts as one byte array with document offsets, in blocks of about
-a megabyte (a longer document is a block of its own), so memory is bounded by
-the block and no Python object is made per word.  Separators are ASCII bytes:
+a quarter of a megabyte (a longer document is a block of its own), so memory is bounded
+by the block and no Python object is made per word.  Separators are ASCII bytes:
 every byte of a longer UTF-8 character belongs to a word, so cutting bytes cuts
 characters the same way.
 """
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
+CHUNK = 1 << 16
 
 # Separator bytes of the two word patterns.
 SPACE = np.zeros(256, bool)  # words are [^\x20\x09-\x0D]+
@@ -34,9 +37,9 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept for the next block."""
-    if base not in _POWERS or len(_POWERS[base]) < n:
-        table = np.full(max(n, 1 << 16), base, np.uint64)
+    """base**0 .. base**(n-1) modulo 2**64, for n up to CHUNK + 1; the table is kept, and so small whatever the texts."""
+    if base not in _POWERS:
+        table = np.full(CHUNK + 1, base, np.uint64)
         table[0] = 1
         _POWERS[base] = np.cumprod(table)
     return _POWERS[base][:n]
@@ -62,10 +65,39 @@ def prefix_sums(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def rolling(values: np.ndarray, base: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Rabin-Karp hash of values[begin:end] for many spans at once, from prefix sums modulo 2**64."""
-    sums = prefix_sums(values * powers(base, len(values)))
-    return mix((sums[end] - sums[begin]) * powers(inverse(base), len(values) + 1)[begin])
+def rolling(values: np.ndarray, base: int, begin: np.ndarray, end: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """Rabin-Karp hash of values[begin:end] for many spans at once, from prefix sums modulo 2**64.
+
+    `begin` and `end` ascend.  The spans are worked off a chunk of values at a time, so
+    the eight-byte tables follow the chunk and not the text; `table` maps values to
+    their numbers there.  A span longer than a chunk is summed up chunk by chunk.
+    """
+    out = np.empty(len(begin), np.uint64)
+    i = 0
+    while i < len(begin):
+        low = int(begin[i])
+        j = max(i + 1, int(np.searchsorted(end, low + CHUNK, "right")))
+        if int(end[i]) - low > CHUNK:
+            out[i] = _long_span(values, base, low, int(end[i]), table)
+            i += 1
+            continue
+        j = min(j, len(begin))
+        part = values[low : int(end[j - 1])]
+        part = part if table is None else table[part]
+        sums = prefix_sums(part * powers(base, len(part)))
+        out[i:j] = (sums[end[i:j] - low] - sums[begin[i:j] - low]) * powers(inverse(base), len(part) + 1)[begin[i:j] - low]
+        i = j
+    return mix(out)
+
+
+def _long_span(values: np.ndarray, base: int, begin: int, end: int, table: np.ndarray | None) -> int:
+    total, step = 0, 1
+    for at in range(begin, end, CHUNK):
+        part = values[at : min(at + CHUNK, end)]
+        part = part if table is None else table[part]
+        total = (total + step * int((part * powers(base, len(part))).sum(dtype=np.uint64))) & _MASK
+        step = step * pow(base, CHUNK, 1 << 64) & _MASK
+    return total
 
 
 @dataclass
@@ -83,7 +115,7 @@ class Words:
         return np.diff(self.first)
 
     def hashes(self, variant: int = 0) -> np.ndarray:
-        return rolling(_BYTE_VALUES[self.data], _BYTE_BASES[variant], self.starts, self.ends)
+        return rolling(self.data, _BYTE_BASES[variant], self.starts, self.ends, _BYTE_VALUES)
 
     def windows(self, hashes: np.ndarray, size: int, variant: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """First word and hash of each run of `size` words inside one document."""
@@ -145,6 +177,15 @@ def text_blocks(
             end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + limit, "right")) - 1)
             yield batch.slice(begin, end - begin), data[offsets[begin] : offsets[end]], offsets[begin : end + 1] - offsets[begin]
             begin = end
+        del batch, data, offsets
+    give_back()
+
+
+def give_back() -> None:
+    """Return memory that a worker has freed to the system: at the end of a partition, since workers are kept for later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def sliding(ufunc: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:

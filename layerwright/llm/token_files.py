@@ -142,6 +142,10 @@ class Encoder:
                 self.used = end
         return at, size
 
+    def starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where the pieces begin that are encoded each by itself."""
+        return piece_starts(data, offsets, self._added(data.tobytes(), offsets) if self.added else ())
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a block of texts, one after another, and the number of ids of each text."""
         n = len(offsets) - 1
@@ -149,13 +153,12 @@ class Encoder:
         if not self.by_piece:
             ids, counts = self._library([raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
             return ids, counts.astype(np.int64)
-        starts = piece_starts(data, offsets, self._added(raw, offsets))
+        starts = self.starts(data, offsets)
         if not len(starts):
             return np.zeros(0, self.dtype), np.zeros(n, np.int64)
         ends = np.append(starts[1:], len(data))
-        values = _VALUES[data]
-        second = rolling(values, _BASES[1], starts, ends)
-        first, one, which = np.unique(rolling(values, _BASES[0], starts, ends), return_index=True, return_inverse=True)
+        second = rolling(data, _BASES[1], starts, ends, _VALUES)
+        first, one, which = np.unique(rolling(data, _BASES[0], starts, ends, _VALUES), return_index=True, return_inverse=True)
         at, size = self._look_up(first, second[one], lambda i: raw[starts[one[i]] : ends[one[i]]])
         counts = size[which]
         before = np.cumsum(counts) - counts
@@ -230,7 +233,7 @@ def write_tokens(
         name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}"
         fs, root = _open(folder)
         out, keys, sizes = None, [], []
-        for batch, data, offsets in text_blocks(batches, "text", 2 << 20):
+        for batch, data, offsets in text_blocks(batches, "text"):
             if out is None:
                 fs.create_dir(root, recursive=True)
                 stream = fs.open_output_stream(f"{root}/{name}.tokens.arrow")
