@@ -3,16 +3,21 @@
 A source's documents are put on a line in a fixed shuffled order (md5 of the id
 with a seed); the line is laid twice, so a document can be taken up to two times.
 The line is cut into blocks of `block` words, of which a source gives as many as
-its target needs (the last one cut to the target).  The blocks of all sources
-make up the slots of the mix: slot k holds the van der Corput point of k (its
-bits reversed), the point falls into a source's share of the cumulative block
-counts, and its rank inside that share is the block.  Every stretch of slots is
-therefore close to the weights, and the whole mix meets them exactly.
-
-Only DataFrame functions.  Running sums go over two levels (source and hash
-bucket, then rows of a bucket), so a source with a third of all rows is not one
-task.  The plan of the sources is a table; up to `FEW_SOURCES` of them are
-broadcast, more are joined by source.
+its target needs, its quota (the last one cut to the target).
+
+The schedule decides which block comes when.  Slot k holds the van der Corput point
+of k (its bits reversed); the point falls into one source's share of the cumulative
+quotas; a slot's rank among the slots of its source names the block.  Slots are joined
+to the blocks of the shuffled lines, and what a document gives is the sum over the
+blocks it was joined in.  Points beyond the last share have no slot, so slot
+numbers skip some values; every stretch of slots is close to the weights, and the
+whole schedule meets every quota exactly.
+
+Only DataFrame functions.  A point finds its source by an equi-join on ranges of
+`RANGE` points, running counts and sums go over two levels (source and bucket, then
+rows of a bucket), so a source with a third of all rows or slots is not one task.  The
+plan of the sources is a small table; its own running sums go over one row per source in
+one task.
 
 Defined cases: a NULL text has no words, is never taken and moves nothing;
 a NULL source is a source, the last; repeated rows have places of their own;
@@ -30,6 +35,8 @@ WEIGHTS = (3, 1, 2)
 BLOCK = 4096
 FEW_SOURCES = 5000
 _BUCKET_ROWS = 2000
+RANGE = 64  # points: as many sources at most meet one of them in the range lookup
+SLOT_BUCKET = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -82,66 +89,95 @@ def _line(sized: DataFrame, seed: int) -> DataFrame:
 
 
 def schedule(plan: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The plan with words (the target in whole words, halves up), quota (its blocks), edge (the blocks of the sources before) and bits."""
+    """The plan with words (the target in whole words, halves up), quota (its blocks) and edge (the blocks of the sources before)."""
     rows = plan.withColumn("words", F.floor(F.col("target") + 0.5).cast("bigint"))
     rows = rows.withColumn("quota", F.expr(f"(words + {block - 1}L) div {block}L"))
     before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    total = F.sum("quota").over(Window.partitionBy())
-    return rows.withColumn("edge", F.coalesce(F.sum("quota").over(before), F.lit(0))).withColumn("bits", F.length(F.bin(F.greatest(total - 1, F.lit(0)))))
-
+    return rows.withColumn("edge", F.coalesce(F.sum("quota").over(before), F.lit(0)))
 
-def _slot(point: Column, bits: Column) -> Column:
-    """The slot whose van der Corput point this is: its bits reversed."""
-    return F.conv(F.reverse(F.lpad(F.bin(point), bits, F.lit("0"))), 2, 10).cast("bigint")
 
+def slots(plan: DataFrame) -> DataFrame:
+    """place, block, slot: the schedule, a row per slot.
 
-def _pieces(docs: DataFrame, weights: tuple[int, ...], percent: int, repeats: int, block: int, seed: int, doc: str, text: str, source: str) -> DataFrame:
-    """A row per document, lap and block it meets: its place on the line, the slot (NULL beyond the target), and the words `part` taken from the place `at` on."""
-    sized = docs.select(
-        F.col(doc).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.md5(F.col(text).cast("binary")).alias("text_id"))
+    slot k -> point (bits of k reversed) -> source whose share of the quotas holds the
+    point -> rank of the slot among its source's, which is the block it takes.
+    """
+    spark = plan.sparkSession
+    total = plan.agg(F.sum("quota").alias("n")).first()["n"] or 0
+    bits = max(total - 1, 0).bit_length()
+    points = spark.range(1 << bits).select(F.col("id").alias("slot"), van_der_corput(F.col("id"), bits).alias("point")).where(F.col("point") < total)
+    shares = plan.where("quota > 0").select("place", "edge", (F.col("edge") + F.col("quota")).alias("end"))
+    span = lambda c: F.floor(F.col(c) / RANGE).cast("bigint")
+    # A share of many ranges is unfolded in two steps, so no row makes one array of them all.
+    coarse = shares.withColumn("far", F.explode(F.sequence(F.floor(F.col("edge") / (RANGE * SLOT_BUCKET)), F.floor((F.col("end") - 1) / (RANGE * SLOT_BUCKET)))))
+    first, last = F.greatest(span("edge"), F.col("far") * SLOT_BUCKET), F.least(F.floor((F.col("end") - 1) / RANGE).cast("bigint"), (F.col("far") + 1) * SLOT_BUCKET - 1)
+    ranges = coarse.withColumn("range", F.explode(F.sequence(first, last)))
+    met = points.withColumn("range", span("point")).join(ranges.select("place", "edge", "end", "range"), "range").where("point >= edge and point < end")
+    # Rank in two levels: slots before this bucket of slots, then inside it.
+    met = met.select("place", "slot", F.floor(F.col("slot") / SLOT_BUCKET).cast("bigint").alias("bucket"))
+    inside = Window.partitionBy("place", "bucket").orderBy("slot")
+    running = Window.partitionBy("place").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = met.groupBy("place", "bucket").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0))).drop("n")
+    ranked = met.withColumn("inside", F.row_number().over(inside) - 1).join(before, ["place", "bucket"])
+    return ranked.select("place", (F.col("before") + F.col("inside")).cast("bigint").alias("block"), "slot")
+
+
+def van_der_corput(number: Column, bits: int) -> Column:
+    """The number with its `bits` bits reversed."""
+    return F.conv(F.reverse(F.lpad(F.bin(number), bits, F.lit("0"))), 2, 10).cast("bigint") if bits else number
+
+
+def _pieces(docs: DataFrame, weights: tuple[int, ...], percent: int, repeats: int, block: int, seed: int, doc: str, text: str, source: str) -> tuple[DataFrame, DataFrame]:
+    """Every document's row on its line, and the pieces the schedule takes: place, bucket, row, lap, slot, part (words).
+
+    A piece is what one lap of a document has in one scheduled block.
+    """
+    sized = stored(docs.select(
+        F.col(doc).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.md5(F.col(text).cast("binary")).alias("text_id")), "mix-sizes")
     plan_rows = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, percent, repeats)
     plan = stored(schedule(plan_rows, block), "mix-plan")
-    shares = plan.select(F.col("source").alias("s"), "place", "source_size", "target", "words", "quota", "edge", "bits")
+    shares = plan.select(F.col("source").alias("s"), "place", "source_size", "target", "words", "quota")
     few = plan.count() <= FEW_SOURCES
-    line = _line(sized, seed).join(F.broadcast(shares) if few else shares, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    line = stored(_line(sized, seed).join(F.broadcast(shares) if few else shares, F.col("source").eqNullSafe(F.col("s"))).drop("s"), "mix-line")
     begin = F.col("start") + F.col("lap") * F.col("source_size")
-    laps = line.withColumn("lap", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn("from", begin).withColumn("to", begin + F.col("size"))
+    laps = line.where("size > 0").withColumn("lap", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn("from", begin).withColumn("to", begin + F.col("size"))
     first, last = F.floor(F.col("from") / block), F.floor((F.col("to") - 1) / block)
-    rows = laps.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))))
-    rows = rows.withColumn("slot", F.when(F.col("block") < F.col("quota"), _slot(F.col("edge") + F.col("block"), F.col("bits"))))
+    rows = laps.withColumn("block", F.explode(F.sequence(first, last))).where("block < quota")
     at, end = F.greatest(F.col("from"), F.col("block") * block), F.least("to", (F.col("block") + 1) * block, "words")
-    return rows.withColumn("at", at).withColumn("part", F.when(F.col("block") < F.col("quota"), F.greatest(end - at, F.lit(0))))
+    rows = rows.select("place", "bucket", "row", "lap", "block", F.greatest(end - at, F.lit(0)).alias("part"))
+    return line, rows.join(slots(plan), ["place", "block"]).where("part > 0")
 
 
 def mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = 150, repeats: int = 2, block: int = BLOCK, seed: int = 0,
     doc: str = "doc_id", text: str = "text", source: str = "source",
 ) -> DataFrame:
-    """Per row of docs: doc_id, source, text_id, size, source_size, target, taken (words, repeats counted), first_slot."""
-    rows = _pieces(docs, weights, percent, repeats, block, seed, doc, text, source)
-    keys = ["doc_id", "source", "text_id", "size", "source_size", "target", "place", "bucket", "row"]
-    return rows.groupBy(*keys).agg(
-        F.coalesce(F.sum("part"), F.lit(0)).cast("bigint").alias("taken"), F.min(F.when(F.col("part") > 0, F.col("slot"))).alias("first_slot")).drop("place", "bucket", "row")
+    """Per row of docs: doc_id, source, text_id, size, source_size, target, taken (words, repeats counted), first_slot, n_slots."""
+    line, pieces = _pieces(docs, weights, percent, repeats, block, seed, doc, text, source)
+    taken = pieces.groupBy("place", "bucket", "row").agg(F.sum("part").alias("taken"), F.min("slot").alias("first_slot"), F.count("*").alias("n_slots"))
+    zero = F.lit(0).cast("bigint")
+    return line.join(taken, ["place", "bucket", "row"], "left").select(
+        "doc_id", "source", "text_id", "size", "source_size", "target",
+        F.coalesce("taken", zero).cast("bigint").alias("taken"), "first_slot", F.coalesce("n_slots", zero).alias("n_slots"))
 
 
-def mixed_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str = "source", chars: str | None = "n_chars", **options) -> DataFrame:
-    """The mix itself, with the columns of docs: a row per time a document is taken, cut to its first words where taken in part.
+def mixed_documents(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = 150, repeats: int = 2, block: int = BLOCK, seed: int = 0,
+    doc: str = "doc_id", text: str = "text", source: str = "source", slot: str | None = None,
+) -> DataFrame:
+    """The mix itself, with the columns of docs: a whole document for each lap of which the schedule takes at least half.
 
-    Rows alike in id, source and text share what the mix takes of them.
+    `slot` names a further column: where in the schedule the copy begins.  Rows alike in id,
+    source and text share the copies taken of them.
     """
-    repeats = options.get("repeats", 2)
-    taken = mix(docs, doc=doc, text=text, source=source, **options)
-    taken = taken.groupBy("doc_id", "source", "text_id", "size").agg(F.sum("taken").alias("taken")).where("taken > 0")
-    taken = taken.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("text_id").alias("_t"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    line, pieces = _pieces(docs, weights, percent, repeats, block, seed, doc, text, source)
+    laps = pieces.groupBy("place", "bucket", "row", "lap").agg(F.sum("part").alias("part"), F.min("slot").alias("slot"))
+    kept = line.select("place", "bucket", "row", "doc_id", "source", "text_id", "size").join(laps, ["place", "bucket", "row"]).where("2 * part >= size")
+    copies = kept.groupBy(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("text_id").alias("_t")).agg(
+        F.count("*").alias("_copies"), *([F.sort_array(F.collect_list("slot")).alias("_slots")] if slot else []))
     same = F.col(doc).eqNullSafe(F.col("_d")) & F.col(source).eqNullSafe(F.col("_s")) & (F.md5(F.col(text).cast("binary")) == F.col("_t"))
-    alike = Window.partitionBy("_d", "_s", "_t").orderBy("_size")
-    joined = docs.join(taken, same).withColumn("_copy", F.row_number().over(alike) - 1)
-    mine = F.least(F.greatest(F.col("_taken") - F.col("_copy") * repeats * F.col("_size"), F.lit(0)), repeats * F.col("_size"))
-    laps = F.ceil(mine / F.col("_size")).cast("int")
-    joined = joined.withColumn("_mine", mine).where("_mine > 0").withColumn("_lap", F.explode(F.sequence(F.lit(1), laps)))
-    words = F.least(F.col("_size"), F.col("_mine") - (F.col("_lap") - 1) * F.col("_size"))
-    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), 1), 1, words.cast("int")), " ")
-    out = joined.withColumn(text, F.when(words < F.col("_size"), cut).otherwise(F.col(text)))
-    if chars in docs.columns:
-        out = out.withColumn(chars, F.when(words < F.col("_size"), F.length(text).cast(docs.schema[chars].dataType)).otherwise(F.col(chars)))
-    return out.select(*docs.columns)
+    alike = Window.partitionBy("_d", "_s", "_t").orderBy("_copies")
+    joined = docs.join(copies, same).withColumn("_row", F.row_number().over(alike) - 1)
+    first, end = F.col("_row") * repeats, F.least((F.col("_row") + 1) * repeats, F.col("_copies"))
+    out = joined.where(first < end).withColumn("_copy", F.explode(F.sequence(first, end - 1)))
+    return out.select(*docs.columns, *([F.element_at("_slots", (F.col("_copy") + 1).cast("int")).alias(slot)] if slot else []))

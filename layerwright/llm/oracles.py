@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express: the plain definition, without the operators' methods."""
 
+from layerwright.llm.license_scan import AGREE, LOOKUPS, PHRASES, TEMPLATES
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -143,12 +145,34 @@ WITH sized AS (
       ELSE CAST(weight * (wanted - 100 * coalesce(sum(cap) FILTER (WHERE full_) OVER (), 0)) AS DOUBLE)
            / (CAST(sum(weight) FILTER (WHERE NOT full_) OVER () AS DOUBLE) * 100) END AS target FROM marked
   ),
+  quotas AS (
+    SELECT source, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS words,
+           (CAST(floor(target + 0.5) AS BIGINT) + 4095) // 4096 AS quota FROM targets
+  ),
+  shares AS (SELECT *, coalesce(sum(quota) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS edge FROM quotas),
+  total AS (SELECT coalesce(sum(quota), 0) AS n, length(bin(CAST(greatest(coalesce(sum(quota), 0) - 1, 0) AS BIGINT))) AS bits FROM quotas),
+  points AS (
+    SELECT k, CAST(list_sum(list_transform(range(bits), lambda i: ((k >> i) & 1) << (bits - 1 - i))) AS BIGINT) AS point
+    FROM (SELECT unnest(range(1 << bits)) AS k, bits FROM total)
+  ),
+  slots AS (
+    SELECT place, k, row_number() OVER (PARTITION BY place ORDER BY k) - 1 AS block FROM points JOIN shares ON point >= edge AND point < edge + quota
+  ),
   line AS (
-    SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, text_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM sized
-  )
-SELECT doc_id, size, source_size, target,
-  CAST(greatest(least(floor(target + 0.5) - start, size), 0) + greatest(least(floor(target + 0.5) - start - source_size, size), 0) AS BIGINT) AS taken
-FROM line JOIN targets ON line.source IS NOT DISTINCT FROM targets.source
+    SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, text_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+           row_number() OVER () AS r FROM sized
+  ),
+  laps AS (
+    SELECT r, size, place, words, start + lap * source_size AS a, start + lap * source_size + size AS z
+    FROM line JOIN shares ON line.source IS NOT DISTINCT FROM shares.source, (SELECT unnest([0, 1]) AS lap) WHERE size > 0
+  ),
+  pieces AS (
+    SELECT r, place, block, greatest(least(z, (block + 1) * 4096, words) - greatest(a, block * 4096), 0) AS part
+    FROM (SELECT *, unnest(range(CAST(a // 4096 AS BIGINT), CAST((z - 1) // 4096 + 1 AS BIGINT))) AS block FROM laps)
+  ),
+  joined AS (SELECT r, sum(part) AS taken, min(k) AS first_slot, count(*) AS n_slots FROM pieces JOIN slots USING (place, block) WHERE part > 0 GROUP BY r)
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken, first_slot, coalesce(n_slots, 0) AS n_slots
+FROM line JOIN shares ON line.source IS NOT DISTINCT FROM shares.source LEFT JOIN joined USING (r)
 """
 
 WARC = """
@@ -158,3 +182,90 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
 FROM g
 """
+
+HARD_NEGATIVES = """
+WITH e AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+  ),
+  s AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS alike, CAST(list_dot_product(a.c, r.c) AS BIGINT) AS score
+    FROM e a JOIN e r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+  ),
+  p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+  )
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+def _licenses() -> str:
+    words = [(n, w, i) for n, t in enumerate(TEMPLATES) for i, w in enumerate(t.text.split(" "))]
+    keys = []
+    for n, t in enumerate(TEMPLATES):
+        whole = t.text.split(" ")
+        for k, key in enumerate(t.keys):
+            size = len(key.split(" "))
+            first = next(i for i in range(len(whole)) if whole[i : i + size] == key.split(" "))
+            keys += [(n, k, first + i, size) for i in range(size)]
+    values = lambda rows: ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+    grams = {1: "word", 2: "word || ' ' || w2", 3: "word || ' ' || w2 || ' ' || w3", 4: "word || ' ' || w2 || ' ' || w3 || ' ' || w4"}
+    phrase = " UNION ALL ".join(f"SELECT r, spot, '{label}' AS label FROM near WHERE {grams[p.count(' ') + 1]} = '{p}'" for p, label in PHRASES.items())
+    return f"""
+WITH names(template, label) AS (VALUES {values([(n, t.label) for n, t in enumerate(TEMPLATES)])}),
+  posting(template, word, place) AS (VALUES {values(words)}),
+  key_place(template, key, place, size) AS (VALUES {values(keys)}),
+  sizes AS (SELECT template, count(DISTINCT word) AS n FROM posting GROUP BY template),
+  d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_BENCH_WORD}') AS w FROM documents),
+  x AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS spot FROM d),
+  near AS (
+    SELECT *, lead(word, 1) OVER o AS w2, lead(word, 2) OVER o AS w3, lead(word, 3) OVER o AS w4 FROM x WINDOW o AS (PARTITION BY r ORDER BY spot)
+  ),
+  base AS ({phrase}),
+  bases AS (SELECT r, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word FROM base GROUP BY r),
+  weights AS (
+    SELECT word, length(bin((SELECT count(*) FROM d) // count(DISTINCT r))) AS weight FROM x WHERE word IN (SELECT word FROM posting) GROUP BY word
+  ),
+  full_weight AS (SELECT template, sum(coalesce(weight, 0)) AS all_weight FROM posting LEFT JOIN weights USING (word) GROUP BY template),
+  held AS (
+    SELECT r, template, word FROM (SELECT DISTINCT r, template, word, weight FROM x JOIN posting USING (word) JOIN weights USING (word))
+    QUALIFY row_number() OVER (PARTITION BY r, template ORDER BY weight DESC, word) <= {LOOKUPS}
+  ),
+  asked AS (SELECT *, count(*) OVER (PARTITION BY r, template) AS n_held FROM held),
+  in_play AS (SELECT DISTINCT r, template FROM asked JOIN sizes USING (template) WHERE n_held >= least({AGREE}, n)),
+  hits AS (
+    SELECT x.r, p.template, spot - place AS start, place, weight, h.word IS NOT NULL AS looked_up
+    FROM x JOIN posting p USING (word) JOIN in_play i ON i.r = x.r AND i.template = p.template JOIN weights USING (word)
+    LEFT JOIN held h ON h.r = x.r AND h.template = p.template AND h.word = x.word
+  ),
+  whole_keys AS (
+    SELECT DISTINCT r, template, start FROM (
+      SELECT r, template, start, key, count(*) AS n, any_value(size) AS size FROM hits JOIN key_place USING (template, place) GROUP BY ALL
+    ) WHERE n = size
+  ),
+  starts AS (
+    SELECT r, template, start, sum(weight) AS weight, count(*) FILTER (WHERE looked_up) AS agreeing
+    FROM hits WHERE looked_up OR (template, place) IN (SELECT (template, place) FROM key_place) GROUP BY ALL
+  ),
+  found AS (
+    SELECT r, template, weight / all_weight AS score FROM starts JOIN whole_keys USING (r, template, start) JOIN sizes USING (template) JOIN full_weight USING (template)
+    WHERE agreeing >= least({AGREE}, n)
+  ),
+  best AS (SELECT r, max(score) AS score FROM found GROUP BY r),
+  marks AS (SELECT r, label, true AS plain FROM base UNION SELECT r, label, false FROM found JOIN names USING (template)),
+  labelled AS (
+    SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE plain) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM marks GROUP BY r
+  )
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN bases USING (r) LEFT JOIN labelled USING (r) LEFT JOIN best USING (r)
+"""
+
+
+LICENSES = _licenses()

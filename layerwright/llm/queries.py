@@ -6,22 +6,27 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerwright.llm import oracles
 from layerwright.llm.decontamination import contamination
 from layerwright.llm.frames import prepare
+from layerwright.llm.hard_negatives import hard_negatives
 from layerwright.llm.host_reputation import filter_urls
 from layerwright.llm.lattice import embedding_links
+from layerwright.llm.license_scan import scan_licenses
 from layerwright.llm.mixing import mix
 from layerwright.llm.near_duplicates import near_duplicates
 from layerwright.llm.quality import quality_scores
 from layerwright.llm.substrings import remove_repeats
 from layerwright.llm.suffix_dedup import remove_repeated_strings
+from layerwright.llm.token_alignment import align_tokens
 from layerwright.llm.token_files import read_tokens, write_tokens
 from layerwright.llm.zip_warc import read_archives, with_references, write_archives
 from layerwright.session import run_dir, use_engine_settings
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,7 +91,7 @@ def _(table):
 
 @query("op9_low_discrepancy_mix", oracles.MIX)
 def _(table):
-    return mix(table("documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(table("documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots")
 
 
 @query("op10_zip_warc", oracles.WARC)
@@ -95,3 +100,19 @@ def _(table):
     folder = run_dir(pages.sparkSession, "archives")
     records = read_archives(pages.sparkSession, folder, write_archives(with_references(pages), folder))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op11_bond_hard_negatives", oracles.HARD_NEGATIVES)
+def _(table):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table("embeddings").select("vec_id", moved.alias("label"), "embedding"))
+
+
+@query("op12_token_alignment")
+def _(table):
+    return align_tokens(table("documents"), TOKENIZER, PIECES)
+
+
+@query("op13_license_scan", oracles.LICENSES)
+def _(table):
+    return scan_licenses(table("documents"))

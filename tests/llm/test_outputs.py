@@ -24,7 +24,6 @@ from tests.conftest import SMALL
 
 def test_token_files_round_trip(spark, docs, odd_docs, no_docs, tmp_path):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     for k, table in enumerate((docs, odd_docs, no_docs)):
         folder = str(tmp_path / str(k))
         manifest = write_tokens(table, folder, TOKENIZER, length=64, batch_rows=4)
@@ -77,8 +76,45 @@ def test_mix_meets_its_targets(docs, odd_docs, no_docs):
         assert abs(sum({r["source"]: r["target"] for r in rows}.values()) - 1.5 * sum(r["size"] for r in rows)) < 1e-6 * max(1, len(rows))
         out = mixed_documents(table, block=50)
         assert out.columns == table.columns
-        words = out.select(F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).alias("n")).agg(F.sum("n")).first()[0] or 0
-        assert words == sum(r["taken"] for r in rows)
+        assert out.exceptAll(table.unionAll(table)).count() == 0  # whole documents, none more than twice
+        words = {(r["source"], r["n"]) for r in out.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).alias("n")).collect()}
+        for source, n in words:
+            mine = [r for r in rows if r["source"] == source]
+            # Of each lap's last document at most half is left out or put in.
+            assert abs(n - mine[0]["target"]) <= max(r["size"] for r in mine) / 2 + 1
+
+
+def test_taken_words_come_through_the_schedule(docs, monkeypatch):
+    """With all slots of one point, or none, hardly a block is reached."""
+    want = sum(r["taken"] for r in mix(docs, block=50).collect())
+    monkeypatch.setattr(mixing, "van_der_corput", lambda number, bits: F.lit(0).cast("bigint"))
+    constant = mix(docs, block=50).collect()
+    assert want > 0 and sum(r["taken"] for r in constant) != want
+    monkeypatch.setattr(mixing, "van_der_corput", lambda number, bits: F.lit(1 << 40).cast("bigint"))
+    assert sum(r["taken"] for r in mix(docs, block=50).collect()) == 0
+
+
+def test_every_stretch_of_slots_is_close_to_the_weights(spark):
+    quotas = [1, 300, 77, 500, 2, 120]
+    edges = np.cumsum([0, *quotas])
+    plan = spark.createDataFrame([(i, q, int(edges[i])) for i, q in enumerate(quotas)], "place int, quota long, edge long")
+    rows = sorted(mixing.slots(plan).collect(), key=lambda r: r["slot"])
+    n = sum(quotas)
+    assert len(rows) == n and len({r["slot"] for r in rows}) == n
+    for i, q in enumerate(quotas):
+        assert [r["block"] for r in rows if r["place"] == i] == list(range(q))
+    places = np.array([r["place"] for r in rows])
+    for i, q in enumerate(quotas):
+        met = np.cumsum(places == i)
+        # A van der Corput prefix counts an interval to within the logarithm of its length.
+        assert np.abs(met - np.arange(1, n + 1) * q / n).max() <= np.log2(n) / 2 + 2
+    assert np.abs(np.cumsum(np.sort(places) == 3) - np.arange(1, n + 1) * quotas[3] / n).max() > 100  # as a plain order would
+
+
+def test_copies_of_the_mix_name_their_slots(docs):
+    out = mixed_documents(docs, block=50, slot="at")
+    assert out.columns == [*docs.columns, "at"] and out.where("at is null").count() == 0
+    assert out.drop("at").exceptAll(mixed_documents(docs, block=50)).count() == 0
 
 
 def test_mix_of_many_sources(spark, docs):
