@@ -6,19 +6,19 @@ The index holds, for every template, its words with their positions.
 1. Document frequencies of the template words are counted over all documents; a
    word's weight is the bits of N div df, an inverse document frequency in whole
    numbers (equal wherever it is computed).
-2. A file looks up, for each template, the `lookups` heaviest of the template's
-   words that it contains.  With fewer than `agree` of them (or than the template
-   has words) the template is out.
+2. The index posts the `lookups` heaviest words of each template, with all their places in
+   it.  A file looks up those it contains; with fewer than `agree` of them (or than the
+   template has words) the template is out.
 3. Each place of a looked-up word meets the word's postings: place minus posting is
-   the relative position at which the template would start.  A start is a candidate
-   if at least `agree` looked-up words agree on it.
-4. A candidate counts if one of the template's key phrases stands whole at its place.
+   the relative position at which the template would start.  A start counts if `agree`
+   looked-up words agree on it
+4. and the template's key phrase stands whole at its place.
 
-The score of a start is the weight of the looked-up and key-phrase words that stand in
-place, as a share of the whole template's; a file's score is its best.  Only
-DataFrame functions; no text is shuffled, only places of asked words, and these only
-from files that hold enough of them.  Template words reach the plans as literals: their
-number is that of the templates, a parameter, not of the data.
+The score of a start is the weight of all template words that stand in place, as a share
+of the whole template's; a file's score is its best.  Only DataFrame functions; no text is
+shuffled, only places of rare words whose key phrase stood beside them.  Template words
+reach the plans as literals: their number is that of the templates, a parameter, not of
+the data.
 
 Defined cases: a NULL or empty text has no words, no labels and score 0; rows alike in id
 and text have equal results, each its own row; rows with one id and different texts
@@ -40,39 +40,49 @@ PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc
 
 @dataclass(frozen=True)
 class Template:
-    """A notice: its label, its words, and the key phrases of which one must stand in place."""
+    """A notice: its label, its words, and the phrase of it that must stand in place."""
 
     label: str
     text: str
-    keys: tuple[str, ...]
+    key: str
+
+    @property
+    def words(self) -> list[str]:
+        return self.text.split(" ")
+
+    @property
+    def key_at(self) -> int:
+        """Words before the key phrase."""
+        size = self.key.count(" ") + 1
+        return next(i for i in range(len(self.words)) if self.words[i : i + size] == self.key.split(" "))
 
 
 # Opening words of public licence notices.
 TEMPLATES = (
-    Template("gpl", "gnu general public license", ("gnu general public license",)),
-    Template("apache", "apache license", ("apache license",)),
-    Template("cc-by", "cc by", ("cc by",)),
-    Template("mit", "mit license", ("mit license",)),
-    Template("gpl-3.0", "licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
-    Template("gpl-2.0", "licensed under the gnu general public license version 2", ("gnu general public license version 2",)),
+    Template("gpl", "gnu general public license", "gnu general public license"),
+    Template("apache", "apache license", "apache license"),
+    Template("cc-by", "cc by", "cc by"),
+    Template("mit", "mit license", "mit license"),
+    Template("gpl-3.0", "licensed under the gnu general public license version 3", "gnu general public license version 3"),
+    Template("gpl-2.0", "licensed under the gnu general public license version 2", "gnu general public license version 2"),
     Template("gpl-header", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
-             ("free software you can redistribute it",)),
-    Template("apache-2.0", "licensed under the apache license version 2 0", ("apache license version 2",)),
-    Template("cc-by-nc-4.0", "licensed under cc by nc 4 0", ("cc by nc 4",)),
-    Template("cc-by-sa-4.0", "licensed under cc by sa 4 0", ("cc by sa 4",)),
-    Template("cc-by-4.0", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution 4 0",)),
-    Template("mit-release", "released under the mit license", ("under the mit license",)),
+             "free software you can redistribute it"),
+    Template("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2"),
+    Template("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc 4"),
+    Template("cc-by-sa-4.0", "licensed under cc by sa 4 0", "cc by sa 4"),
+    Template("cc-by-4.0", "licensed under a creative commons attribution 4 0 international license", "creative commons attribution 4 0"),
+    Template("mit-release", "released under the mit license", "under the mit license"),
     Template("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
-             ("permission is hereby granted free of charge",)),
+             "permission is hereby granted free of charge"),
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
-             ("redistribution and use in source and binary forms",)),
+             "redistribution and use in source and binary forms"),
     Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
-             ("distribute this software for any purpose",)),
-    Template("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license v 2 0",)),
-    Template("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
+             "distribute this software for any purpose"),
+    Template("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license v 2 0"),
+    Template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
 
-LOOKUPS, AGREE = 8, 3
+LOOKUPS, AGREE = 4, 3
 _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -111,7 +121,7 @@ def _joined(labels: Column) -> Column:
 
 def scanned_words(docs: DataFrame, templates: tuple[Template, ...], phrases: dict[str, str], doc: str, text: str) -> DataFrame:
     """doc_id, text_id, n_words, n_base, first_word, last_word, base (labels), present (the template words it holds)."""
-    vocabulary = sorted({w for t in templates for w in t.text.split(" ")})
+    vocabulary = sorted({w for t in templates for w in t.words})
     rows = docs.select(F.col(doc).alias("doc_id"), F.md5(F.col(text).cast("binary")).alias("text_id"), spaced_words(F.col(text)).alias("t"))
     rows = rows.select("*", F.concat(F.lit(" "), "t", F.lit(" ")).alias("padded"))
     found = [(label, *_places(F.col("padded"), phrase)) for phrase, label in sorted(phrases.items())]
@@ -132,71 +142,59 @@ def word_weights(scanned: DataFrame) -> dict[str, int]:
     return {r["word"]: (total // r["count"]).bit_length() for r in counts.collect()}
 
 
-def _postings(spark: SparkSession, templates: tuple[Template, ...], weights: dict[str, int]) -> DataFrame:
-    """template, word, place, weight, key (numbers of the key phrases that hold the place), one row per template word."""
+def _index_words(template: Template, weights: dict[str, int], lookups: int) -> list[str]:
+    """The heaviest words of a template that occur at all."""
+    return sorted(set(template.words) & set(weights), key=lambda w: (-weights[w], w))[:lookups]
+
+
+def _postings(spark: SparkSession, templates: tuple[Template, ...], weights: dict[str, int], lookups: int) -> DataFrame:
+    """word, place, template, and the template's words with their weights: a row per posting of the index."""
     rows = []
     for n, t in enumerate(templates):
-        words = t.text.split(" ")
-        spans = []
-        for key in t.keys:
-            size = len(key.split(" "))
-            spans += [(i, i + size) for i in range(len(words) - size + 1) if words[i : i + size] == key.split(" ")][:1]
-        for i, w in enumerate(words):
-            inside = [k for k, (a, b) in enumerate(spans) if a <= i < b]
-            rows.append(F.struct(F.lit(n).alias("template"), F.lit(w).alias("word"), F.lit(i).alias("place"), F.lit(weights.get(w, 0)).alias("weight"),
-                                 (F.array(*[F.lit(k) for k in inside]) if inside else F.array().cast("array<int>")).alias("key")))
+        whole = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(weights.get(w, 0)).alias("weight")) for w in t.words])
+        few = set(_index_words(t, weights, lookups))
+        rows += [F.struct(F.lit(w).alias("word"), F.lit(i).alias("place"), F.lit(n).alias("template"), whole.alias("whole"), F.lit(t.key_at).alias("key_at"), F.lit(t.key).alias("key"))
+                 for i, w in enumerate(t.words) if w in few]
+    if not rows:
+        return spark.range(0).selectExpr("'' AS word", "0 AS place", "0 AS template", "array(named_struct('word', '', 'weight', 0)) AS whole", "0 AS key_at", "'' AS key")
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def _held(template: Template, weights: dict[str, int], lookups: int) -> Column:
-    """The words a file looks up of one template: its heaviest words there (array_intersect keeps the order of the first array)."""
-    words = sorted(set(template.text.split(" ")) & set(weights), key=lambda w: (-weights[w], w))
-    return F.slice(F.array_intersect(_strings(words), F.col("present")), 1, lookups)
-
-
-def _numbered(n: int) -> Column:
-    return F.transform(f"held{n}", lambda w: F.concat(F.lit(f"{n}:"), w))
-
-
 def notices(
     docs: DataFrame, weights: dict[str, int], templates: tuple[Template, ...] = TEMPLATES, lookups: int = LOOKUPS, agree: int = AGREE,
     doc: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """Notices that hold a key phrase in place: doc_id, text_id, template, start (word), score.
+    """Notices whose key phrase stands in place: doc_id, text_id, template, start (word), score.
 
-    One pass: a file's words are looked at in its own row, and only places of asked
-    words leave it.  Files out of play explode to nothing (no filter, which Spark
-    would push below the arrays it reads and so compute them twice).
+    One pass: a file's words are looked at in its own row, and only starts leave it.  Files
+    out of play explode to nothing (no filter, which Spark would push below the arrays it
+    reads and so compute them twice).
     """
-    vocabulary = sorted({w for t in templates for w in t.text.split(" ")})
-    numbers = range(len(templates))
-    least = [min(agree, len(set(t.text.split(" ")))) for t in templates]
-    key_words = [sorted({w for k in t.keys for w in k.split(" ")}) for t in templates]
+    few = [_index_words(t, weights, lookups) for t in templates]
+    least = [min(agree, len(set(t.words))) for t in templates]
     none = _strings([])
     rows = docs.select(F.col(doc).alias("doc_id"), F.md5(F.col(text).cast("binary")).alias("text_id"), F.split(spaced_words(F.col(text)), " ").alias("words"))
-    rows = rows.select("*", F.array_intersect("words", _strings(vocabulary)).alias("present"))
-    rows = rows.select("doc_id", "text_id", "words", *[_held(t, weights, lookups).alias(f"held{n}") for n, t in enumerate(templates)])
-    inside = [F.size(f"held{n}") >= least[n] for n in numbers]
-    asked = F.flatten(F.array(*[F.when(inside[n], _numbered(n)).otherwise(none) for n in numbers]))
-    wanted = F.flatten(F.array(*[F.when(inside[n], F.concat(F.col(f"held{n}"), _strings(key_words[n]))).otherwise(none) for n in numbers]))
-    rows = rows.select("doc_id", "text_id", "words", asked.alias("asked"), F.array_distinct(wanted).alias("wanted"), F.array(*inside).alias("in_play"))
+    rows = rows.select("*", F.array_intersect("words", _strings(sorted({w for ws in few for w in ws}))).alias("present"))
+    rows = rows.select("doc_id", "text_id", "words", *[F.array_intersect(_strings(ws), F.col("present")).alias(f"held{n}") for n, ws in enumerate(few)])
+    inside = [F.size(f"held{n}") >= k for n, k in enumerate(least)]
+    wanted = F.flatten(F.array(none, *[F.when(inside[n], F.col(f"held{n}")).otherwise(none) for n in range(len(templates))]))
+    rows = rows.select("doc_id", "text_id", "words", F.array_distinct(wanted).alias("wanted"), F.array(*inside).alias("in_play"))
     some = F.when(F.size("wanted") > 0, F.col("words"))
-    places = rows.select("doc_id", "text_id", "asked", "wanted", "in_play", F.posexplode_outer(some).alias("at", "w")).where(F.array_contains("wanted", F.col("w")))
-    hits = places.join(F.broadcast(_postings(docs.sparkSession, templates, weights)), F.col("w") == F.col("word")).where(F.col("in_play")[F.col("template")])
-    hits = hits.withColumn("looked_up", F.array_contains("asked", F.concat(F.col("template").cast("string"), F.lit(":"), "word"))).where("looked_up or size(key) > 0")
+    places = rows.select("doc_id", "text_id", "words", "wanted", "in_play", F.posexplode_outer(some).alias("at", "w")).where(F.array_contains("wanted", F.col("w")))
+    hits = places.join(F.broadcast(_postings(docs.sparkSession, templates, weights, lookups)), F.col("w") == F.col("word")).where(F.col("in_play")[F.col("template")])
+    hits = hits.withColumn("start", F.col("at") - F.col("place"))
+    first = F.col("start") + F.col("key_at")
+    length = F.size(F.split("key", " "))
+    hits = hits.where((first >= 0) & (F.array_join(F.slice("words", F.greatest(first, F.lit(0)) + 1, length), " ") == F.col("key")))
+    # Out of bounds is NULL, which is no word.
+    standing = F.transform("whole", lambda x, i: F.when(F.get("words", F.col("start") + i) == x["word"], x["weight"]).otherwise(0))
+    summed = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x)
+    score = summed(standing) / summed(F.transform("whole", lambda x: x["weight"]))
     # A row alike in id and text gives the same hits again: they count once.
-    hits = hits.select("doc_id", "text_id", "template", (F.col("at") - F.col("place")).alias("start"), "place", "weight", "key", "looked_up").distinct()
-    starts = hits.groupBy("doc_id", "text_id", "template", "start").agg(
-        F.sum("weight").alias("weight"), F.count_if("looked_up").alias("agreeing"),
-        *[F.count_if(F.array_contains("key", k)).alias(f"key{k}") for k in range(max(len(t.keys) for t in templates))])
-    holds = F.lit(False)
-    for n, t in enumerate(templates):
-        whole = F.lit(False)
-        for k, key in enumerate(t.keys):
-            whole |= F.col(f"key{k}") == len(key.split(" "))
-        holds |= (F.col("template") == n) & (F.col("agreeing") >= least[n]) & whole
-    full = F.array(*[F.lit(sum(weights.get(w, 0) for w in t.text.split(" "))) for t in templates])
-    return starts.where(holds).select("doc_id", "text_id", "template", "start", (F.col("weight") / full[F.col("template")]).alias("score"))
+    hits = hits.select("doc_id", "text_id", "template", "start", "place", score.alias("score")).distinct()
+    starts = hits.groupBy("doc_id", "text_id", "template", "start").agg(F.count("*").alias("agreeing"), F.max("score").alias("score"))
+    enough = F.element_at(F.array(*[F.lit(k) for k in least]), F.col("template") + 1)
+    return starts.where(F.col("agreeing") >= enough).select("doc_id", "text_id", "template", "start", "score")
 
 
 def scan_licenses(

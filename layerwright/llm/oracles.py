@@ -205,21 +205,15 @@ QUALIFY rank <= 10
 
 
 def _licenses() -> str:
-    words = [(n, w, i) for n, t in enumerate(TEMPLATES) for i, w in enumerate(t.text.split(" "))]
-    keys = []
-    for n, t in enumerate(TEMPLATES):
-        whole = t.text.split(" ")
-        for k, key in enumerate(t.keys):
-            size = len(key.split(" "))
-            first = next(i for i in range(len(whole)) if whole[i : i + size] == key.split(" "))
-            keys += [(n, k, first + i, size) for i in range(size)]
+    words = [(n, w, i) for n, t in enumerate(TEMPLATES) for i, w in enumerate(t.words)]
+    keys = [(n, t.key_at + i, t.key.count(" ") + 1) for n, t in enumerate(TEMPLATES) for i in range(t.key.count(" ") + 1)]
     values = lambda rows: ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
     grams = {1: "word", 2: "word || ' ' || w2", 3: "word || ' ' || w2 || ' ' || w3", 4: "word || ' ' || w2 || ' ' || w3 || ' ' || w4"}
     phrase = " UNION ALL ".join(f"SELECT r, spot, '{label}' AS label FROM near WHERE {grams[p.count(' ') + 1]} = '{p}'" for p, label in PHRASES.items())
     return f"""
 WITH names(template, label) AS (VALUES {values([(n, t.label) for n, t in enumerate(TEMPLATES)])}),
   posting(template, word, place) AS (VALUES {values(words)}),
-  key_place(template, key, place, size) AS (VALUES {values(keys)}),
+  key_place(template, place, size) AS (VALUES {values(keys)}),
   sizes AS (SELECT template, count(DISTINCT word) AS n FROM posting GROUP BY template),
   d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_BENCH_WORD}') AS w FROM documents),
   x AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS spot FROM d),
@@ -232,29 +226,27 @@ WITH names(template, label) AS (VALUES {values([(n, t.label) for n, t in enumera
     SELECT word, length(bin((SELECT count(*) FROM d) // count(DISTINCT r))) AS weight FROM x WHERE word IN (SELECT word FROM posting) GROUP BY word
   ),
   full_weight AS (SELECT template, sum(coalesce(weight, 0)) AS all_weight FROM posting LEFT JOIN weights USING (word) GROUP BY template),
-  held AS (
-    SELECT r, template, word FROM (SELECT DISTINCT r, template, word, weight FROM x JOIN posting USING (word) JOIN weights USING (word))
-    QUALIFY row_number() OVER (PARTITION BY r, template ORDER BY weight DESC, word) <= {LOOKUPS}
+  few AS (
+    SELECT template, word FROM (SELECT DISTINCT template, word, weight FROM posting JOIN weights USING (word))
+    QUALIFY row_number() OVER (PARTITION BY template ORDER BY weight DESC, word) <= {LOOKUPS}
   ),
-  asked AS (SELECT *, count(*) OVER (PARTITION BY r, template) AS n_held FROM held),
-  in_play AS (SELECT DISTINCT r, template FROM asked JOIN sizes USING (template) WHERE n_held >= least({AGREE}, n)),
-  hits AS (
-    SELECT x.r, p.template, spot - place AS start, place, weight, h.word IS NOT NULL AS looked_up
-    FROM x JOIN posting p USING (word) JOIN in_play i ON i.r = x.r AND i.template = p.template JOIN weights USING (word)
-    LEFT JOIN held h ON h.r = x.r AND h.template = p.template AND h.word = x.word
-  ),
-  whole_keys AS (
-    SELECT DISTINCT r, template, start FROM (
-      SELECT r, template, start, key, count(*) AS n, any_value(size) AS size FROM hits JOIN key_place USING (template, place) GROUP BY ALL
-    ) WHERE n = size
+  in_play AS (
+    SELECT r, template FROM (SELECT DISTINCT r, template, word FROM x JOIN few USING (word)) JOIN sizes USING (template)
+    GROUP BY r, template, n HAVING count(*) >= least({AGREE}, n)
   ),
   starts AS (
-    SELECT r, template, start, sum(weight) AS weight, count(*) FILTER (WHERE looked_up) AS agreeing
-    FROM hits WHERE looked_up OR (template, place) IN (SELECT (template, place) FROM key_place) GROUP BY ALL
+    SELECT x.r, p.template, spot - place AS start, count(*) AS agreeing
+    FROM x JOIN few USING (word) JOIN in_play i ON i.r = x.r AND i.template = few.template JOIN posting p ON p.template = few.template AND p.word = few.word GROUP BY ALL
+  ),
+  keyed AS (
+    SELECT s.r, s.template, s.start FROM starts s JOIN sizes z USING (template) JOIN key_place k ON k.template = s.template
+    JOIN posting p ON p.template = s.template AND p.place = k.place JOIN x ON x.r = s.r AND x.spot = s.start + k.place AND x.word = p.word
+    WHERE agreeing >= least({AGREE}, z.n) GROUP BY ALL HAVING count(*) = any_value(k.size)
   ),
   found AS (
-    SELECT r, template, weight / all_weight AS score FROM starts JOIN whole_keys USING (r, template, start) JOIN sizes USING (template) JOIN full_weight USING (template)
-    WHERE agreeing >= least({AGREE}, n)
+    SELECT k.r, k.template, sum(weight) / any_value(all_weight) AS score
+    FROM keyed k JOIN posting p ON p.template = k.template JOIN x ON x.r = k.r AND x.spot = k.start + p.place AND x.word = p.word
+    JOIN weights w ON w.word = p.word JOIN full_weight f ON f.template = k.template GROUP BY k.r, k.template, k.start
   ),
   best AS (SELECT r, max(score) AS score FROM found GROUP BY r),
   marks AS (SELECT r, label, true AS plain FROM base UNION SELECT r, label, false FROM found JOIN names USING (template)),
