@@ -4,6 +4,7 @@ preflight  list missing and empty landings
 build      bronze to gold for every domain
 check      verdicts of all checks over the stored layers; fails on unexpected ones
 repair     re-aggregate stored grains that records later than the window have left behind
+history    checks that failed when they last ran, and since which run; fails if there are any
 sql        run a query over the stored layers (staging.*, silver.*, gold.*)
 run        preflight, build, check, export and publish, each behind the one before
 messy      land demonstration batches that trip the gate
@@ -19,16 +20,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright.operators.checks import unexpected_failures
+from layerwright.operators.history import check_history, failing_since
 from layerwright.plans.demo import LATE_INGEST_DATE, late_request, messy_commits, messy_requests
 from layerwright.plans.domains import DOMAINS
-from layerwright.plans.gated import GateFailed, RunConfig, build, check, gated_run, load, register_layers, repair, side_by_side
+from layerwright.plans.gated import VERDICTS, GateFailed, RunConfig, build, check, gated_run, load, register_layers, repair, side_by_side
 from layerwright.session import build_session
 from layerwright.sources.bronze import CORRUPT, check_bronze, read_bronze, with_ingest_date, write_bronze
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="layerwright", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("command", choices=["preflight", "build", "check", "repair", "sql", "run", "messy", "late"])
+    parser.add_argument("command", choices=["preflight", "build", "check", "repair", "history", "sql", "run", "messy", "late"])
     parser.add_argument("--query", default="SHOW VIEWS IN gold", help="for sql")
     parser.add_argument("--limit", type=int, default=100, help="rows of an answer to print; its size is always printed")
     parser.add_argument("--out", default="", help="also write the whole answer (sql: rows, others: violations) as JSON lines to this new folder")
@@ -40,6 +42,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--lookback-days", type=int, default=3)
     parser.add_argument("--full-refresh", action="store_true")
     parser.add_argument("--threshold", type=float, default=0.02)
+    parser.add_argument("--by-key", action="store_true", help="update silver and gold by the keys that changed, instead of rebuilding silver")
     parser.add_argument("--gate-per-batch", action="store_true", help="judge every landing date by itself")
     parser.add_argument("--allow", action="append", default=[], help="name of a check known to fail (repeatable)")
     parser.add_argument("--ingest-date", default=LATE_INGEST_DATE, help="landing date of messy and late batches")
@@ -58,6 +61,7 @@ def config(args: argparse.Namespace) -> RunConfig:
         threshold=args.threshold,
         known_failures=tuple(args.allow),
         gate_per_batch=args.gate_per_batch,
+        by_key=args.by_key,
         cap=args.cap,
     )
 
@@ -87,6 +91,8 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.command == "repair":
         side_by_side(lambda d: repair(spark, d, cfg), cfg.chosen())
         return 0
+    if args.command == "history":
+        return _violations(failing_since(check_history(spark, f"{cfg.warehouse_root}/{VERDICTS}")), args)
     if args.command == "sql":
         register_layers(spark, cfg)
         _answer(spark.sql(args.query), args)

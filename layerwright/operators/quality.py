@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from layerwright.functions import ratio
 
 REASON = "rejection_reason"
+MALFORMED = "malformed_record"
 THRESHOLD = 0.02  # fixed value: share of rejected rows a run may carry
 
 Rule = tuple[str, str]  # (column that must not be null, reason given when it is)
@@ -20,13 +21,17 @@ def required(*columns: str) -> list[Rule]:
     return [(c, f"missing_{c}") for c in columns]
 
 
-def classify(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def classify(df: DataFrame, rules: Sequence[Rule], text: str | None = None) -> DataFrame:
     """Add `rejection_reason`: that of the first broken rule, NULL for a good row.
 
-    Narrow and row-local, so both outputs of the split come from one pass.
+    Narrow and row-local, so both outputs of the split come from one pass.  `text` names
+    the column that holds a record's text where it could not be read as declared: a row
+    with one that breaks a rule does so for that reason.
     """
-    reasons = [F.when(F.col(column).isNull(), F.lit(reason)) for column, reason in rules]
-    return df.withColumn(REASON, F.coalesce(*reasons))
+    reason = F.coalesce(*[F.when(F.col(column).isNull(), F.lit(reason)) for column, reason in rules])
+    if text is not None:
+        reason = F.when(F.col(text).isNotNull() & reason.isNotNull(), F.lit(MALFORMED)).otherwise(reason)
+    return df.withColumn(REASON, reason)
 
 
 def valid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

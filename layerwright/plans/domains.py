@@ -26,8 +26,9 @@ from layerwright.functions import (
 from layerwright.operators.checks import TableChecks
 from layerwright.operators.dedup import keep_best, latest, lowest
 from layerwright.operators.grain import PART, GrainSpec, aggregate
-from layerwright.operators.quality import classify, rejected, required, valid
+from layerwright.operators.quality import MALFORMED, classify, rejected, required, valid
 from layerwright.operators.staging import stage
+from layerwright.sources.bronze import CORRUPT
 
 
 @dataclass(frozen=True)
@@ -64,10 +65,11 @@ class Domain:
 
     def staging_rules(self) -> str:
         """What staged rows depend on besides their source: a change calls for staging them again."""
-        return f"{self.mapping()} {list(self.not_null)}"
+        return f"{self.mapping()} {list(self.not_null)} {MALFORMED}"
 
     def classify(self, staged: DataFrame) -> DataFrame:
-        return classify(staged, required(*self.not_null))
+        """With the reason of each rejected row; rows staged with their unreadable text keep it."""
+        return classify(staged, required(*self.not_null), CORRUPT if CORRUPT in staged.columns else None)
 
     def valid(self, staged: DataFrame) -> DataFrame:
         return valid(staged, required(*self.not_null))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from layerwright.operators.checks import run_checks, unexpected_failures
 from layerwright.operators.diff import recompute_diff
 from layerwright.operators.grain import PART, aggregate
+from layerwright.operators.history import record_verdicts
 from layerwright.operators.incremental import (
     LOOKBACK_DAYS,
     has_gold,
@@ -27,13 +28,15 @@ from layerwright.operators.incremental import (
     replace_partitions,
 )
 from layerwright.operators.quality import REASON, THRESHOLD, accepted, rejected, rejection_gate
+from layerwright.plans.changed_keys import BUCKETS, KeyedPaths, finish, read_silver, update_gold, update_quarantine, update_silver
 from layerwright.plans.domains import DOMAINS, Domain
 from layerwright.sources import files
-from layerwright.sources.bronze import INGEST_DATE, check_bronze, read_bronze, with_ingest_date
+from layerwright.sources.bronze import CORRUPT, INGEST_DATE, check_bronze, read_bronze, with_ingest_date
 from layerwright.sources.catalog import create_layers, publish_all, read_layer, register_view, write_layer
 from layerwright.sources.landings import changed, landed, remember, remembered
 from layerwright.sources.snapshots import snapshot_all, version_path
 
+VERDICTS = "_verdicts"  # folder of every run's verdicts under the warehouse
 STAGES = ("preflight", "build", "check", "export", "publish")
 
 
@@ -59,6 +62,8 @@ class RunConfig:
     known_failures: Iterable[str] = ()
     cap: dt.date | str | None = None  # no watermark may lie beyond this date
     gate_per_batch: bool = False  # judge each landing date by itself, undiluted by history
+    by_key: bool = False  # update silver, quarantine and gold by the keys that changed, instead of rebuilding them
+    index_buckets: int = BUCKETS  # of the key index; fixed once the index is made
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.warehouse_root}/{layer}/{table}"
@@ -79,7 +84,7 @@ class Built:
 
     def tables(self) -> dict[str, DataFrame]:
         d = self.domain
-        return {d.staging: self.classified.drop(REASON, INGEST_DATE), d.silver: self.silver, d.quarantine: self.rejected, d.gold: self.gold}
+        return {d.staging: self.classified.drop(REASON, INGEST_DATE, CORRUPT), d.silver: self.silver, d.quarantine: self.rejected, d.gold: self.gold}
 
 
 def side_by_side(fn: Callable, items: Sequence) -> list:
@@ -105,10 +110,26 @@ def build(spark: SparkSession, domain: Domain, cfg: RunConfig) -> Built:
     if not now.keys() <= set(dates):
         # As text, so that any year and the folder of rows without a date are dates like others.
         bronze = bronze.where(F.coalesce(F.col(INGEST_DATE).cast("string"), F.lit(files.NO_VALUE)).isin(dates))
-    classified = _store_classified(domain.stage(bronze, lineage=[INGEST_DATE]), domain, cfg, dates)
+    classified = _store_classified(domain.stage(bronze, lineage=[INGEST_DATE, CORRUPT]), domain, cfg, dates)
+    if cfg.by_key:
+        built = _build_by_key(classified, domain, cfg, dates, whole=cfg.full_refresh or set(now) <= set(dates))
+    else:
+        built = _build_on(classified, domain, cfg)
+    # Remembered last: landings whose layers were not brought up to date count as changed again.
     if dates:
         remember(spark, notes, now)
-    return _build_on(classified, domain, cfg)
+    return built
+
+
+def _build_by_key(classified: DataFrame, domain: Domain, cfg: RunConfig, dates: Sequence[str], whole: bool) -> Built:
+    """Silver, quarantine and gold of the landings that changed only (see plans/changed_keys.py)."""
+    spark, paths = classified.sparkSession, KeyedPaths.of(cfg, domain)
+    days = update_silver(classified, domain, paths, dates, whole, cfg.index_buckets)
+    bad = update_quarantine(classified, domain, paths, dates, whole or days is None)
+    silver = read_silver(spark, paths, domain.dated(domain.to_silver(accepted(classified))))
+    gold = update_gold(silver, domain, paths, days)
+    finish(spark, paths)
+    return Built(domain, classified, bad, silver, gold)
 
 
 def build_from(staged: DataFrame, domain: Domain, cfg: RunConfig) -> Built:
@@ -138,14 +159,15 @@ def _build_on(classified: DataFrame, domain: Domain, cfg: RunConfig) -> Built:
 
 def load(spark: SparkSession, domain: Domain, cfg: RunConfig) -> Built:
     """The stored layers of an earlier build."""
-    silver = read_layer(spark, cfg.path("silver", domain.silver))
-    return Built(
-        domain,
-        spark.read.parquet(cfg.path("staging", domain.staging)),
-        read_layer(spark, cfg.path("silver", domain.quarantine)),
-        silver,
-        read_or_empty(spark, cfg.path("gold", domain.gold), domain.spec, aggregate(silver, domain.spec)),
-    )
+    classified = spark.read.parquet(cfg.path("staging", domain.staging))
+    if cfg.by_key:
+        paths = KeyedPaths.of(cfg, domain)
+        silver = read_silver(spark, paths, domain.dated(domain.to_silver(accepted(classified))))
+        bad = update_quarantine(classified, domain, paths, (), whole=False)
+    else:
+        silver = read_layer(spark, cfg.path("silver", domain.silver))
+        bad = read_layer(spark, cfg.path("silver", domain.quarantine))
+    return Built(domain, classified, bad, silver, read_or_empty(spark, cfg.path("gold", domain.gold), domain.spec, aggregate(silver, domain.spec)))
 
 
 def repair(spark: SparkSession, domain: Domain, cfg: RunConfig) -> DataFrame:
@@ -166,8 +188,12 @@ def register_layers(spark: SparkSession, cfg: RunConfig) -> None:
             ("silver", d.silver): list(d.conform()),
             ("silver", d.quarantine): [*d.quarantine_columns, REASON],
         }
+        keyed = KeyedPaths.of(cfg, d)
         for (layer, table), columns in relations.items():
-            folder = version_path(spark, cfg.path(layer, table))
+            if cfg.by_key:
+                folder = keyed.silver if table == d.silver else keyed.quarantine
+            else:
+                folder = version_path(spark, cfg.path(layer, table))
             register_view(spark, f"{layer}.{table}", folder, columns, d.comments.get(table, ""))
         if has_gold(spark, cfg.path("gold", d.gold)):
             date = f"CAST({PART} AS TIMESTAMP_NTZ) AS {d.spec.date_name}"
@@ -223,6 +249,7 @@ def gated_run(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     done.append(("build", "success", sum(df.count() for df in gold.values())))
 
     verdicts = _materialized(check(built, cfg.threshold, cfg.gate_per_batch))
+    record_verdicts(verdicts, f"{cfg.warehouse_root}/{VERDICTS}")
     gate("check", unexpected_failures(verdicts, cfg.known_failures))
 
     exported = snapshot_all(spark, gold, f"{cfg.warehouse_root}/export")

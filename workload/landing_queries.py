@@ -9,7 +9,7 @@ from layerwright.sources import files
 from layerwright.sources.bronze import INGEST_DATE, write_bronze
 from layerwright.streaming.available import StreamTables, ingest_available
 from workload.incremental_queries import by_calendar
-from workload.oracle import ctes
+from workload.oracle import ctes, gold_of
 from workload.quality_queries import silver
 from workload.registry import query
 from workload.standins import raw_requests, requests
@@ -138,3 +138,49 @@ def stream_all_rejected(spark, sf_dir):
     rejected = spark.read.parquet(tables.quarantine).selectExpr("1 AS rejected", "0 AS gold_rows")
     both = rejected.unionAll(gold.selectExpr("0 AS rejected", "1 AS gold_rows"))
     return both.agg(F.sum("rejected").alias("rejected"), F.sum("gold_rows").alias("gold_rows"))
+
+
+# ---- silver by the keys that changed ------------------------------------------
+
+_CORRECTED = """
+  SELECT * FROM slv_r WHERE request_id % 11 <> 0
+  UNION ALL
+  SELECT request_id, created_at + INTERVAL '40' DAY, closed_at, date_diff('hour', created_at + INTERVAL '40' DAY, closed_at), reverse(agency), agency_name,
+         complaint_type, descriptor, borough, incident_zip, status, latitude, longitude
+  FROM slv_r WHERE request_id % 11 = 0
+"""
+
+
+def _keyed(spark, label):
+    return RunConfig(*(run_dir(spark, label) + f"/{x}" for x in ("bronze", "warehouse")), domains={REQUESTS.source: REQUESTS}, by_key=True, index_buckets=4)
+
+
+def _after_corrections(spark, sf_dir):
+    """Built by key three times: over one landing too many; after that one is withdrawn and another has moved a tenth of the records 40 days on; unchanged."""
+    cfg = _keyed(spark, "by-key")
+    good = raw_requests(silver(spark, sf_dir, REQUESTS))
+    key = F.col("unique_key").cast("bigint")
+
+    def later(days, landing):
+        moved = F.date_format(F.to_timestamp_ntz("created_date") + F.make_interval(days=F.lit(days)), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        return good.withColumn("created_date", moved).withColumn(INGEST_DATE, F.lit(landing).cast("date"))
+
+    _land(raw_requests(requests(spark, sf_dir)), cfg)
+    _land(later(80, "2030-01-02").where(key % 7 == 0).withColumn("agency", F.lit("withdrawn")), cfg)
+    build(spark, REQUESTS, cfg)
+    _withdraw(spark, cfg, "2030-01-02")
+    _land(later(40, "2030-01-01").where(key % 11 == 0).withColumn("agency", F.reverse("agency")), cfg)
+    build(spark, REQUESTS, cfg)
+    return build(spark, REQUESTS, cfg)
+
+
+@query("silver_after_correction", ctes("r") + _CORRECTED)
+def silver_after_correction(spark, sf_dir):
+    """W-1, O-2: records move to another day and a landing is withdrawn; only the keys and days concerned are written again."""
+    return _after_corrections(spark, sf_dir).silver.drop("grain_date")
+
+
+@query("gold_after_correction", ctes("r", f"corrected AS ({_CORRECTED})", f"g AS ({gold_of('r', 'corrected')})") + "SELECT * FROM g")
+def gold_after_correction(spark, sf_dir):
+    """L-4: gold of those days, however old, is right without a window; days that became empty are gone."""
+    return _after_corrections(spark, sf_dir).gold
