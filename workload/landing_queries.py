@@ -127,6 +127,19 @@ def stream_very_late_record(spark, sf_dir):
     return ingest_available(spark, f"{root}/bronze", REQUESTS, tables)
 
 
+@query("stream_compacted", _WHOLE)
+def stream_compacted(spark, sf_dir):
+    """L-5: five micro-batches, the dates of their keys from the key index, and the log folded to two folders per grain date."""
+    raw = raw_requests(requests(spark, sf_dir))
+    root = run_dir(spark, "stream-compacted")
+    tables = StreamTables(f"{root}/stream", index_buckets=4, max_folders=2)
+    part = F.pmod(F.crc32(F.coalesce("unique_key", F.lit(""))), F.lit(5))
+    for n in range(5):
+        write_bronze(raw.where(part == n), f"{root}/bronze", REQUESTS.source)
+        gold = ingest_available(spark, f"{root}/bronze", REQUESTS, tables)
+    return gold
+
+
 @query("stream_all_rejected", ctes("r") + "SELECT (SELECT count(*) FROM stg_r) AS rejected, 0::bigint AS gold_rows")
 def stream_all_rejected(spark, sf_dir):
     """L-5: where every record so far is rejected, gold is an empty table, not an error."""
