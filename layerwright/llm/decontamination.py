@@ -3,9 +3,10 @@
 Texts are lower-cased (A-Z) and cut into runs of digits, a-z and non-ASCII
 characters.  Each item gives its windows of `n` words, or one shorter window if
 it has fewer.  Their hashes are broadcast; a document window whose hash is in the
-set is verified word for word.  A set above `max_windows` is cut into slices that
-each meet the bound, the documents are scanned once per slice, and the hits of a
-document are joined; spans are cut once, after the hits of all slices are known.
+set is verified word for word.  A set above `max_windows` is cut into sets that each meet
+the bound; the documents are scanned once per set, one set after the other, and at no time
+is there more than one set in the driver or a worker.  The hits of a text are joined, and
+spans are cut once, after the hits of all sets are known.
 
 Defined cases: a NULL or wordless text has no words and no hits; an item without
 words has no window; repeated items count by their distinct ids; repeated
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerwright.llm.frames import prepare, text_key
+from layerwright.llm.frames import prepare, stored, text_key
 from layerwright.llm.text import NON_ALNUM, Words, text_blocks, words
 
 MAX_WINDOWS = 500_000
@@ -87,16 +88,33 @@ class NgramSet:
                         yield int(at[i]), size, items
 
 
-def _slices(benchmark: DataFrame, n: int, item: str, text: str, max_windows: int) -> list:
-    """Broadcast sets of at most max_windows windows each (one set, unless the benchmark is very large)."""
-    spark = benchmark.sparkSession
+def _parts(benchmark: DataFrame, n: int, item: str, text: str, max_windows: int) -> tuple[DataFrame, int]:
+    """The windows, and into how many sets of at most max_windows they are cut (one, unless the benchmark is very large)."""
     table = benchmark_windows(benchmark, n, item, text)
     count = table.count()
-    parts = max(1, -(-count // max(1, max_windows // 2)) if count > max_windows else 1)
-    out = []
+    if count <= max_windows:
+        return table, 1
+    return stored(table, "benchmark-windows"), -(-count // max(1, max_windows // 2))
+
+
+def _set(table: DataFrame, part: int, parts: int):
+    """One set, broadcast."""
+    rows = (table if parts == 1 else table.where(F.pmod(F.xxhash64("words"), F.lit(parts)) == part)).collect()
+    return table.sparkSession.sparkContext.broadcast(NgramSet(rows))
+
+
+def _scanned(source: DataFrame, table: DataFrame, parts: int) -> DataFrame:
+    """`_scan` of every set, one after the other: a set's hits are stored and its broadcast is gone before the next is made.
+
+    Rows with no hit are kept from the first scan alone (column `part` tells the scans apart).
+    """
+    out = None
     for part in range(parts):
-        rows = (table if parts == 1 else table.where(F.pmod(F.xxhash64("words"), F.lit(parts)) == part)).collect()
-        out.append(spark.sparkContext.broadcast(NgramSet(rows)))
+        shared = _set(table, part, parts)
+        found = _scan(source, shared).withColumn("part", F.lit(part))
+        found = stored(found if part == 0 else found.where(F.size("spans") > 0), f"benchmark-hits-{part}")
+        shared.destroy()
+        out = found if out is None else out.unionAll(found)
     return out
 
 
@@ -136,20 +154,16 @@ def contamination(
 ) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items (sorted ids), items_sha256, contaminated."""
     prepare(docs.sparkSession)
-    sets = _slices(benchmark, n, item, item_text, max_windows)
+    table, parts = _parts(benchmark, n, item, item_text, max_windows)
     source = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
-    if len(sets) == 1:
-        hits = _scan(source, sets[0])
+    if parts == 1:
+        hits = _scan(source, _set(table, 0, 1))
     else:
-        source = source.withColumn("key", text_key(F.col("text"))).withColumn("copy", F.lit(1))
-        parts = [_scan(source, s) for s in sets]
-        whole = parts[0].unionAll(parts[1])
-        for p in parts[2:]:
-            whole = whole.unionAll(p)
+        whole = _scanned(source.withColumn("key", text_key(F.col("text"))), table, parts)
         # Rows alike in id and text have alike hits, so they are counted and given back as many times.
         whole = whole.groupBy("doc_id", "key").agg(
             F.max("n_words").alias("n_words"), F.flatten(F.collect_set("spans")).alias("spans"),
-            F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"), (F.sum("copy") / len(sets)).cast("int").alias("copies"))
+            F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"), F.count_if(F.col("part") == 0).cast("int").alias("copies"))
         hits = whole.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
     places = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["first"] + s["size"] - 1))))
     ids = F.array_sort("items")
@@ -175,23 +189,24 @@ def decontaminate(
     if remove not in ("documents", "spans"):
         raise ValueError("remove must be documents or spans")
     prepare(docs.sparkSession)
-    *others, last = _slices(benchmark, n, item, item_text, max_windows)
-    if remove == "documents":
-        out = docs
-        for shared in others:
-            out = out.mapInArrow(_cleaner(shared, text, remove), docs.schema)
-        return out.mapInArrow(_cleaner(last, text, remove), docs.schema)
-    # Windows of different slices overlap, so all hits are marked on the whole text before anything is cut.
+    table, parts = _parts(benchmark, n, item, item_text, max_windows)
+    if parts == 1:
+        return docs.mapInArrow(_cleaner(_set(table, 0, 1), text, remove), docs.schema)
+    # Hits follow from the text alone, and windows of different sets overlap: all hits of a text are known before anything is cut.
     mark = "_hits" + "_" * max(map(len, docs.columns))
-    out = docs.withColumn(mark, F.array().cast("array<int>")) if others else docs
-    schema = out.schema
-    for shared in others:
-        out = out.mapInArrow(_marker(shared, text, mark), schema)
-    return out.mapInArrow(_cleaner(last, text, remove, mark if others else None), docs.schema)
+    key = mark + "key"
+    texts = docs.select(text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
+    hits = _scanned(texts, table, parts).where(F.size("spans") > 0).groupBy(F.col("key").alias(key)).agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    keyed = docs.withColumn(key, text_key(F.col(text)))
+    if remove == "documents":
+        return keyed.join(hits, key, "left_anti").select(*docs.columns)
+    places = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["first"] + s["size"] - 1))))
+    marked = keyed.join(hits.select(key, places.alias(mark)), key, "left").select(*docs.columns, F.coalesce(mark, F.array().cast("array<int>")).alias(mark))
+    return marked.mapInArrow(_cleaner(None, text, remove, mark), docs.schema)
 
 
 def _marked(batch: pa.RecordBatch, mark: str | None, found: Words) -> np.ndarray:
-    """Which words of a block the slices before have hit."""
+    """Which words of a block are marked as hit."""
     hit = np.zeros(len(found.starts), bool)
     if mark is not None:
         column = batch.column(mark)
@@ -200,32 +215,15 @@ def _marked(batch: pa.RecordBatch, mark: str | None, found: Words) -> np.ndarray
     return hit
 
 
-def _marker(shared, text: str, mark: str):
-    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch, data, offsets in text_blocks(batches, text):
-            found = words(data, offsets, NON_ALNUM, lower=True)
-            hit = _marked(batch, mark, found)
-            for at, size, _ in known.hits(found):
-                hit[at : at + size] = True
-            at = np.flatnonzero(hit)
-            doc = found.doc[at]
-            ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=batch.num_rows))])
-            places = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(at - found.first[doc], pa.int32()))
-            yield batch.set_column(batch.schema.get_field_index(mark), mark, places)
-
-    return add
-
-
 def _cleaner(shared, text: str, remove: str, mark: str | None = None):
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = None if shared is None else shared.value
         for batch, data, offsets in text_blocks(batches, text):
             found = words(data, offsets, NON_ALNUM, lower=True)
             hit = _marked(batch, mark, found)
             if mark is not None:
                 batch = batch.drop_columns([mark])
-            for at, size, _ in known.hits(found):
+            for at, size, _ in known.hits(found) if known else ():
                 hit[at : at + size] = True
             dirty = np.unique(found.doc[hit])
             if remove == "documents":

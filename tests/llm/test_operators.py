@@ -122,6 +122,36 @@ def brute_cut(text, items, n=10):
     return text
 
 
+def test_one_broadcast_set_at_a_time(spark, docs, monkeypatch):
+    """A benchmark of many sets never has two of them broadcast, and none stays behind in a plan."""
+    from pyspark.core.broadcast import Broadcast
+
+    from layerwright.llm import decontamination
+
+    items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    alive, most = set(), []
+    make, destroy = decontamination._set, Broadcast.destroy
+
+    def made(*args):
+        shared = make(*args)
+        alive.add(id(shared))
+        most.append(len(alive))
+        return shared
+
+    def destroyed(self, blocking=False):
+        alive.discard(id(self))
+        return destroy(self, blocking)
+
+    monkeypatch.setattr(decontamination, "_set", made)
+    monkeypatch.setattr(Broadcast, "destroy", destroyed)
+    df = contamination(docs, items, max_windows=100)
+    assert len(most) > 3 and max(most) == 1 and not alive
+    assert "MapInArrow" not in df._jdf.queryExecution().executedPlan().toString()
+    clean = decontaminate(docs, items, max_windows=100)
+    assert max(most) == 1 and not alive
+    assert sorted(r[0] for r in clean.select("doc_id").collect()) == sorted(r["doc_id"] for r in df.collect() if not r["contaminated"])
+
+
 @pytest.mark.parametrize("max_windows", [500_000, 400, 7])
 def test_spans_are_cut_alike_in_slices(spark, max_windows):
     """Overlapping windows of one passage lie in different slices."""
