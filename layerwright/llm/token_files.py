@@ -4,8 +4,8 @@ A data set is a folder with one pair of files per range of documents:
 
 * `*.tokens.arrow`: record batches of `batch_rows` rows; `tokens` is a
   fixed-size list of `length` ids (uint16 where the vocabulary allows, else
-  uint32), `mask` a fixed-size list of as many booleans, false for the padding
-  at the end of the file.  Row i is in batch i // batch_rows, so a reader that
+  uint32), `mask` a fixed-size list of as many bytes (uint8), 0 for the padding
+  at the end of the file and else 1.  Row i is in batch i // batch_rows, so a reader that
   maps the file reaches any sequence without touching the rest.
 * `*.index.arrow`: doc_id, start (within the file) and n_tokens per document.
 
@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright.llm.frames import prepare, stored
+from layerwright.llm.stores import open_folder
 from layerwright.llm.text import rolling, text_blocks
 
 LENGTH = 1024
@@ -177,12 +178,8 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _open(folder: str) -> tuple[pa.fs.FileSystem, str]:
-    return pa.fs.FileSystem.from_uri(folder)
-
-
 def _schema(dtype: np.dtype, length: int) -> pa.Schema:
-    return pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))])
+    return pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.uint8(), length))])
 
 
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -207,7 +204,7 @@ class _Writer:
 
     def _batch(self, values: np.ndarray, real: int) -> None:
         tokens = pa.FixedSizeListArray.from_arrays(pa.array(values), self.length)
-        mask = pa.FixedSizeListArray.from_arrays(pa.array(np.arange(len(values)) < real), self.length)
+        mask = pa.FixedSizeListArray.from_arrays(pa.array((np.arange(len(values)) < real).view(np.uint8)), self.length)
         self.file.write_batch(pa.RecordBatch.from_arrays([tokens, mask], schema=self.schema))
 
     def close(self) -> None:
@@ -231,7 +228,7 @@ def write_tokens(
         coder = encoder(tokenizer)
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}"
-        fs, root = _open(folder)
+        fs, root = open_folder(folder)
         out, keys, sizes = None, [], []
         for batch, data, offsets in text_blocks(batches, "text"):
             if out is None:
@@ -261,7 +258,7 @@ class TokenFile:
     """Random access to one file: `sequence(i)` and `mask(i)` are views of the mapped file where the store allows it."""
 
     def __init__(self, folder: str, name: str):
-        fs, root = _open(folder)
+        fs, root = open_folder(folder)
         path = f"{root}/{name}.tokens.arrow"
         source = pa.memory_map(path) if isinstance(fs, pa.fs.LocalFileSystem) else fs.open_input_file(path)
         self.reader = pa.ipc.open_file(source)
@@ -277,15 +274,16 @@ class TokenFile:
 
     def mask(self, i: int) -> np.ndarray:
         batch = self.reader.get_batch(i // self.batch_rows)
-        return batch.column("mask")[i % self.batch_rows].values.to_numpy(zero_copy_only=False)
+        at = (i % self.batch_rows) * self.length
+        return batch.column("mask").values.to_numpy()[at : at + self.length]
 
     def runs(self) -> Iterator[np.ndarray]:
         """All real ids, batch by batch."""
         for i in range(self.reader.num_record_batches):
             batch = self.reader.get_batch(i)
             values = batch.column("tokens").values.to_numpy()
-            real = batch.column("mask").values
-            yield values if real.true_count == len(values) else values[: real.true_count]
+            real = int(np.count_nonzero(batch.column("mask").values.to_numpy()))
+            yield values[:real]
 
 
 def read_tokens(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:

@@ -30,12 +30,12 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright.llm.frames import prepare, stored
+from layerwright.llm.stores import open_folder
 
 LEAST = 1000
 MEMBER_BYTES = 32 << 20
@@ -115,7 +115,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
     prepare(records.sparkSession)
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pa.fs.FileSystem.from_uri(folder)
+        fs, root = open_folder(folder)
         part = TaskContext.get().partitionId()
         made: dict[str, list] = {"file": [], "records": []}
         out = stream = None
@@ -259,7 +259,7 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
     files = manifest.select("file").repartition(max(1, manifest.count()), "file")
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pa.fs.FileSystem.from_uri(folder)
+        fs, root = open_folder(folder)
         for batch in batches:
             for name in batch.column("file").to_pylist():
                 with fs.open_input_file(f"{root}/{name}") as file:
