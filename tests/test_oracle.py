@@ -31,8 +31,3 @@ def test_query(spark, duck, name):
     rel = duck.sql(contract.oracle_sql()[name])
     assert dict(df.dtypes) == {c: TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
     assert normalized(df.columns, df.collect()) == normalized(rel.columns, rel.fetchall())
-
-
-@pytest.mark.parametrize("name", sorted(set(contract.oracle_sql()) - set(QUERIES)))
-def test_training_data_query(spark, duck, name):
-    test_query(spark, duck, name)
