@@ -166,16 +166,35 @@ def _place(sa, previous, targets, edge, step) -> None:
         sa[edge[t] if step == 1 else edge[t] - 1] = previous[0]
         edge[t] += step
         return
+    if len(previous) < 48:
+        # So few are placed faster one by one than by sorting them.
+        if step == 1:
+            for p, t in zip(previous.tolist(), targets.tolist()):
+                at = edge[t]
+                sa[at] = p
+                edge[t] = at + 1
+        else:
+            for p, t in zip(previous.tolist(), targets.tolist()):
+                at = edge[t] - 1
+                sa[at] = p
+                edge[t] = at
+        return
     keys = targets.astype(np.uint16) if len(edge) <= 1 << 16 else targets
-    order = np.argsort(keys, kind="stable")
+    order = keys.argsort(kind="stable")
     sorted_targets = targets[order]
-    cuts = np.flatnonzero(np.diff(sorted_targets)) + 1
-    begin = np.concatenate([[0], cuts])
-    counts = np.diff(np.append(begin, len(order)))
+    fresh = np.empty(len(order), bool)
+    fresh[0] = True
+    np.not_equal(sorted_targets[1:], sorted_targets[:-1], out=fresh[1:])
+    begin = fresh.nonzero()[0]
     buckets = sorted_targets[begin]
-    within = np.arange(len(order)) - np.repeat(begin, counts)
-    base = np.repeat(edge[buckets], counts)
-    sa[base + within if step == 1 else base - 1 - within] = previous[order]
+    counts = np.empty(len(begin), np.int64)
+    np.subtract(begin[1:], begin[:-1], out=counts[:-1])
+    counts[-1] = len(order) - begin[-1]
+    # Where each group goes, less where it begins in the sorted order.
+    if step == 1:
+        sa[np.arange(len(order)) + (edge[buckets] - begin).repeat(counts)] = previous[order]
+    else:
+        sa[(edge[buckets] - 1 + begin).repeat(counts) - np.arange(len(order))] = previous[order]
     edge[buckets] += step * counts
 
 

@@ -36,7 +36,7 @@ from layerwright.llm.text import rolling, sliding, text_blocks
 
 SIZE = 400
 GRAM = 64
-SHARD_BYTES = 512 << 10
+SHARD_BYTES = 768 << 10
 HOT_BYTES = 4 << 20
 
 _GRAM_BASE = 0x9E3779B97F4A7C15
