@@ -18,9 +18,16 @@ Buckets may hold a third of all documents, so they are never expanded into all
 pairs.  First every member is compared with its bucket's smallest member; the
 links found give components.  Then only members of one bucket that are still in
 *different* components are paired (a bucket whose members are together by then
-costs nothing), and components are taken again.  Every pair that shares a bucket
-is thus compared or already connected.  At the threshold a pair shares no bucket
-with probability (1 - 0.75^5)^48 = 2e-6, above it less.
+costs nothing), and components are taken again.  At the threshold a pair shares no
+bucket with probability (1 - 0.75^5)^48 = 2e-6, above it less.
+
+Texts that share a template meet in large buckets without being near duplicates.  A bucket
+in which more than `PART` members stand outside the main component is therefore split
+by further minima of its members: `TABLES` other bands each, again where parts are still
+that large, up to `DEPTH` times.  Only members of one part are paired.  A pair at the
+threshold that shares a bucket shares a part of it with probability 1 - (1 - 0.75^5)^6 =
+0.80 a level, so it is missed in all of its buckets with (1 - 0.24 * 0.65)^48 = 3e-4 if
+all of them are split twice; parts left large after that are paired whole.
 
 Defined cases: a NULL, empty or wordless text has an empty set, links with
 nothing and is its own component; rows with one doc_id are one node; a NULL
@@ -44,6 +51,7 @@ SHINGLE = 5
 BANDS, ROWS = 48, 5
 SKETCH_WORDS = 16  # 1024 bits
 SPREADS = 4.5
+PART, TABLES, DEPTH = 32, 6, 2
 MAX_BROADCAST_IDS = 1_000_000  # 8 MB of ids: more are joined by a shuffle
 
 
@@ -185,6 +193,41 @@ def _likely(pairs: DataFrame, sketches: DataFrame, percent: int, near: int) -> D
     return both.where(_bits_apart("sketch_a", "sketch_b") <= near).select("id_a", "id_b").distinct()
 
 
+def _states(rows: DataFrame) -> DataFrame:
+    """bucket, main (its largest component) and outside (members not of it), of the buckets with several components."""
+    parts = rows.groupBy("bucket", "component").agg(F.count("*").alias("m"))
+    return parts.groupBy("bucket").agg(
+        F.max_by("component", F.struct("m", "component")).alias("main"), (F.sum("m") - F.max("m")).alias("outside"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+
+
+def open_parts(placed: DataFrame, signed: DataFrame, bands: int, part: int = PART, tables: int = TABLES, depth: int = DEPTH) -> DataFrame:
+    """bucket, id, component, main of what is to be paired; placed(bucket, id, component, used), signed(id, bands).
+
+    Buckets that hold one component drop out.  Those with more than `part` members outside
+    their main one are split by further bands of their members: a part's members agree in all
+    bands that led to it.  A part reached by two ways is one.
+    """
+    whole = placed.join(_states(placed), "bucket")
+    out, large = whole.where(F.col("outside") <= part), whole.where(F.col("outside") > part)
+    for level in range(depth):
+        large = stored(large, f"large-buckets-{level}")
+        if large.isEmpty():
+            return out.select("bucket", "id", "component", "main")
+        unused = F.array_except(F.sequence(F.lit(0), F.lit(bands - 1)), "used")
+        turn = F.pmod("bucket", F.size("unused")).cast("int")
+        # The same bands for all members of a bucket: as many as `tables` from a place that its hash names.
+        chosen = F.slice(F.concat(F.slice("unused", turn + 1, F.size("unused")), F.slice("unused", F.lit(1), turn)), 1, tables)
+        rows = large.select("bucket", "id", "component", "used").withColumn("unused", unused).where(F.size("unused") > 0)
+        rows = rows.select("id", "component", "used", F.explode(chosen).alias("band")).join(signed, "id")
+        rows = rows.withColumn("used", F.array_sort(F.array_append("used", F.col("band"))))
+        key = F.xxhash64(F.transform("used", lambda b: F.struct(b.alias("band"), F.get("bands", b).alias("value"))))
+        rows = stored(rows.select(key.alias("bucket"), "id", "component", "used").dropDuplicates(["bucket", "id"]), f"split-buckets-{level}")
+        whole = rows.join(_states(rows), "bucket")
+        out = out.unionByName(whole.where(F.col("outside") <= part))
+        large = whole.where(F.col("outside") > part)
+    return out.unionByName(large).select("bucket", "id", "component", "main")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = 75, bands: int = BANDS, rows: int = ROWS,
     doc: str = "doc_id", text: str = "text",
@@ -206,7 +249,7 @@ def near_duplicates(
     firsts = signed.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "k1", "k2").agg(
         F.min("doc_id").alias("id"), F.min_by(F.struct("bands", "sketch", "parity"), "doc_id").alias("s"))
     firsts = stored(firsts.select("id", F.col("n_shingles").alias("n"), "s.*"), "representatives")
-    buckets = firsts.select("id", F.explode("bands").alias("bucket"))
+    buckets = firsts.select("id", F.posexplode("bands").alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("id").alias("center"), F.max("id").alias("top")).where("center < top").select("bucket", "center")
     buckets = stored(buckets.join(shared, "bucket"), "buckets")
 
@@ -226,11 +269,9 @@ def near_duplicates(
 
     # Members of one bucket in different components: those outside the bucket's main component, against all.  A bucket
     # that came together drops out before any pairing, and a large component is never paired with itself.
-    placed = buckets.select("bucket", "id").join(joined, buckets["id"] == joined["node"], "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    placed = stored(placed, "placed")
-    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("m"))
-    open_ = parts.groupBy("bucket").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    rest = stored(placed.join(open_.select("bucket", "main"), "bucket").join(sketches.drop("sketch"), "id"), "open-buckets")
+    placed = buckets.join(joined, buckets["id"] == joined["node"], "left").select(
+        "bucket", "id", F.coalesce("component", "id").alias("component"), F.array("band").alias("used"))
+    rest = stored(open_parts(stored(placed, "placed"), firsts.select("id", "bands"), bands).join(sketches.drop("sketch"), "id"), "open-buckets")
     outside, everyone = _side(rest.where("component != main"), "a"), _side(rest, "b")
     once = (F.col("component_b") == F.col("main_b")) | (F.col("id_a") < F.col("id_b"))
     apart = (F.col("component_a") != F.col("component_b")) & once & _allowed(percent)

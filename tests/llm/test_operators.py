@@ -252,3 +252,40 @@ def test_a_large_cell_is_cut_into_tiles(spark):
 
 def test_no_embeddings(spark):
     assert embedding_links(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def _templated(n, seed=0):
+    """Documents of one 150-word template and 100 words of their own: pairwise similarity 0.41, never linked."""
+    template = brute.WORDS(150, 77)
+    return [(i, " ".join(template + brute.WORDS(100, 1_000_000 * seed + 500 + i))) for i in range(n)]
+
+
+def test_templated_texts_are_not_paired_with_all_others(spark, monkeypatch):
+    """Parts that are paired hold few outsiders each, so pairs grow in proportion to the documents, not with their square."""
+    from layerwright.llm import near_duplicates as module
+
+    pairs = []
+    real = module.open_parts
+
+    def counted(*args, **options):
+        parts = real(*args, **options)
+        sizes = parts.groupBy("bucket").agg(F.count("*").alias("m"), F.count_if(F.expr("component != main")).alias("outside"))
+        pairs.append(sizes.agg(F.sum(F.col("m") * F.col("outside"))).first()[0] or 0)
+        return parts
+
+    monkeypatch.setattr(module, "open_parts", counted)
+    for n in (300, 1200):
+        rows = _templated(n)
+        got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert got.where("kept").count() == n
+    assert pairs[1] <= 6 * pairs[0]
+
+
+def test_pairs_in_split_buckets_are_found(spark):
+    """Near copies among many documents of one template, all in buckets that are split."""
+    rows = _templated(600, seed=3)
+    for i in range(0, 600, 6):
+        w = rows[i][1].split(" ")
+        w[200:215] = brute.WORDS(15, 9_000_000 + i)
+        rows.append((10_000 + i, " ".join(w)))
+    same(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id", "kept"), brute.near_duplicates(rows))
