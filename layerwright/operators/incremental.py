@@ -135,8 +135,7 @@ def replace_partitions(
         return first is None or value == files.NO_VALUE or _calendar_day(value) >= first
 
     def listing() -> set[tuple[str, str]]:
-        values = filter(in_scope, files.partition_values(spark, path, part))
-        return {(v, name) for v in values for name in files.names(spark, f"{path}/{part}={v}")}
+        return files.partition_files(spark, path, part, list(filter(in_scope, files.partition_values(spark, path, part))))
 
     old = listing()
     rows = batch.hint("rebalance", part) if rebalance else batch

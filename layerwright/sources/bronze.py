@@ -96,10 +96,10 @@ def check_bronze(spark: SparkSession, root: str, sources: Iterable[str] = tuple(
     problems = []
     for source in sources:
         found = 0
-        for status in files.list_files(spark, f"{root}/{source}/{INGEST_DATE}={ingest_date}/[!_.]{ENDINGS}"):
+        for path, length in files.list_files(spark, f"{root}/{source}/{INGEST_DATE}={ingest_date}/[!_.]{ENDINGS}"):
             found += 1
-            if status.getLen() == 0:
-                problems.append((source, status.getPath().toString(), 0, "empty_file"))
+            if length == 0:
+                problems.append((source, path, 0, "empty_file"))
         if not found:
             problems.append((source, f"{root}/{source}", None, "no_files"))
     return spark.createDataFrame(problems, "source string, path string, length bigint, problem string")

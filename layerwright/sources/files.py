@@ -15,15 +15,26 @@ def _fs(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def list_files(spark: SparkSession, pattern: str) -> Iterator:
-    """File statuses matching a glob, zero-byte files included."""
+def list_files(spark: SparkSession, pattern: str) -> Iterator[tuple[str, int]]:
+    """Path and length of everything that matches a glob, zero-byte files included: one listing, made in the JVM."""
     fs, path = _fs(spark, pattern)
-    return iter(fs.globStatus(path) or [])
+    return ((s.getPath().toString(), s.getLen()) for s in fs.globStatus(path) or [])
+
+
+def partition_files(spark: SparkSession, root: str, column: str, values: list[str]) -> set[tuple[str, str]]:
+    """(value, name) of the data files in these partition folders, by one listing of them all."""
+    out: set[tuple[str, str]] = set()
+    for i in range(0, len(values), 500):
+        some = ",".join(v.replace("\\", "\\\\").replace("{", "\\{").replace(",", "\\,") for v in values[i : i + 500])
+        for path, _ in list_files(spark, f"{root}/{column}={{{some}}}/[!_.]*"):
+            folder, name = path.rsplit("/", 2)[-2:]
+            out.add((folder.split("=", 1)[1], name))
+    return out
 
 
 def names(spark: SparkSession, folder: str) -> list[str]:
     """Names of the data files directly in a folder."""
-    return [s.getPath().getName() for s in list_files(spark, f"{folder}/[!_.]*")]
+    return [path.rsplit("/", 1)[1] for path, _ in list_files(spark, f"{folder}/[!_.]*")]
 
 
 def delete(spark: SparkSession, path: str) -> bool:
@@ -59,6 +70,6 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 def partition_values(spark: SparkSession, root: str, column: str, marker: str = "") -> list[str]:
     """Values of the `column=value` folders under root (optionally only those holding `marker`)."""
     suffix = f"/{marker}" if marker else ""
-    names = [s.getPath().toString() for s in list_files(spark, f"{root}/{column}=*{suffix}")]
+    found = [path for path, _ in list_files(spark, f"{root}/{column}=*{suffix}")]
     tag = f"/{column}="
-    return sorted(n.split(tag, 1)[1].split("/")[0] for n in names)
+    return sorted(n.rsplit(tag, 1)[1].split("/")[0] for n in found)

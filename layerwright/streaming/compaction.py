@@ -32,8 +32,8 @@ MAX_FOLDERS = 8
 def folders(spark: SparkSession, log: str) -> dict[str, list[int]]:
     """grain date -> its batch folders, by one listing of folders."""
     out: dict[str, list[int]] = {}
-    for status in files.list_files(spark, f"{log}/{PART}=*/{BATCH}=*"):
-        day, batch = status.getPath().toString().rsplit("/", 2)[-2:]
+    for path, _ in files.list_files(spark, f"{log}/{PART}=*/{BATCH}=*"):
+        day, batch = path.rsplit("/", 2)[-2:]
         out.setdefault(day.split("=", 1)[1], []).append(int(batch.split("=", 1)[1]))
     return out
 
