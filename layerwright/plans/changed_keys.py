@@ -112,6 +112,17 @@ def touched_entries(index: DataFrame, touched: DataFrame, buckets: int) -> DataF
     return index.join(dealt, HASH, "left_semi").select(LANDING, PART).distinct()
 
 
+def landed_grains(index: KeyIndex, landings: Sequence[str]) -> DataFrame:
+    """grain_date (NULL for rows without one), keys: what these landings brought, from their index entries alone."""
+    day = F.when(F.col(PART) != files.NO_VALUE, F.col(PART)).cast("date")
+    return index.read(landings).groupBy(day.alias(PART)).agg(F.count("*").alias("keys"))
+
+
+def late_grains_indexed(index: KeyIndex, landings: Sequence[str], start) -> DataFrame:
+    """Grain dates of these landings that a run whose window begins at `start` does not reach; no history is read."""
+    return landed_grains(index, landings).where(F.col(PART) < F.lit(str(start)[:10]).cast("date"))
+
+
 @dataclass(frozen=True)
 class KeyedPaths:
     index: str
@@ -119,12 +130,13 @@ class KeyedPaths:
     quarantine: str
     touched: str
     gold: str
+    ledger: str
 
     @classmethod
     def of(cls, cfg, domain: Domain) -> KeyedPaths:
         base = f"{cfg.warehouse_root}/by_key"
         return cls(f"{base}/index/{domain.silver}", f"{base}/silver/{domain.silver}", f"{base}/silver/{domain.quarantine}",
-                   f"{base}/touched/{domain.silver}", cfg.path("gold", domain.gold))
+                   f"{base}/touched/{domain.silver}", cfg.path("gold", domain.gold), f"{base}/ledger/{domain.staging}")
 
 
 def _dates(landings: Sequence[str]) -> Column:

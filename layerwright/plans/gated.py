@@ -27,7 +27,8 @@ from layerwright.operators.incremental import (
     repair_grains,
     replace_partitions,
 )
-from layerwright.operators.quality import REASON, THRESHOLD, accepted, rejected, rejection_gate
+from layerwright.operators.ledger import ledger_rate, read_ledger, update_ledger
+from layerwright.operators.quality import REASON, THRESHOLD, accepted, over_threshold, rejected, rejection_rate
 from layerwright.plans.changed_keys import BUCKETS, KeyedPaths, finish, read_silver, update_gold, update_quarantine, update_silver
 from layerwright.plans.domains import DOMAINS, Domain
 from layerwright.sources import files
@@ -81,6 +82,7 @@ class Built:
     rejected: DataFrame
     silver: DataFrame
     gold: DataFrame
+    ledger: DataFrame | None = None  # rejection counts per landing and reason, where they are kept
 
     def tables(self) -> dict[str, DataFrame]:
         d = self.domain
@@ -127,9 +129,10 @@ def _build_by_key(classified: DataFrame, domain: Domain, cfg: RunConfig, dates:
     days = update_silver(classified, domain, paths, dates, whole, cfg.index_buckets)
     bad = update_quarantine(classified, domain, paths, dates, whole or days is None)
     silver = read_silver(spark, paths, domain.dated(domain.to_silver(accepted(classified))))
+    update_ledger(classified, paths.ledger, None if whole or days is None else dates)
     gold = update_gold(silver, domain, paths, days)
     finish(spark, paths)
-    return Built(domain, classified, bad, silver, gold)
+    return Built(domain, classified, bad, silver, gold, read_ledger(spark, paths.ledger))
 
 
 def build_from(staged: DataFrame, domain: Domain, cfg: RunConfig) -> Built:
@@ -164,10 +167,12 @@ def load(spark: SparkSession, domain: Domain, cfg: RunConfig) -> Built:
         paths = KeyedPaths.of(cfg, domain)
         silver = read_silver(spark, paths, domain.dated(domain.to_silver(accepted(classified))))
         bad = update_quarantine(classified, domain, paths, (), whole=False)
+        ledger = read_ledger(spark, paths.ledger)
     else:
         silver = read_layer(spark, cfg.path("silver", domain.silver))
-        bad = read_layer(spark, cfg.path("silver", domain.quarantine))
-    return Built(domain, classified, bad, silver, read_or_empty(spark, cfg.path("gold", domain.gold), domain.spec, aggregate(silver, domain.spec)))
+        bad, ledger = read_layer(spark, cfg.path("silver", domain.quarantine)), None
+    gold = read_or_empty(spark, cfg.path("gold", domain.gold), domain.spec, aggregate(silver, domain.spec))
+    return Built(domain, classified, bad, silver, gold, ledger)
 
 
 def repair(spark: SparkSession, domain: Domain, cfg: RunConfig) -> DataFrame:
@@ -204,7 +209,8 @@ def register_layers(spark: SparkSession, cfg: RunConfig) -> None:
 def check(built: Iterable[Built], threshold: float = THRESHOLD, per_batch: bool = False) -> DataFrame:
     """Verdicts of all declared checks: columns, rejection rate, recomputation.
 
-    per_batch=True applies the rate to every landing date by itself.
+    per_batch=True applies the rate to every landing date by itself.  Where a ledger is kept
+    the rate comes from it, a row per landing and reason, instead of from all staged rows.
     """
     by = [INGEST_DATE] if per_batch else []
     tables, columns, relations = {}, [], []
@@ -212,7 +218,8 @@ def check(built: Iterable[Built], threshold: float = THRESHOLD, per_batch: bool
         d = b.domain
         tables.update(b.tables())
         columns += d.checks
-        relations.append((d.rate_check, d.staging, rejection_gate(b.classified, threshold, by)))
+        rates = rejection_rate(b.classified, by) if b.ledger is None else ledger_rate(b.ledger, by)
+        relations.append((d.rate_check, d.staging, over_threshold(rates, threshold)))
         drift = recompute_diff(aggregate(b.silver, d.spec), b.gold, d.spec.keys, list(d.spec.measures))
         relations.append((d.recompute_check, d.gold, drift))
     return run_checks(tables, columns, relations)

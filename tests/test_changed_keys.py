@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerwright.operators.grain import PART
+from layerwright.operators.ledger import ledger_rate
+from layerwright.operators.quality import rejection_rate
 from layerwright.plans.changed_keys import HASH, INTENT, KeyedPaths, KeyIndex, touched_entries
 from layerwright.plans.domains import DOMAINS, REQUESTS
 from layerwright.plans.gated import RunConfig, build, gated_run, load, register_layers
@@ -30,7 +32,9 @@ def files_by_day(spark, path):
 
 
 def layers(built):
-    return [ordered(x) for x in (built.silver, built.rejected, built.gold)]
+    rates = rejection_rate(built.classified, [INGEST_DATE])
+    assert built.ledger is None or ordered(ledger_rate(built.ledger, [INGEST_DATE])) == ordered(rates)
+    return [*(ordered(x) for x in (built.silver, built.rejected, built.gold)), ordered(rates)]
 
 
 def land_few_dates(spark, domain, cfg, dates=("2024-01-01", "2024-01-02", None)):

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from layerwright.plans.changed_keys import KeyedPaths, KeyIndex, late_grains_indexed
 from layerwright.plans.domains import REQUESTS
 from layerwright.plans.gated import RunConfig, build, repair
 from layerwright.session import run_dir
@@ -193,6 +194,28 @@ def silver_after_correction(spark, sf_dir):
     return _after_corrections(spark, sf_dir).silver.drop("grain_date")
 
 
+@query(
+    "late_grains_indexed",
+    ctes("r", "newest AS (SELECT max(created_at)::date AS day FROM cls_r WHERE rejection_reason IS NULL)")
+    + """SELECT created_at::date AS grain_date, count(DISTINCT request_id) AS keys FROM cls_r, newest
+         WHERE rejection_reason IS NULL AND request_id % 7 = 3 AND created_at::date < day - 10 GROUP BY ALL""",
+)
+def late_grains_indexed_query(spark, sf_dir):
+    """L-4: the grains of a new landing that the window would not reach, from its index entries alone."""
+    cfg = _keyed(spark, "late-index")
+    rows = requests(spark, sf_dir)
+    good = rows.where("request_id is not null and created_at is not null and agency is not null")
+    newest = good.agg(F.max("created_at").cast("date").cast("string")).first()[0]
+    late = F.coalesce((F.col("request_id") % 7 == 3) & (F.col("created_at").cast("date") < F.date_sub(F.lit(newest).cast("date"), 10)), F.lit(False))
+    raw = raw_requests(rows.withColumn("late", late).where("not late").drop("late"))
+    _land(raw, cfg)
+    build(spark, REQUESTS, cfg)
+    _land(raw_requests(rows.withColumn("late", late).where("late").drop("late")).withColumn(INGEST_DATE, F.lit("2030-01-01").cast("date")), cfg)
+    build(spark, REQUESTS, cfg)
+    index = KeyIndex(spark, KeyedPaths.of(cfg, REQUESTS).index, REQUESTS.silver, cfg.index_buckets)
+    return late_grains_indexed(index, ["2030-01-01"], newest)
+
+
 @query("gold_after_correction", ctes("r", f"corrected AS ({_CORRECTED})", f"g AS ({gold_of('r', 'corrected')})") + "SELECT * FROM g")
 def gold_after_correction(spark, sf_dir):
     """L-4: gold of those days, however old, is right without a window; days that became empty are gone."""
