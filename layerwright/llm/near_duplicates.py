@@ -51,7 +51,7 @@ SHINGLE = 5
 BANDS, ROWS = 48, 5
 SKETCH_WORDS = 16  # 1024 bits
 SPREADS = 4.5
-PART, TABLES, DEPTH = 32, 6, 2
+PART, TABLES, DEPTH = 256, 6, 2  # up to so many outsiders, pairing a bucket costs less than splitting it
 MAX_BROADCAST_IDS = 1_000_000  # 8 MB of ids: more are joined by a shuffle
 
 

@@ -268,7 +268,7 @@ def test_templated_texts_are_not_paired_with_all_others(spark, monkeypatch):
     real = module.open_parts
 
     def counted(*args, **options):
-        parts = real(*args, **options)
+        parts = real(*args, part=32, **options)
         sizes = parts.groupBy("bucket").agg(F.count("*").alias("m"), F.count_if(F.expr("component != main")).alias("outside"))
         pairs.append(sizes.agg(F.sum(F.col("m") * F.col("outside"))).first()[0] or 0)
         return parts
@@ -281,8 +281,12 @@ def test_templated_texts_are_not_paired_with_all_others(spark, monkeypatch):
     assert pairs[1] <= 6 * pairs[0]
 
 
-def test_pairs_in_split_buckets_are_found(spark):
+def test_pairs_in_split_buckets_are_found(spark, monkeypatch):
     """Near copies among many documents of one template, all in buckets that are split."""
+    from layerwright.llm import near_duplicates as module
+
+    real = module.open_parts
+    monkeypatch.setattr(module, "open_parts", lambda *args, **options: real(*args, part=8, **options))
     rows = _templated(600, seed=3)
     for i in range(0, 600, 6):
         w = rows[i][1].split(" ")
