@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerwright.llm.frames import stored
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 Rules = list[tuple[str, str]]  # (block or allow, host/path prefix)
@@ -80,7 +82,8 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645, max_bad: float = 0.3)
     hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     labels = F.split("host", r"\.")
     hosts = hosts.withColumn("domain", F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2)))
-    hosts = hosts.withColumn("suffix", F.element_at(labels, -1))
+    # Stored, since the strengths and the posteriors all read it: pages and labels are joined once.
+    hosts = stored(hosts.withColumn("suffix", F.element_at(labels, -1)), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     rate, k_suffix = _strength(suffixes)

@@ -14,7 +14,8 @@ aggregate, so a passage that a third of the documents share stays one row per ma
 task, and repeats inside one document are found where it is read.  Of documents
 with the same text only the first takes part; a later copy loses all words.
 
-Window hashes have 128 bits, in two numbers.
+Windows are counted by 128 bits, in two numbers; inside a document, and where the windows
+found are looked up again in it, by the first 64 of them.
 
 Defined cases: a NULL, empty or wordless text keeps nothing and loses nothing; a
 text of fewer than `size` words has no window; rows that share a doc_id are equally
