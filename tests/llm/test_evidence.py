@@ -217,3 +217,27 @@ def test_schemes_of_spark_paths_reach_the_same_stores(monkeypatch, tmp_path):
 def test_an_unknown_scheme_names_the_known_ones():
     with pytest.raises(ValueError, match="s3a"):
         stores.open_folder("nosuch://b/x")
+
+
+# ---- planted passages of op 7 ---------------------------------------------------------------------
+
+
+def test_planted_passages_are_removed_from_400_bytes_on(spark, docs):
+    """Passages of 51 to 120 words in two to four documents: bytes are removed exactly where 400 of them repeat."""
+    from layerwright.llm.suffix_dedup import remove_repeated_strings
+
+    rng = np.random.default_rng(6)
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    sizes, planted = {}, []
+    for i in range(40):
+        passage = " ".join(brute.WORDS(int(rng.integers(51, 121)), 700_000 + i))
+        for k in range(int(rng.integers(2, 5))):
+            doc = 1_000_000 + 10 * i + k
+            planted.append((doc, " ".join(brute.WORDS(80, 800_000 + doc)) + " " + passage + " " + " ".join(brute.WORDS(30, 900_000 + doc))))
+            sizes[doc] = len(passage) + 2
+    table = spark.createDataFrame(rows + planted, "doc_id long, text string")
+    got = sorted(tuple(r) for r in remove_repeated_strings(table).drop("kept").collect())
+    assert got == sorted(brute.repeated_strings(rows + planted))
+    for doc, n_bytes, n_removed, *_ in got:
+        if doc in sizes:
+            assert (n_removed > 0) == (sizes[doc] >= 400) and n_removed <= sizes[doc] + 2
