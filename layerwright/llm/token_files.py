@@ -4,8 +4,8 @@ A data set is a folder with one pair of files per range of documents:
 
 * `*.tokens.arrow`: record batches of `batch_rows` rows; `tokens` is a
   fixed-size list of `length` ids (uint16 where the vocabulary allows, else
-  uint32), `mask` a fixed-size list of as many bytes (uint8), 0 for the padding
-  at the end of the file and else 1.  Row i is in batch i // batch_rows, so a reader that
+  uint32), `mask` a fixed-size list of as many booleans (a bit each), false for the padding
+  at the end of the file.  Row i is in batch i // batch_rows, so a reader that
   maps the file reaches any sequence without touching the rest.
 * `*.index.arrow`: doc_id, start (within the file) and n_tokens per document.
 
@@ -179,7 +179,7 @@ def encoder(path: str) -> Encoder:
 
 
 def _schema(dtype: np.dtype, length: int) -> pa.Schema:
-    return pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.uint8(), length))])
+    return pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -204,7 +204,7 @@ class _Writer:
 
     def _batch(self, values: np.ndarray, real: int) -> None:
         tokens = pa.FixedSizeListArray.from_arrays(pa.array(values), self.length)
-        mask = pa.FixedSizeListArray.from_arrays(pa.array((np.arange(len(values)) < real).view(np.uint8)), self.length)
+        mask = pa.FixedSizeListArray.from_arrays(pa.array(np.arange(len(values)) < real), self.length)
         self.file.write_batch(pa.RecordBatch.from_arrays([tokens, mask], schema=self.schema))
 
     def close(self) -> None:
@@ -272,18 +272,16 @@ class TokenFile:
         at = (i % self.batch_rows) * self.length
         return batch.column("tokens").values.to_numpy()[at : at + self.length]
 
-    def mask(self, i: int) -> np.ndarray:
-        batch = self.reader.get_batch(i // self.batch_rows)
-        at = (i % self.batch_rows) * self.length
-        return batch.column("mask").values.to_numpy()[at : at + self.length]
+    def mask(self, i: int) -> pa.BooleanArray:
+        """A view of the mapped bits; `to_numpy(zero_copy_only=False)` expands them to a byte each."""
+        return self.reader.get_batch(i // self.batch_rows).column("mask")[i % self.batch_rows].values
 
     def runs(self) -> Iterator[np.ndarray]:
         """All real ids, batch by batch."""
         for i in range(self.reader.num_record_batches):
             batch = self.reader.get_batch(i)
             values = batch.column("tokens").values.to_numpy()
-            real = int(np.count_nonzero(batch.column("mask").values.to_numpy()))
-            yield values[:real]
+            yield values[: batch.column("mask").values.true_count]
 
 
 def read_tokens(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:

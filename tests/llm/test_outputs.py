@@ -39,7 +39,7 @@ def test_token_files_round_trip(spark, docs, odd_docs, no_docs, tmp_path):
         for f in manifest.collect():
             file = TokenFile(folder, f["file"])
             last = (f["tokens"] - 1) // 64
-            assert len(file.sequence(last)) == 64 and file.mask(last).sum() == f["tokens"] - 64 * last
+            assert len(file.sequence(last)) == 64 and file.mask(last).true_count == f["tokens"] - 64 * last
 
 
 def test_added_tokens_in_texts_are_tokens(spark, tmp_path):
