@@ -21,6 +21,7 @@ progress: whatever broke off under it, the next run rebuilds index and silver.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -62,8 +63,7 @@ class KeyIndex:
     @property
     def table(self) -> str:
         # A session's catalog may be new while the folder is not, and two warehouses may share a catalog.
-        folder = self.spark.range(1).select(F.md5(F.lit(self.path))).first()[0]
-        return f"{DATABASE}.{self.name}_{folder[:16]}"
+        return f"{DATABASE}.{self.name}_{hashlib.md5(self.path.encode()).hexdigest()[:16]}"
 
     def ensure(self) -> str:
         """The table over the folder, declared if this catalog does not know it; its partitions are those on storage."""
