@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and
 returns a DataFrame; all but the last return the columns of `documents`.
+
+Defined cases: a document of NULL or empty text is judged by the statistics of an empty
+text, is no near duplicate of another, holds no benchmark passage, and has no words, so
+the mix takes nothing of it; rows alike are near duplicates of one another, of which one
+stays; a document without an id is kept by the near duplicates and comes first in the
+token files; a NULL source is a source of its own; further columns pass through; without
+labels of both classes all documents score alike; an empty table gives no files and no rows.
 """
 
 from __future__ import annotations

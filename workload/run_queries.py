@@ -105,7 +105,9 @@ def late_row_in_gold(spark, sf_dir):
 
 @query(
     "messy_batch_summary",
-    """SELECT * FROM (VALUES ('missing_agency', 15::bigint), ('missing_created_at', 15), ('missing_request_id', 15)) t(rejection_reason, n)""",
+    ctes("r", _PICKED_R)
+    + """SELECT CASE position // 15 WHEN 0 THEN 'missing_agency' WHEN 1 THEN 'missing_created_at' ELSE 'missing_request_id' END AS rejection_reason, count(*) AS n
+         FROM picked WHERE position < 45 GROUP BY 1""",
 )
 def messy_summary(spark, sf_dir):
     """T-4, O-13, V-2: the messy batch lands as JSON, is read back, and quarantine explains it."""
