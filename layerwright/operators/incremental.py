@@ -139,7 +139,7 @@ def replace_partitions(
 
     old = listing()
     rows = batch.hint("rebalance", part) if rebalance else batch
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", files.CODEC).partitionBy(part).parquet(path)
     for value in {v for v, _ in old & listing()}:
         files.delete(spark, f"{path}/{part}={value}")
 

@@ -24,7 +24,7 @@ from layerwright.functions import (
     trunc_ntz,
 )
 from layerwright.operators.checks import TableChecks
-from layerwright.operators.dedup import keep_best, latest, lowest
+from layerwright.operators.dedup import keep_best, keep_best_stored, latest, lowest
 from layerwright.operators.grain import PART, GrainSpec, aggregate
 from layerwright.operators.quality import MALFORMED, classify, rejected, required, valid
 from layerwright.operators.staging import stage
@@ -74,16 +74,18 @@ class Domain:
     def valid(self, staged: DataFrame) -> DataFrame:
         return valid(staged, required(*self.not_null))
 
-    def to_silver(self, good: DataFrame, for_gold: bool = False) -> DataFrame:
+    def to_silver(self, good: DataFrame, for_gold: bool = False, stored: bool = False) -> DataFrame:
         """One conformed row per key.
 
         for_gold=True stops the tie-break at the columns gold depends on: rows
         still tied there add the same to gold whichever is kept, and columns
         gold does not read (a message text, say) are pruned from the scan and
-        the shuffle instead of being carried along to break ties.
+        the shuffle instead of being carried along to break ties.  stored=True says
+        that the rows can be read twice: those whose key is unique need not move.
         """
         ties = list(self.gold_ties) if for_gold else [*self.gold_ties, *self.other_ties]
-        return stage(keep_best(good, [self.key], self.best(), ties), self.conform())
+        keep = keep_best_stored if stored else keep_best
+        return stage(keep(good, [self.key], self.best(), ties), self.conform())
 
     def silver_of(self, staged: DataFrame) -> DataFrame:
         return self.to_silver(self.valid(staged))

@@ -154,7 +154,7 @@ def _store_classified(staged: DataFrame, domain: Domain, cfg: RunConfig, only: S
 
 def _build_on(classified: DataFrame, domain: Domain, cfg: RunConfig) -> Built:
     bad = write_layer(rejected(classified, domain.quarantine_columns), cfg.path("silver", domain.quarantine))
-    silver = domain.dated(domain.to_silver(accepted(classified)))
+    silver = domain.dated(domain.to_silver(accepted(classified), stored=True))
     silver = write_layer(silver, cfg.path("silver", domain.silver), partition_by=PART)
     gold = incremental_run(silver, cfg.path("gold", domain.gold), domain.spec, cfg.lookback_days, cfg.full_refresh, cfg.cap)
     return Built(domain, classified, bad, silver, gold)

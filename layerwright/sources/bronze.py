@@ -69,18 +69,27 @@ def stream_bronze(spark: SparkSession, root: str, source: str, max_files: int |
 
 
 def write_bronze(
-    df: DataFrame, root: str, source: str, ingest_date: str = INGEST_DATE, keep_nulls: bool = False
+    df: DataFrame,
+    root: str,
+    source: str,
+    ingest_date: str = INGEST_DATE,
+    keep_nulls: bool = False,
+    rebalance: bool = True,
+    compression: str = "gzip",
 ) -> None:
-    """Land rows as JSON lines by ingest date.
+    """Land rows as compressed JSON lines by ingest date.
 
     keep_nulls=False drops NULL fields from the record, True writes explicit
     nulls.  The rebalance gives files of even size: a hot date is split over
     several tasks, small dates do not scatter over all of them.
+    rebalance=False saves that shuffle of whole records where tasks times dates
+    are few: each task then writes a file per date it holds.
     """
+    rows = df.hint("rebalance", ingest_date) if rebalance else df
     (
-        df.hint("rebalance", ingest_date)
-        .write.mode("append")
+        rows.write.mode("append")
         .option("ignoreNullFields", str(not keep_nulls).lower())
+        .option("compression", compression)
         .partitionBy(ingest_date)
         .json(f"{root}/{source}")
     )

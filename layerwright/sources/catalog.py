@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from layerwright.sources import files
 from layerwright.sources.bronze import union_by_name
 from layerwright.sources.snapshots import expire, next_version, snapshot_read
 
@@ -36,9 +37,9 @@ def write_layer(df: DataFrame, path: str, partition_by: str | None = None, keep:
     spark = df.sparkSession
     target = next_version(spark, path)
     if partition_by:
-        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(target)
+        df.hint("rebalance", partition_by).write.option("compression", files.CODEC).partitionBy(partition_by).parquet(target)
     else:
-        df.write.parquet(target)
+        df.write.option("compression", files.CODEC).parquet(target)
     expire(spark, path, keep)
     return spark.read.schema(df.schema).parquet(target)
 

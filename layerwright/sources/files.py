@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import SparkSession
 
 
+CODEC = "zstd"  # of the Parquet files of stored layers: much smaller than Spark's default where rows hold text
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of the rows without a partition value
 
 

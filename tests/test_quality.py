@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from layerwright.operators.checks import TableChecks, not_null, run_checks, unexpected_failures, unique
-from layerwright.operators.dedup import keep_best, latest, lowest
+from layerwright.operators.dedup import keep_best, keep_best_stored, latest, lowest
 from layerwright.operators.quality import (
     accepted,
     classify,
@@ -105,6 +105,19 @@ def test_ties_do_not_depend_on_input_order(spark):
         assert keep_best(df, ["k"], [lowest("seq")]).first()["v"] == "b"
 
 
+def test_stored_rows_with_few_repeated_keys_stay_where_they_are(spark):
+    data = [(n, n, f"v{n}") for n in range(200)] + [(None, 1, "x"), (None, 2, "y"), (7, 9, "z"), (7, 9, "z"), (8, None, "w")]
+    df = spark.createDataFrame(data, "k int, d int, v string")
+    want = sorted((tuple(r) for r in keep_best(df, ["k"], [latest("d")]).collect()), key=repr)
+    for most in (1_000_000, 3, 2, 0):
+        found = keep_best_stored(df, ["k"], [latest("d")], most=most)
+        assert found.columns == df.columns and sorted((tuple(r) for r in found.collect()), key=repr) == want
+        assert ("LeftAnti" in found._jdf.queryExecution().optimizedPlan().toString()) == (most >= 3)  # three keys repeat
+    copies = df.unionAll(df).unionAll(df)
+    assert sorted((tuple(r) for r in keep_best_stored(copies, ["k"], [latest("d")]).collect()), key=repr) == want
+    assert keep_best_stored(df.limit(0), ["k"], [latest("d")]).count() == 0
+
+
 def test_hot_key_is_cut_down_before_the_shuffle(spark):
     """A key holding a third of all rows leaves at most one row per map task."""
     df = spark.range(9000, numPartitions=4).selectExpr("if(id % 3 = 0, 0, id) AS k", "id AS seq", "cast(id AS string) AS v")

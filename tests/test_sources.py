@@ -91,6 +91,20 @@ def test_write_keeps_or_drops_nulls(spark, tmp_path):
         assert read_bronze(spark, root, "nyc_311").first()["ingest_date"] == dt.date(2026, 7, 29)
 
 
+def test_landings_and_layers_are_compressed(spark, tmp_path):
+    df = spark.range(4000).selectExpr("cast(id AS string) AS unique_key", "'Department of Long Names' AS agency_name", "date_add(DATE'2026-01-01', cast(id % 3 AS int)) AS ingest_date").repartition(2)
+    for rebalance in (True, False):
+        root = f"{tmp_path}/{rebalance}"
+        write_bronze(df, root, "nyc_311", rebalance=rebalance)
+        landed = list(files.list_files(spark, f"{root}/nyc_311/*/part-*"))
+        assert all(path.endswith(".json.gz") for path, _ in landed) and len(landed) <= 6
+        assert sum(size for _, size in landed) < 4000 * 20  # 67 bytes a record as plain text
+        back = read_bronze(spark, root, "nyc_311").select(*df.columns)
+        assert back.exceptAll(df).count() == 0 and back.count() == 4000
+    stored = write_layer(df, f"{tmp_path}/layer", partition_by="ingest_date")
+    assert stored.count() == 4000 and all(f.endswith(".zstd.parquet") for f in stored.inputFiles())
+
+
 def test_preflight(spark, tmp_path, rows):
     root = str(tmp_path)
     land_text(root, "nyc_311", "2026-07-28", ['{"unique_key": "1"}'])

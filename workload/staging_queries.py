@@ -112,7 +112,7 @@ def bronze_union_by_name(spark, sf_dir):
 def land(spark, sf_dir, sources, label):
     """Write the stand-ins as JSON landings; answers the bronze root."""
     root = f"{run_dir(spark, label)}/bronze"
-    side_by_side(lambda s: write_bronze(RAW[s](STANDINS[s](spark, sf_dir)), root, s), sources)
+    side_by_side(lambda s: write_bronze(RAW[s](STANDINS[s](spark, sf_dir)), root, s, rebalance=False), sources)
     return root
 
 
