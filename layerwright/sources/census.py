@@ -1,7 +1,8 @@
 """Which fields landed JSON really holds, per landing, whatever the declared schema reads.
 
-Lines are parsed as VARIANT and taken apart level by level (`variant_explode`), so fields
-nobody declared are seen too.  From the census: fields that are new, fields that went
+Lines are parsed as VARIANT and taken apart level by level within their row, so fields
+nobody declared are seen too and one pass over the lines does.  Landings are then told by
+which records hold which set of paths, a table that is stored; one more pass compares values.  From the census: fields that are new, fields that went
 missing, and fields that were probably renamed, i.e. new ones whose records all lack one
 and the same known field and whose values look like that field's.
 """
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerwright.session import run_dir
 from layerwright.sources.bronze import ENDINGS, INGEST_DATE, SOURCES
 
 DEPTH = 6
@@ -41,29 +43,53 @@ def declared_paths(source: str) -> list[str]:
     return sorted(walk(T.StructType.fromDDL(SOURCES[source]), ""))
 
 
+def _children(x: Column) -> Column:
+    """The members of an object or the elements of an array with their paths; NULL for a scalar."""
+
+    def member(e: Column) -> Column:
+        return F.struct(F.when(x.path == "", e.key).otherwise(F.concat_ws(".", x.path, e.key)).alias("path"), e.value.alias("v"))
+
+    members = F.transform(F.map_entries(F.try_variant_get(x.v, "$", "map<string, variant>")), member)
+    elements = F.transform(F.try_variant_get(x.v, "$", "array<variant>"), lambda e: F.struct(F.concat(x.path, F.lit("[]")).alias("path"), e.alias("v")))
+    return F.coalesce(members, elements)
+
+
+def records(lines: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """ingest_date, record (a hash of the line), leaves (array of path and value as VARIANT) of every line.
+
+    NULLs of JSON are left out; lines that are no JSON have no array.  Row-local: nothing is shuffled.
+    """
+    root = F.array(F.struct(F.lit("").alias("path"), F.col("v")))
+    rows = lines.select(INGEST_DATE, F.xxhash64("value").alias("record"), F.try_parse_json("value").alias("v")).select(
+        INGEST_DATE, "record", F.when(F.col("v").isNotNull(), root).alias("level"))
+    rows = rows.withColumn("leaves", F.when(F.col("level").isNotNull(), F.slice("level", 1, 0)))
+    for n in range(depth):
+        rows = rows.withColumn("level", F.transform("level", lambda x: F.struct(x.path.alias("path"), x.v.alias("v"), _children(x).alias("inner"))))
+        if n:
+            scalars = F.filter("level", lambda x: x.inner.isNull() & ~F.is_variant_null(x.v))
+            rows = rows.withColumn("leaves", F.concat("leaves", F.transform(scalars, lambda x: F.struct(x.path.alias("path"), x.v.alias("v")))))
+        rows = rows.withColumn("level", F.flatten(F.transform(F.filter("level", lambda x: x.inner.isNotNull()), lambda x: x.inner)))
+    return rows.select(INGEST_DATE, "record", F.concat("leaves", F.filter("level", lambda x: ~F.is_variant_null(x.v))).alias("leaves"))
+
+
+def _each(found: DataFrame) -> DataFrame:
+    """One row per leaf.  Outer, since Spark would otherwise work the array out a second time to see whether it is empty."""
+    return found.select(INGEST_DATE, "record", F.inline_outer("leaves")).where("path is not null")
+
+
 def leaves(lines: DataFrame, depth: int = DEPTH) -> DataFrame:
     """ingest_date, record (a hash of the line), path, type, value (text) of every scalar in every record; NULLs of JSON are left out.
 
     Lines that are no JSON give nothing; what lies deeper than `depth` is one value.
     """
-    spark = lines.sparkSession
-    level = lines.select(INGEST_DATE, F.xxhash64("value").alias("record"), F.lit("").alias("path"), F.try_parse_json("value").alias("v")).where("v is not null")
-    out = []
-    for n in range(depth):
-        kind = F.schema_of_variant("v")
-        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        if n:
-            out.append(level.where(~nested))
-        inner = spark.tvf.variant_explode(F.col("v").outer())
-        level = level.where(nested).lateralJoin(inner).select(
-            INGEST_DATE, "record",
-            F.when(F.col("key").isNull(), F.concat("path", F.lit("[]"))).when(F.col("path") == "", F.col("key")).otherwise(F.concat_ws(".", "path", "key")).alias("path"),
-            F.col("value").alias("v"))
-    out.append(level)
-    rows = out[0]
-    for more in out[1:]:
-        rows = rows.unionAll(more)
-    return rows.where(~F.is_variant_null("v")).select(INGEST_DATE, "record", "path", F.schema_of_variant("v").alias("type"), F.variant_get("v", "$", "string").alias("value"))
+    return _each(records(lines, depth)).select(INGEST_DATE, "record", "path", F.schema_of_variant("v").alias("type"), F.variant_get("v", "$", "string").alias("value"))
+
+
+def path_sets(lines: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """ingest_date, paths (the set of paths a record holds; none where it is no JSON), records of the landing that hold just these; equal lines are one record."""
+    paths = F.array_sort(F.array_distinct(F.transform("leaves", lambda x: x.path)))
+    each = records(lines, depth).select(INGEST_DATE, "record", F.coalesce(paths, F.array().cast("array<string>")).alias("paths")).distinct()
+    return each.groupBy(INGEST_DATE, "paths").agg(F.count("*").alias("records"))
 
 
 def shape(value: Column) -> Column:
@@ -91,8 +117,11 @@ def schema_drift(lines: DataFrame, declared: Iterable[str], depth: int = DEPTH)
     of their values' shapes and of their names, and at least LOOKS_ALIKE.
     """
     known = sorted(declared)
-    facts = leaves(lines, depth).select(INGEST_DATE, "record", "path", shape(F.col("value")).alias("shape"))
-    per_landing = facts.groupBy(INGEST_DATE, "path").agg(F.count_distinct("record").alias("records"))
+    # Looked at from three sides, so stored: a few rows per landing where records are alike.
+    folder = f"{run_dir(lines.sparkSession, 'census')}/sets"
+    path_sets(lines, depth).write.parquet(folder)
+    sets = lines.sparkSession.read.parquet(folder)
+    per_landing = sets.select(INGEST_DATE, "records", F.explode_outer("paths").alias("path")).where("path is not null").groupBy(INGEST_DATE, "path").agg(F.sum("records").alias("records"))
     is_known = F.col("path").isin(known)
     first = Window.partitionBy("path").orderBy(F.col(INGEST_DATE).asc_nulls_first())
     oldest = lines.agg(F.min(INGEST_DATE).alias("oldest"))
@@ -109,19 +138,20 @@ def schema_drift(lines: DataFrame, declared: Iterable[str], depth: int = DEPTH)
     missing = grid.where("records = 0 and before * 2 >= landed_before").select(INGEST_DATE, "path", F.col("landed").alias("records"))
 
     # Renamed: what the records with a new field lack, and how the values look.
-    fields = facts.groupBy(INGEST_DATE, "record").agg(F.collect_set("path").alias("paths"))
-    carriers = facts.join(F.broadcast(new.select(F.col(INGEST_DATE).alias("_d"), F.col("path").alias("_p"))), (F.col(INGEST_DATE) == F.col("_d")) & (F.col("path") == F.col("_p"))).select(
-        F.col("_d"), F.col("record").alias("_r"), F.col("path").alias("new_path")).distinct()
-    lacking = carriers.join(fields, (F.col("_d") == F.col(INGEST_DATE)) & (F.col("_r") == F.col("record"))).select(
-        INGEST_DATE, "new_path", F.explode(F.array_except(F.array(*[F.lit(p) for p in known]), "paths")).alias("old_path"))
-    lacking = lacking.groupBy(INGEST_DATE, "new_path", "old_path").agg(F.count("*").alias("n"))
+    carriers = sets.join(F.broadcast(new.select(F.col(INGEST_DATE).alias("_d"), F.col("path").alias("new_path"))), (F.col(INGEST_DATE) == F.col("_d")) & F.array_contains("paths", F.col("new_path")))
+    lacking = carriers.select(INGEST_DATE, "new_path", F.explode(F.array_except(F.array(*[F.lit(p) for p in known]), "paths")).alias("old_path"), F.col("records").alias("n"))
+    lacking = lacking.groupBy(INGEST_DATE, "new_path", "old_path").agg(F.sum("n").alias("n"))
     whole = lacking.join(new.withColumnsRenamed({"path": "_p", INGEST_DATE: "_d"}), (F.col("new_path") == F.col("_p")) & (F.col(INGEST_DATE) == F.col("_d")) & (F.col("n") == F.col("records")))
-    shapes = facts.groupBy("path", "shape").agg(F.count("*").alias("n"))
+    # Only the looks of fields that may have been renamed count.
+    sides = F.array(F.struct(F.col("new_path").alias("_q"), F.lit(True).alias("_new")), F.struct(F.col("old_path").alias("_q"), F.lit(False).alias("_new")))
+    asked = whole.select(INGEST_DATE, "new_path", "old_path", "records", F.inline(sides))
+    facts = _each(records(lines, depth)).join(F.broadcast(asked.select(F.col("_q").alias("_w")).distinct()), F.col("path") == F.col("_w"), "left_semi")
+    shapes = facts.groupBy("path", shape(F.variant_get("v", "$", "string")).alias("shape")).agg(F.count("*").alias("n"))
     share = F.col("n") / F.sum("n").over(Window.partitionBy("path"))
     shapes = shapes.select("path", "shape", share.alias("share"))
-    alike = whole.select(INGEST_DATE, "new_path", "old_path", "records").join(shapes.withColumnsRenamed({"path": "_a", "share": "sa"}), F.col("new_path") == F.col("_a")).join(
-        shapes.withColumnsRenamed({"path": "_b", "share": "sb", "shape": "_shape"}), (F.col("old_path") == F.col("_b")) & (F.col("shape") == F.col("_shape")))
-    alike = alike.groupBy(INGEST_DATE, "new_path", "old_path", "records").agg(F.sum(F.least("sa", "sb")).alias("overlap"))
+    pair = [INGEST_DATE, "new_path", "old_path", "records"]
+    both = shapes.join(asked, F.col("path") == F.col("_q")).groupBy(*pair, "shape").agg(F.sum(F.when(F.col("_new"), F.col("share"))).alias("sa"), F.sum(F.when(~F.col("_new"), F.col("share"))).alias("sb"))
+    alike = both.where("sa is not null and sb is not null").groupBy(*pair).agg(F.sum(F.least("sa", "sb")).alias("overlap"))
     scored = alike.withColumn("score", (F.col("overlap") + _similar(F.col("new_path"), F.col("old_path"))) / 2).where(F.col("score") >= LOOKS_ALIKE)
     best = Window.partitionBy(INGEST_DATE, "new_path").orderBy(F.desc("score"), "old_path")
     renamed = scored.withColumn("_n", F.row_number().over(best)).where("_n = 1")

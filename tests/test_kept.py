@@ -15,7 +15,7 @@ from layerwright.operators.sketches import daily_sketches, rolled_up
 from layerwright.session import run_dir
 from layerwright.sources import files
 from layerwright.sources.bronze import CORRUPT, INGEST_DATE
-from layerwright.sources.census import field_census, leaves, schema_drift
+from layerwright.sources.census import field_census, leaves, path_sets, schema_drift
 from layerwright.sources.snapshots import version_path
 from layerwright.sources.switching import (
     BATCH,
@@ -292,6 +292,24 @@ def test_drift_tells_new_missing_and_renamed(spark):
     assert schema_drift(lines.limit(0), ["key"]).count() == 0
 
 
+def test_census_passes_few_times_over_the_lines(spark):
+    root = run_dir(spark, "census-lines")
+    lines = spark.createDataFrame([*LINES, LINES[1]], f"{INGEST_DATE} string, value string")
+    lines.write.partitionBy(INGEST_DATE).text(f"{root}/github_commits")
+    found = schema_drift(spark.read.schema(f"value string, {INGEST_DATE} date").text(f"{root}/github_commits"), ["key", "who", "deep.a[]"])
+    assert found.count() == 5
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [value") <= 8  # a scan per level and use were over 100
+
+
+def test_census_of_odd_lines(spark):
+    odd = ['{"a.b": 1, "a": {"b": 2}}', '{"a.b": 1, "a": {"b": 2}}', "{}", "[]", "7", "null", None, '{"m": [], "n": {"x": null}}', '[1, {"x": "q"}, [2]]', '{"k": 1, "k": 2}']
+    lines = spark.createDataFrame([("2026-01-01", line) for line in odd], f"{INGEST_DATE} string, value string").withColumn(INGEST_DATE, F.col(INGEST_DATE).cast("date"))
+    assert rows_of(leaves(lines).select("path", "value")) == sorted([("a.b", "1"), ("a.b", "2")] * 2 + [("[]", "1"), ("[].x", "q"), ("[][]", "2")])
+    assert rows_of(leaves(lines, 1).where("path = '[]'").select("value")) == [("1",), ("[2]",), ('{"x":"q"}',)]
+    sets = {tuple(r["paths"]): r["records"] for r in path_sets(lines).collect()}
+    assert sets[("a.b",)] == 1 and sets[("[]", "[].x", "[][]")] == 1  # equal lines are one record, a path counts once a record
+
+
 def test_malformed_text_names_its_reason(spark):
     rows = spark.createDataFrame([(1, None), (None, None), (None, "{broken"), (2, "{odd}")], f"k int, {CORRUPT} string")
     assert [r[0] for r in classify(rows, required("k"), CORRUPT).select(REASON).collect()] == [None, "missing_k", "malformed_record", None]
