@@ -22,7 +22,7 @@ from layerwright.plans.changed_keys import HASH, LANDING, KeyIndex, key_hash, to
 from layerwright.plans.domains import Domain
 from layerwright.sources import files
 from layerwright.sources.bronze import read_bronze, stream_bronze
-from layerwright.streaming.compaction import BATCH, compact_log, finish_compaction
+from layerwright.streaming.compaction import BATCH, compact_log, finish_compaction, folders
 
 MAX_FILES = 10_000  # a backlog is worked off in micro-batches of at most this many files
 
@@ -102,7 +102,7 @@ def apply_batch(batch: DataFrame, number: int, domain: Domain, tables: StreamTab
 
 
 def _overwrite(df: DataFrame, path: str, *parts: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", files.CODEC).partitionBy(*parts).parquet(path)
 
 
 def _refresh(log: DataFrame, number: int, domain: Domain, tables: StreamTables) -> None:
@@ -110,15 +110,20 @@ def _refresh(log: DataFrame, number: int, domain: Domain, tables: StreamTables)
     arrived = log.where(F.col(BATCH) == number)
     # A correction can move a record to another date, so the dates of the
     # earlier copies of every touched key are affected as well.
+    held = folders(log.sparkSession, tables.log)
     if tables.index_buckets:
         grains = _indexed_grains(arrived, number, domain, tables)
+    elif all(batches == [number] for batches in held.values()):
+        grains = grain_texts(arrived, domain.spec)  # there are no earlier copies
     else:
         # Only the key and the partition column are read for this.
         touched = arrived.select(domain.key).distinct()
         grains = grain_texts(log.select(domain.key, PART).join(touched, domain.key, "left_semi"), domain.spec)
     if not grains:
         return
-    silver = domain.to_silver(_competitors(log, grains, domain), for_gold=True)
+    # Where every logged date was touched, every logged row competes.
+    all_of_it = held.keys() <= {files.NO_VALUE if g is None else g for g in grains}
+    silver = domain.to_silver(_logged(log) if all_of_it else _competitors(log, grains, domain), for_gold=True)
     repair_grains(silver, tables.gold, domain.spec, grains)
 
 
@@ -133,11 +138,14 @@ def _indexed_grains(arrived: DataFrame, number: int, domain: Domain, tables: Str
     return grain_texts(days, domain.spec)
 
 
+def _logged(log: DataFrame) -> DataFrame:
+    return log.drop(PART, BATCH)
+
+
 def _competitors(log: DataFrame, grains, domain: Domain) -> DataFrame:
     """Every logged row that could be, or could displace, a best row of these grains."""
-    columns = [c for c in log.columns if c not in (PART, BATCH)]
     keys = in_grains(log, domain.spec, grains).select(domain.key).distinct()
     if domain.newest_wins and grains[0] is not None:
         # Only a later date can displace a row: skip all partitions before the first grain.
         log = log.where(F.col(PART).cast("date") >= F.lit(grains[0]).cast("date"))
-    return log.select(*columns).join(keys, domain.key, "left_semi")
+    return _logged(log).join(keys, domain.key, "left_semi")

@@ -14,6 +14,7 @@ from layerwright.session import run_dir
 from layerwright.sources import files
 from layerwright.sources.bronze import read_bronze, write_bronze
 from layerwright.sources.snapshots import versions
+from layerwright.streaming import available
 from layerwright.streaming.available import StreamTables, apply_batch, ingest_available
 from tests.conftest import SMALL
 from workload.standins import RAW, STANDINS
@@ -110,6 +111,23 @@ def test_replayed_batch_changes_nothing(spark):
         assert ordered(again) == gold
 
 
+def test_batches_that_touch_every_date_need_no_search_for_competitors(spark, monkeypatch):
+    root, tables = (r := run_dir(spark, "touched")), StreamTables(f"{r}/tables")
+    rows = STANDINS["sec_edgar_10k"](spark, SMALL)
+    raw, part = RAW["sec_edgar_10k"](rows), F.pmod(F.crc32("_id"), F.lit(3))
+    searched, search = [], available._competitors
+    monkeypatch.setattr(available, "_competitors", lambda *a: searched.append(1) or search(*a))
+    for n in (0, 1):
+        write_bronze(raw.where(part == n), f"{root}/bronze", "sec_edgar_10k", rebalance=False)
+        ingest_available(spark, f"{root}/bronze", FILINGS, tables)
+    assert not searched
+    one = raw.where(part == 2).orderBy("_id").limit(1)
+    write_bronze(one, f"{root}/bronze", "sec_edgar_10k")
+    gold = ingest_available(spark, f"{root}/bronze", FILINGS, tables)
+    assert searched  # a record of one month leaves the others alone
+    assert ordered(gold) == ordered(FILINGS.gold_of(FILINGS.stage(read_bronze(spark, f"{root}/bronze", "sec_edgar_10k"))))
+
+
 def test_stream_in_small_batches_equals_one_batch(spark):
     root = run_dir(spark, "small")
     raw = RAW["sec_edgar_10k"](STANDINS["sec_edgar_10k"](spark, SMALL))

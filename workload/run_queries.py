@@ -127,9 +127,9 @@ def _stream_twice(spark, domain, raw, second, label):
     """Land and ingest in two goes, the second holding late rows and corrections."""
     root = run_dir(spark, label)
     tables = StreamTables(f"{root}/stream")
-    write_bronze(raw.where(~second), f"{root}/bronze", domain.source)
+    write_bronze(raw.where(~second), f"{root}/bronze", domain.source, rebalance=False)
     ingest_available(spark, f"{root}/bronze", domain, tables)
-    write_bronze(raw.where(second), f"{root}/bronze", domain.source)
+    write_bronze(raw.where(second), f"{root}/bronze", domain.source, rebalance=False)
     return ingest_available(spark, f"{root}/bronze", domain, tables)
 
 
